@@ -85,3 +85,35 @@ def row_batches(df: DataFrame, order: str, rows: int, by: Sequence[str] = (),
         .withColumn(out, F.expr(f"cast((_no - 1) div {int(rows)} as bigint)"))
         .drop("_no")
     )
+
+
+def latest_upto(probes: DataFrame, key: str, marks: DataFrame, mark_key: str,
+                values: Sequence[str], by: Sequence[str] = (), span: int = SPAN) -> DataFrame:
+    """As-of lookup: distinct ``(by, key)`` of ``probes`` with the ``values`` of the last mark
+    whose ``mark_key`` is not larger. Both keys are integers, marks unique per ``by``."""
+    by = list(by)
+    v = F.struct(*values)
+    both = (
+        probes.select(*by, F.col(key).cast("long").alias("_key")).distinct()
+        .withColumn("_kind", F.lit(2))
+        .unionByName(marks.select(*by, F.col(mark_key).cast("long").alias("_key"),
+                                  v.alias("_v")).withColumn("_kind", F.lit(1)),
+                     allowMissingColumns=True)
+        .withColumn("_block", block_of("_key", span))
+    )
+    earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    marker = (
+        both.groupBy(*by, "_block")
+        .agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_key"))).alias("_last"))
+        .select(*by, "_block", F.last("_last", ignorenulls=True).over(earlier).alias("_v"),
+                F.lit(None).cast("long").alias("_key"), F.lit(0).alias("_kind"))
+    )
+    inside = Window.partitionBy(*by, "_block").orderBy("_key", "_kind").rowsBetween(
+        Window.unboundedPreceding, 0)
+    return (
+        both.unionByName(marker)
+        .withColumn("_v", F.last("_v", ignorenulls=True).over(inside))
+        .where("_kind = 2 and _v is not null")
+        .select(*by, F.col("_key").alias(key), *[F.col(f"_v.{c}").alias(c) for c in values])
+    )

@@ -233,11 +233,14 @@ def _with_least_clock(keyed: DataFrame) -> DataFrame:
 
 def sequential_groups(df: DataFrame, lane: str, order: str, weight: str, limit: int,
                       when: str = "before", seed: int = 0, hard: str | None = None,
-                      out: str = "grp", span: int = SPAN) -> DataFrame:
+                      out: str = "grp", start: str | None = None,
+                      span: int = SPAN) -> DataFrame:
     """Number the groups of the fold, per lane from 0, in a new column ``out``.
 
-    ``order`` must be an integer, unique within its lane; ``weight`` must not be negative.
-    A true ``hard`` column forces a start at that row.
+    ``order`` must be an integer, unique within its lane; ``weight`` must not be negative,
+    and lanes not null. A true ``hard`` column forces a start at that row. ``start`` names a
+    column that is true on the first row of each group. The input is read twice and must give
+    the same rows each time; store it first if its source may change.
     """
     rule = Rule(when, limit, seed)
     rows = homed(df, lane, order, weight, rule, hard, span)
@@ -252,10 +255,17 @@ def sequential_groups(df: DataFrame, lane: str, order: str, weight: str, limit:
             at, groups = folder.starts(*_inputs(batch))
             lengths = np.diff([0, *at, batch.num_rows])
             number = np.repeat(np.array([open_group, *groups], dtype=np.int64), lengths)
+            added = [pa.array(number)]
+            if start:
+                first = np.zeros(batch.num_rows, dtype=bool)
+                first[at] = True
+                added.append(pa.array(first))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names] + [pa.array(number)], [*names, out])
+                [batch.column(c) for c in names] + added, [*names, out, *([start] if start else [])])
 
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
+    schema = T.StructType([
+        *df.schema.fields, T.StructField(out, T.LongType()),
+        *([T.StructField(start, T.BooleanType())] if start else [])])
     return rows.mapInArrow(assign, schema)
 
 
