@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tableferry.session import stored
+
 SPAN = 1_000_000
 
 
@@ -93,14 +95,13 @@ def latest_upto(probes: DataFrame, key: str, marks: DataFrame, mark_key: str,
     whose ``mark_key`` is not larger. Both keys are integers, marks unique per ``by``."""
     by = list(by)
     v = F.struct(*values)
-    both = (
+    both = stored(
         probes.select(*by, F.col(key).cast("long").alias("_key")).distinct()
         .withColumn("_kind", F.lit(2))
         .unionByName(marks.select(*by, F.col(mark_key).cast("long").alias("_key"),
                                   v.alias("_v")).withColumn("_kind", F.lit(1)),
-                     allowMissingColumns=True)
-        .withColumn("_block", block_of("_key", span))
-    )
+                     allowMissingColumns=True), "asof",
+    ).withColumn("_block", block_of("_key", span))
     earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1)
     marker = (

@@ -10,6 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tableferry.operators.blocks import block_of
+from tableferry.session import stored
+
 # Part sizes in bytes of the numbered and of the unnumbered file messages.
 PART_BYTES = 1024 * 1024
 UNNUMBERED_PART_BYTES = 4 * 1024 * 1024
@@ -57,57 +60,68 @@ def checksum_ok(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("ok", F.md5("data") == F.col("md5_checksum"))
 
 
-def received(chunks: DataFrame, order: str = "msg_id",
-             by: Sequence[str] = ("sync_id", "cur_part")) -> DataFrame:
-    """Intact chunks, one per part: of repeated deliveries the last. Repeats combine where
-    they are read, before anything is shuffled."""
-    good = checksum_ok(chunks).where("ok").drop("ok")
-    rest = [c for c in good.columns if c not in by]
-    best = good.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("_c"))
-    return best.select(*by, *[F.col(f"_c.`{c}`").alias(c) for c in rest])
+def _part_headers(chunks: DataFrame, order: str) -> DataFrame:
+    """Per part its last intact delivery (null if there is none) and what it says."""
+    seen = checksum_ok(chunks).select(
+        "sync_id", "file", "cur_part", "total_parts",
+        F.when(F.col("ok"), F.col(order)).alias("_good"))
+    return seen.groupBy("sync_id", "file", "cur_part").agg(
+        F.max("_good").alias(order), F.max("total_parts").alias("total_parts"))
 
 
 def progress(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
-    """Intact parts seen and parts expected per file, from headers and checksums only."""
-    good = checksum_ok(chunks).select(
-        "sync_id", "file", "cur_part", "total_parts", "ok",
-        F.octet_length("data").cast("long").alias("_bytes"))
-    parts = good.groupBy("sync_id", "file", "cur_part").agg(
-        F.max("ok").alias("_ok"), F.max("total_parts").alias("_total"),
-        F.max(F.when(F.col("ok"), F.col("_bytes"))).alias("_bytes"))
-    return parts.groupBy("sync_id", "file").agg(
-        F.max("_total").alias("total_parts"),
-        F.count_if("_ok").cast("int").alias("n_parts"),
-        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("n_bytes"))
-
-
-def incomplete(chunks: DataFrame) -> DataFrame:
+    """Intact parts seen and parts expected per file. The payload is read for its checksum,
+    but only headers are shuffled."""
+    return _part_headers(chunks, order).groupBy("sync_id", "file").agg(
+        F.max("total_parts").alias("total_parts"),
+        F.count(order).cast("int").alias("n_parts"))
+
+
+def incomplete(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
     """Files that still wait for parts."""
-    return progress(chunks).where("n_parts < total_parts")
+    return progress(chunks, order).where("n_parts < total_parts")
 
 
-def missing_parts(chunks: DataFrame, base: int = 1) -> DataFrame:
+def missing_parts(chunks: DataFrame, base: int = 1, order: str = "msg_id") -> DataFrame:
     """The parts those files wait for, one row each."""
-    wanted = incomplete(chunks).select("sync_id", "file", F.explode(F.sequence(
+    wanted = incomplete(chunks, order).select("sync_id", "file", F.explode(F.sequence(
         F.lit(base), F.col("total_parts") + (base - 1))).alias("cur_part"))
     have = checksum_ok(chunks).where("ok").select("sync_id", "cur_part")
     return wanted.join(have, ["sync_id", "cur_part"], "left_anti")
 
 
 def complete_parts(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
-    """Parts of the files of which all parts are here, one row per part."""
-    done = progress(chunks).where("n_parts >= total_parts").select("sync_id")
-    return received(chunks, order).join(done, "sync_id", "left_semi")
+    """Intact chunks of the files of which all parts are here; of repeated deliveries of a
+    part, the last.
+
+    Which ones these are is settled on headers and stored. The chunks are then only filtered
+    by that list, so copies and unfinished files are gone before any payload is shuffled,
+    where the list is small enough for a broadcast.
+    """
+    heads = _part_headers(chunks, order).where(F.col(order).isNotNull())
+    files = heads.groupBy("sync_id").agg(
+        F.count(F.lit(1)).alias("_have"), F.max("total_parts").alias("_want"))
+    done = files.where("_have >= _want").select("sync_id")
+    wanted = stored(heads.join(done, "sync_id", "left_semi")
+                    .select("sync_id", "cur_part", order), "parts")
+    return checksum_ok(chunks).where("ok").drop("ok").join(
+        wanted, ["sync_id", "cur_part", order], "left_semi")
 
 
 def segments(parts: DataFrame, part_bytes: int = PART_BYTES,
              segment_bytes: int = SEGMENT_BYTES, base: int = 1,
              keep: Sequence[str] = ("file", "total_parts")) -> DataFrame:
-    """Join parts to segments of at most ``segment_bytes``: no row grows with its file."""
+    """Join parts to segments of at most ``segment_bytes``: no row grows with its file.
+
+    One shuffle brings a segment together; a message that was read twice counts once.
+    """
     per = max(segment_bytes // part_bytes, 1)
     cell = F.expr(f"cast((cur_part - {base}) div {per} as int)")
     return (
-        parts.groupBy("sync_id", cell.alias("segment"))
+        parts.withColumn("segment", cell).repartition("sync_id", "segment")
+        .groupBy("sync_id", "segment", "cur_part")
+        .agg(*[F.first(c).alias(c) for c in (*keep, "data")])
+        .groupBy("sync_id", "segment")
         .agg(*[F.first(c).alias(c) for c in keep],
              F.count(F.lit(1)).alias("n_parts"),
              F.expr("listagg(data, X'') within group (order by cur_part)").alias("data"))
@@ -122,18 +136,14 @@ def reassemble(chunks: DataFrame, part_bytes: int = PART_BYTES,
 
 
 def append_by_name(chunks: DataFrame, order: str = "msg_id", by: str = "file",
-                   parts_per_segment: int = 16, span: int = 1_000_000) -> DataFrame:
+                   span: int = 16) -> DataFrame:
     """Unnumbered chunks appended to their file in order of arrival.
 
-    A chunk's place is its exact row number in the file, so the numbers are found in blocks
-    of the log and the bytes are joined in segments, as above.
+    A segment is what arrived for the file within ``span`` consecutive message ids, so it
+    holds at most that many chunks; a file is its segments in order of ``segment``.
     """
-    from tableferry.operators.blocks import numbered
-
-    placed = numbered(chunks, order, [by], span, "cur_part")
     return (
-        placed.groupBy(by, F.expr(f"cast((cur_part - 1) div {parts_per_segment} as int)")
-                       .alias("segment"))
+        chunks.groupBy(by, block_of(order, span).alias("segment"))
         .agg(F.count(F.lit(1)).alias("n_parts"),
-             F.expr("listagg(data, X'') within group (order by cur_part)").alias("data"))
+             F.expr(f"listagg(data, X'') within group (order by `{order}`)").alias("data"))
     )

@@ -12,12 +12,15 @@ from tableferry.session import stored
 def requested_ranges(messages: DataFrame, target: str = "target_table",
                      spec: str = "range_partition", batch: str = "batch_id") -> DataFrame:
     """Distinct ranges asked for by message headers."""
-    lower, upper = range_bounds(F.col("spec"))
+    lower, upper = range_bounds(F.col("asked"))
     return (
         messages.where((F.col(spec) != "") & (F.col(batch) != ""))
-        .select(normalise_target(F.col(target)).alias("target_table"), F.col(spec).alias("spec"))
-        .distinct()
-        .select("target_table", lower.alias("lower"), upper.alias("upper"))
+        .groupBy(F.col(target).alias("_target"), F.col(spec).alias("_spec"))
+        # an aggregate result, so that the parsing below is not pushed in front of it and
+        # done once per message
+        .agg(F.min(spec).alias("asked"), F.min(target).alias("wanted"))
+        .select(normalise_target(F.col("wanted")).alias("target_table"),
+                lower.alias("lower"), upper.alias("upper"))
         .where("lower < upper").distinct()
     )
 

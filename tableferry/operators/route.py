@@ -31,19 +31,24 @@ def with_header(topic: DataFrame, *names: str) -> DataFrame:
     return topic.select("*", *[header(n).alias(n) for n in names])
 
 
-def triaged(messages: DataFrame, fields: Sequence[str], known: DataFrame | None = None,
+def triaged(messages: DataFrame, fields: Sequence[str],
+            known: DataFrame | Sequence[str] | None = None,
             sinks: Sequence[str] = SINKS) -> DataFrame:
     """Messages with ``route``, ``target``, ``rows`` (decoded, null if unreadable) and
     ``reason`` (null if good).
 
-    Expects columns ``db_type``, ``target_table`` and ``data``. ``known`` lists the keyed
-    targets that exist, in a column ``target``; its size decides how it is joined.
+    Expects columns ``db_type``, ``target_table`` and ``data``. ``known`` names the keyed
+    targets that exist: a list, or for a large catalog a table with a column ``target``, which
+    should be read from files so that its size decides how it is joined. Target names are few
+    and uneven, so messages are not to be shuffled by them.
     """
     checked = messages.select(
         "*", route_of(F.col("db_type")).alias("route"),
         F.nullif(normalise_target(F.col("target_table")), F.lit("")).alias("target"))
     if known is None:
         checked = checked.withColumn("_known", F.lit(True))
+    elif not isinstance(known, DataFrame):
+        checked = checked.withColumn("_known", F.when(F.col("target").isin(list(known)), True))
     else:
         marks = known.select("target").distinct().withColumn("_known", F.lit(True))
         checked = checked.join(marks, "target", "left").select(*checked.columns, "_known")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tableferry.session import stored
+
 
 def last_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of each key. An aggregate rather than a window: rows of a key combine
@@ -21,10 +23,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
            order: Sequence[str]) -> DataFrame:
     """``existing`` (unique keys) with whole incoming rows put in; incoming always wins.
 
-    The stored side is only probed by key. When the incoming keys are few enough to be
-    broadcast, by the optimizer's own size check, it is not shuffled at all.
+    The reduced incoming side is written once, so its size is known: where it is small the
+    optimizer broadcasts its keys and the stored side is not shuffled at all.
     """
-    newest = last_wins(incoming, keys, order)
+    newest = stored(last_wins(incoming, keys, order), "upsert")
     kept = existing.join(newest.select(*keys), list(keys), "left_anti")
     return kept.select(*existing.columns).unionByName(newest.select(*existing.columns))
 

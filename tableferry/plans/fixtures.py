@@ -76,7 +76,3 @@ def clears(spark, sf_dir) -> DataFrame:
 
 def stats(spark, sf_dir) -> DataFrame:
     return derived(spark, sf_dir, STAT_SPARK, "events")
-
-
-def known_targets(spark) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in KNOWN_TARGETS], "target string")

@@ -376,8 +376,8 @@ FROM (SELECT *, greatest(ceil(n / 1024.0), 1) AS total FROM ({DOCS}) d) p WHERE
 SELECT md5(file) AS sync_id, file, CAST(i + 1 AS INTEGER) AS cur_part FROM ({document_parts()}) c
 WHERE doc_id % 10 = 1 OR (doc_id % 10 = 0 AND i = 1)""",
     "file_append_by_name": f"""
-SELECT file, CAST(0 AS INTEGER) AS segment, CAST(greatest(ceil(n / 1024.0), 1) AS BIGINT)
-         AS n_parts, md5(content) AS data_md5 FROM ({DOCS}) d""",
+SELECT file, doc_id AS segment, CAST(greatest(ceil(n / 1024.0), 1) AS BIGINT) AS n_parts,
+       md5(content) AS data_md5 FROM ({DOCS}) d""",
     "sync_append": f"SELECT 'tmp.orders_all' AS target, * FROM ({ORDERS}) o",
     "sync_upsert": f"""
 WITH latest AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC)

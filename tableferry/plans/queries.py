@@ -307,7 +307,7 @@ def text_messages(spark, sf_dir):
 # ---- receiving -----------------------------------------------------------------------------
 
 def _checked(spark, sf_dir) -> DataFrame:
-    return route.triaged(fx.messages(spark, sf_dir), ["k"], fx.known_targets(spark))
+    return route.triaged(fx.messages(spark, sf_dir), ["k"], fx.KNOWN_TARGETS)
 
 
 @query
@@ -404,7 +404,7 @@ def stream_resume(spark, sf_dir):
     for part in (F.col("msg_id") % 2 == 0, F.col("msg_id") % 2 == 1):
         topics.publish(topic.where(part), path)
         receiver.start(topics.stream_topic(spark, path), K, [append, keyed], f"{out}/cursor",
-                       fx.known_targets(spark), once=True).awaitTermination()
+                       fx.KNOWN_TARGETS, once=True).awaitTermination()
     names = ["target", "msg_id", "row_pos", "k"]
     return (append.read().select(F.lit("append").alias("kind"), *names)
             .unionByName(keyed.read().select(F.lit("keyed").alias("kind"), *names)))
@@ -647,7 +647,7 @@ def file_append_by_name(spark, sf_dir):
     named = ch.cut(_document_files(spark, sf_dir), "content", "file", PART,
                    header_style="named")
     arrived = named.withColumn("msg_id", F.col("doc_id") * 1000 + F.col("_seq"))
-    return ch.append_by_name(arrived, "msg_id", "file", parts_per_segment=65536).select(
+    return ch.append_by_name(arrived, "msg_id", "file", span=1000).select(
         "file", "segment", "n_parts", F.md5("data").alias("data_md5"))
 
 
@@ -660,6 +660,13 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("o_orderday", T.StringType())])
 
 
+def _sent(spark, messages: DataFrame) -> DataFrame:
+    """Messages through a topic: packed and written once, read by every consumer."""
+    path = scratch(spark, "topic")
+    topics.publish(messages, path)
+    return topics.read_topic(spark, path)
+
+
 def _orders(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -678,9 +685,9 @@ def sync_append(spark, sf_dir):
                      task_id="orders_sync", source_table="orders")
     older = orders.withColumn("o_orderstatus", F.lit("OLD")).withColumn(
         "target", F.lit("tmp.orders_all"))
-    final = sync.apply_append(sync.receive(sent, ORDER_SCHEMA), ORDER_SCHEMA, older,
-                              {"tmp.orders_local": "tmp.orders_all"})
-    return final
+    checked = sync.receive(_sent(spark, sent), ORDER_SCHEMA)
+    return sync.apply_append(checked, ORDER_SCHEMA, older,
+                             {"tmp.orders_local": "tmp.orders_all"})
 
 
 @query
@@ -699,8 +706,7 @@ def sync_upsert(spark, sf_dir):
     registry = table(spark, sf_dir, "customer").select(
         F.lit("tmp.last_order").alias("target_table"), F.lit(1000).cast("long").alias("lower"),
         F.lit(10**12).cast("long").alias("upper")).distinct()
-    known = spark.createDataFrame([("tmp.last_order",)], "target string")
-    checked = sync.receive(sent, ORDER_SCHEMA, known)
+    checked = sync.receive(_sent(spark, sent), ORDER_SCHEMA, ["tmp.last_order"])
     return sync.apply_keyed(checked, ORDER_SCHEMA, ["o_custkey"], placeholders, registry,
                             "o_custkey")
 
@@ -710,14 +716,9 @@ def sync_files(spark, sf_dir):
     """Text files read in parts, sent as chunks, put together and loaded as lines."""
     listed = files.list_files(spark, _text_files(spark, sf_dir), ".txt")
     parts = files.file_parts(listed, 64 * 1024)
-    sent = parts.select(
-        F.col("cur_part").cast("long").alias("msg_id"), "sync_id", "file", "total_parts",
-        "cur_part", "md5_checksum", F.lit(True).alias("is_overwrite"),
-        F.lit("tmp.texts").alias("table"),
-        F.create_map(F.lit("bucket"), _bucket("file").cast("string")).alias("partition"), "data")
-    arrived = stored(sent, "chunks")
-    whole = ch.segments(ch.complete_parts(arrived), 64 * 1024,
-                        keep=("file", "table", "partition"))
+    sent = sync.send_files(parts, "tmp.texts", F.create_map(
+        F.lit("bucket"), _bucket("file").cast("string")))
+    whole = sync.load_files(stored(sent, "chunks"), 64 * 1024)
     name = tables.fresh_name("files")
     tables.create_target(spark, name, "n_bytes BIGINT, data_md5 STRING, bucket STRING",
                          scratch(spark, name), ["bucket"])

@@ -14,7 +14,7 @@ from tableferry.operators.fold import sequential_groups
 from tableferry.operators.pack import MESSAGE_BYTES, pack_messages, to_topic
 from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
 from tableferry.operators.route import good_rows, triaged, typed, with_header
-from tableferry.operators.upsert import last_wins, upsert
+from tableferry.operators.upsert import upsert
 
 HEADERS = ("db_type", "target_table", "clear_table", "partition", "batch_id", "range_partition")
 
@@ -34,7 +34,7 @@ def send(rows: DataFrame, lane: Column, order: Column, header: Column, topic: st
     return to_topic(packed, topic, full, publish_time, n_lanes)
 
 
-def receive(topic: DataFrame, schema: T.StructType, known: DataFrame | None = None) -> DataFrame:
+def receive(topic: DataFrame, schema: T.StructType, known: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """Messages with header columns, checked and decoded but not yet split."""
     return triaged(with_header(topic, *HEADERS), schema.names, known)
 
@@ -79,16 +79,19 @@ def apply_keyed(checked: DataFrame, schema: T.StructType, keys: Sequence[str],
     return upsert(stored_rows, incoming, ids, ["msg_id", "row_pos"]).select(*names)
 
 
-def send_files(files: DataFrame, content: str, path: str, part_bytes: int, table: str,
-               partition: Column, is_overwrite: bool = True) -> DataFrame:
-    """Files to chunk messages."""
-    parts = ch.cut(files.select(F.col(path).alias("file"), F.col(content).alias("content"),
-                                partition.alias("partition")),
-                   "content", "file", part_bytes)
+def send_files(parts: DataFrame, table: str, partition: Column,
+               is_overwrite: bool = True) -> DataFrame:
+    """File parts to chunk messages, numbered in the order they are written."""
     return parts.select(
-        F.col("cur_part").cast("long").alias("msg_id"), "sync_id", "file", "total_parts",
+        F.monotonically_increasing_id().alias("msg_id"), "sync_id", "file", "total_parts",
         "cur_part", "md5_checksum", F.lit(is_overwrite).alias("is_overwrite"),
-        F.lit(table).alias("table"), "partition", "data")
+        F.lit(table).alias("table"), partition.alias("partition"), "data")
+
+
+def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES) -> DataFrame:
+    """Finished files of a chunk topic as segments with their target table and partition."""
+    return ch.segments(ch.complete_parts(chunks), part_bytes,
+                       keep=("file", "table", "partition", "is_overwrite"))
 
 
 def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,
@@ -103,7 +106,3 @@ def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,
     records = grouped.select(lane, order, "insert_no", F.posexplode("rows").alias("row_pos", "r"))
     texts = records.select(lane, order, "insert_no", "row_pos", "r.*")
     return typed(texts, schema)
-
-
-__all__ = ["send", "receive", "apply_append", "apply_keyed", "send_files", "bounded_load",
-           "last_wins"]

@@ -16,7 +16,7 @@ FLUSH_SECONDS = 60
 
 
 def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], checkpoint: str,
-          known: DataFrame | None = None, once: bool = False, seconds: int = FLUSH_SECONDS,
+          known: DataFrame | Sequence[str] | None = None, once: bool = False, seconds: int = FLUSH_SECONDS,
           callback: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Run a subscription: ``checkpoint`` is its cursor, and the trigger its flush rule.
 
