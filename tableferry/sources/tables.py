@@ -180,6 +180,19 @@ def load_partition(df: DataFrame, target: str, partition: dict,
     spark.catalog.dropTempView(view)
 
 
+def reload_partition(df: DataFrame, target: str, partition: dict) -> None:
+    """Drop one partition, then append ``df`` (partition columns included). Rows of ``df`` in
+    other partitions are added to what those hold, which a dynamic overwrite would replace."""
+    drop_partition(df.sparkSession, target, partition)
+    append_by_name(df, target)
+
+
+def truncate_reload(df: DataFrame, target: str) -> None:
+    """Empty the table, then append ``df``."""
+    df.sparkSession.sql(f"TRUNCATE TABLE {target}")
+    append_by_name(df, target)
+
+
 def write_layout(df: DataFrame, path: str, partition_by: Sequence[str],
                  sort_by: Sequence[str], mode: str = "overwrite") -> None:
     """Partitioned, sorted files. Rebalancing brings the rows of a partition together and

@@ -52,9 +52,9 @@ def make(n, lanes, seed, weights=(0, 40), hard=0.0, clock=False):
     ("after", 50, 0, (0, 80), 0.1),
     ("before", 60, 0, (1, 20), 0.05),
 ])
-@pytest.mark.parametrize("span", [7, 64, 10**6])
+@pytest.mark.parametrize("span", [40, 10**6])
 def test_groups_match_plain_loop(spark, when, limit, seed, weights, hard, span):
-    rows = make(700, 4, seed=limit + span, weights=weights, hard=hard)
+    rows = make(300, 3, seed=limit + span, weights=weights, hard=hard)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = sequential_groups(df, "lane", "ord", "w", limit, when, seed,
                             hard="hard", span=span).collect()
@@ -62,9 +62,9 @@ def test_groups_match_plain_loop(spark, when, limit, seed, weights, hard, span):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("span", [7, 100, 10**6])
+@pytest.mark.parametrize("span", [30, 10**6])
 def test_timer_matches_plain_loop(spark, span):
-    rows = make(600, 3, seed=span, clock=True)
+    rows = make(250, 3, seed=span, clock=True)
     df = spark.createDataFrame(rows, SCHEMA)
     got = sequential_groups(df, "lane", "ord", "w", 37, "timer", span=span).collect()
     assert {(r.lane, r.ord): r.grp for r in got} == plain(rows, 37, "timer")
@@ -97,7 +97,7 @@ def test_block_summary_is_exact_for_every_entering_state(weights, limit, when, c
     assert following == expected[0, len(weights) - 1] + 1
 
 
-@pytest.mark.parametrize("span", [5, 50, 10**6])
+@pytest.mark.parametrize("span", [50, 10**6])
 def test_assembled_keeps_every_row_in_order_and_below_the_limit(spark, span):
     rng = random.Random(3)
     rows = [(i % 3 if i % 2 else 0, i, "é" * rng.randint(0, 30) + str(i)) for i in range(900)]
