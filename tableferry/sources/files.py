@@ -13,7 +13,8 @@ from tableferry.operators.chunks import PART_BYTES, plan_parts
 
 def list_files(spark: SparkSession, path: str, suffix: str = ".parquet",
                recursive: bool = True) -> DataFrame:
-    """Path and size of the files with a suffix; their content is not read."""
+    """Path and size of the files with a suffix; their content is not read. Empty files are
+    not listed: the reader skips them, and there is nothing of them to send."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*{suffix}")

@@ -136,17 +136,15 @@ def append_by_position(df: DataFrame, target: str) -> None:
 
 
 def append_by_name(df: DataFrame, target: str) -> None:
-    """Columns the rows lack become null."""
-    have = {c.lower() for c in df.columns}
-    fields = df.sparkSession.table(target).schema.fields
-    extra = have - {f.name.lower() for f in fields}
+    """Columns the rows lack become null; columns the target lacks are an error."""
+    spark = df.sparkSession
+    extra = {c.lower() for c in df.columns} - {c.lower() for c in spark.table(target).columns}
     if extra:
         raise ValueError(f"{target} has no columns {sorted(extra)}")
     view = fresh_name("by_name")
-    df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields
-                     if f.name.lower() not in have]).createOrReplaceTempView(view)
-    df.sparkSession.sql(f"INSERT INTO {target} BY NAME SELECT * FROM {view}")
-    df.sparkSession.catalog.dropTempView(view)
+    aligned(df, target).createOrReplaceTempView(view)
+    spark.sql(f"INSERT INTO {target} BY NAME SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
 
 
 def sql_literal(value) -> str:
@@ -164,7 +162,28 @@ def add_partition(spark: SparkSession, target: str, partition: dict) -> None:
     spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {partition_spec(partition)}")
 
 
+def aligned(df: DataFrame, target: str, without: Sequence[str] = ()) -> DataFrame:
+    """The columns of the target in its order, null where ``df`` lacks one."""
+    have = {c.lower() for c in df.columns}
+    fields = [f for f in df.sparkSession.table(target).schema.fields if f.name not in without]
+    return df.select(*[
+        F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in fields])
+
+
+def overwrite_partition(df: DataFrame, target: str, partition: dict) -> None:
+    """Replace the content of one partition by ``df`` in a single step."""
+    view = fresh_name("part")
+    aligned(df, target, tuple(partition)).createOrReplaceTempView(view)
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE {target} {partition_spec(partition)} SELECT * FROM {view}")
+    df.sparkSession.catalog.dropTempView(view)
+
+
 def drop_partition(spark: SparkSession, target: str, partition: dict) -> None:
+    """Remove a partition and its rows; dropping alone leaves the files of an external table,
+    and they would be back with the next row written there."""
+    overwrite_partition(spark.table(target).limit(0), target, partition)
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {partition_spec(partition)}")
 
 
@@ -181,16 +200,22 @@ def load_partition(df: DataFrame, target: str, partition: dict,
 
 
 def reload_partition(df: DataFrame, target: str, partition: dict) -> None:
-    """Drop one partition, then append ``df`` (partition columns included). Rows of ``df`` in
-    other partitions are added to what those hold, which a dynamic overwrite would replace."""
-    drop_partition(df.sparkSession, target, partition)
-    append_by_name(df, target)
+    """Clear one partition and put in ``df`` (partition columns included).
+
+    Clear and load of that partition are one overwrite. Rows of ``df`` in other partitions are
+    added to what those hold, which a dynamic overwrite of ``df`` would replace instead.
+    """
+    inside = F.lit(True)
+    for name, value in partition.items():
+        inside = inside & F.col(name).eqNullSafe(F.lit(value))
+    overwrite_partition(df.where(inside), target, partition)
+    append_by_name(df.where(~inside), target)
 
 
 def truncate_reload(df: DataFrame, target: str) -> None:
-    """Empty the table, then append ``df``."""
-    df.sparkSession.sql(f"TRUNCATE TABLE {target}")
-    append_by_name(df, target)
+    """Replace all rows of a table, whatever partitions ``df`` covers."""
+    (aligned(df, target).write.option("partitionOverwriteMode", "static")
+     .insertInto(target, overwrite=True))
 
 
 def write_layout(df: DataFrame, path: str, partition_by: Sequence[str],
