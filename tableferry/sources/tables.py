@@ -183,7 +183,8 @@ def overwrite_partition(df: DataFrame, target: str, partition: dict) -> None:
 def drop_partition(spark: SparkSession, target: str, partition: dict) -> None:
     """Remove a partition and its rows; dropping alone leaves the files of an external table,
     and they would be back with the next row written there."""
-    overwrite_partition(spark.table(target).limit(0), target, partition)
+    nothing = spark.createDataFrame([], spark.table(target).schema)
+    overwrite_partition(nothing, target, partition)
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {partition_spec(partition)}")
 
 
