@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -11,6 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tableferry.operators.chunks import PART_BYTES, plan_parts
 
 
+def _opened(path: str):
+    """A file that can be read from any offset, on whatever file system it lies."""
+    if path.startswith("file:"):
+        return open("/" + path[len("file:"):].lstrip("/"), "rb")
+    fs, name = pafs.FileSystem.from_uri(quote(path, safe=":/?=%"))
+    return fs.open_input_file(name)
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = ".parquet",
                recursive: bool = True) -> DataFrame:
     """Path and size of the files with a suffix; their content is not read. Empty files are
@@ -39,8 +48,7 @@ def file_parts(files: DataFrame, part_bytes: int = PART_BYTES,
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                fs, name = pafs.FileSystem.from_uri(row["path"])
-                with fs.open_input_file(name) as f:
+                with _opened(row["path"]) as f:
                     f.seek((row["cur_part"] - 1) * part_bytes)
                     data = f.read(part_bytes)
                 yield pa.RecordBatch.from_arrays(

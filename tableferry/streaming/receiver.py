@@ -37,3 +37,13 @@ def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], chec
     writer = (writer.trigger(availableNow=True) if once
               else writer.trigger(processingTime=f"{seconds} seconds"))
     return writer.start()
+
+
+def start_files(chunks: DataFrame, sink: Sink, checkpoint: str, once: bool = False,
+                seconds: int = FLUSH_SECONDS) -> StreamingQuery:
+    """Run a subscription to a topic of file chunks."""
+    writer = (chunks.writeStream.foreachBatch(sink.write)
+              .option("checkpointLocation", checkpoint))
+    writer = (writer.trigger(availableNow=True) if once
+              else writer.trigger(processingTime=f"{seconds} seconds"))
+    return writer.start()

@@ -14,10 +14,13 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
+from tableferry.operators.chunks import PART_BYTES, incomplete
 from tableferry.operators.clear import KEYS, clear_events, last_clears, surviving
+from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
 from tableferry.operators.route import BAD_MSG, DIRTY, WAL, audit, good_rows, typed
 from tableferry.operators.upsert import last_wins
-from tableferry.schemas import AUDIT
+from tableferry.plans.sync import load_files
+from tableferry.schemas import AUDIT, CHUNK, RANGES
 
 HEAD = T.StructType([
     T.StructField("clear_table", T.StringType()), T.StructField("partition", T.StringType()),
@@ -35,31 +38,37 @@ class EpochLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def put(self, name: str, df: DataFrame, epoch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/epoch={epoch_id}")
+    def put(self, name: str, df: DataFrame, epoch_id: int, by: Sequence[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(
+            f"{self.path}/{name}/epoch={epoch_id}")
 
-    def get(self, name: str, schema: T.StructType, above: int = -1) -> DataFrame:
-        """All epochs later than ``above``; the folder names prune the read."""
+    def get(self, name: str, schema: T.StructType, upto: int, above: int = -1) -> DataFrame:
+        """The epochs after ``above`` up to ``upto``; the folder names prune the read."""
         if not self._listed(name, "epoch="):
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
         return (self.spark.read.schema(full).parquet(f"{self.path}/{name}")
-                .where(F.col("epoch") > above).drop("epoch"))
+                .where((F.col("epoch") > above) & (F.col("epoch") <= upto))
+                .select(*schema.names))
+
+    def finished(self, *names: str) -> int:
+        """The last epoch of which all these parts are written; -1 if there is none. Epochs
+        come one after the other, so all before it are finished as well."""
+        for n in sorted(self._listed(names[0], "epoch="), reverse=True):
+            if all(self._exists(f"{name}/epoch={n}/_SUCCESS") for name in names):
+                return n
+        return -1
 
     def put_base(self, df: DataFrame, upto: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
 
     def base(self, schema: T.StructType) -> tuple[DataFrame, int]:
         """The newest finished base and the last epoch it includes."""
-        done = [n for n in self._listed("base", "upto=")
-                if self._exists(f"base/upto={n}/_SUCCESS")]
-        if not done:
-            return self.spark.createDataFrame([], schema), -1
-        upto = max(done)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={upto}"), upto
-
-    def last_epoch(self, name: str) -> int:
-        return max(self._listed(name, "epoch="), default=-1)
+        for upto in sorted(self._listed("base", "upto="), reverse=True):
+            if self._exists(f"base/upto={upto}/_SUCCESS"):
+                path = f"{self.path}/base/upto={upto}"
+                return self.spark.read.schema(schema).parquet(path), upto
+        return self.spark.createDataFrame([], schema), -1
 
     def _hadoop(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -77,15 +86,19 @@ class EpochLog:
         return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
 
+def _row_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([
+        T.StructField("target", T.StringType()), T.StructField("msg_id", T.LongType()),
+        T.StructField("row_pos", T.IntegerType()), *schema.fields])
+
+
 class AppendSink:
     """Append target, cleared once per batch."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  partition: str | None = None):
         self.log, self.schema, self.partition = EpochLog(spark, path), schema, partition
-        self.row_schema = T.StructType([
-            T.StructField("target", T.StringType()), T.StructField("msg_id", T.LongType()),
-            T.StructField("row_pos", T.IntegerType()), *schema.fields])
+        self.row_schema = _row_schema(schema)
 
     def write(self, checked: DataFrame, epoch_id: int) -> None:
         mine = checked.where(F.col("route") == APPEND_TYPE)
@@ -96,43 +109,68 @@ class AppendSink:
         self.log.put("heads", mine.where("clear_table <> '' and batch_id <> ''")
                      .select(*HEAD.names), epoch_id)
 
-    def read(self) -> DataFrame:
-        base, upto = self.log.base(self.row_schema)
-        rows = base.unionByName(self.log.get("rows", self.row_schema, upto))
-        clears = last_clears(clear_events(self.log.get("heads", HEAD), KEYS))
+    def _at(self, upto: int) -> DataFrame:
+        base, included = self.log.base(self.row_schema)
+        rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
+        clears = last_clears(clear_events(self.log.get("heads", HEAD, upto), KEYS))
         return surviving(rows, clears, "target", self.partition)
 
+    def read(self) -> DataFrame:
+        return self._at(self.log.finished("rows", "heads"))
+
     def compact(self) -> None:
-        """Fold all finished epochs into a new base; headers stay, they are small and keep
+        """Fold all finished epochs into a new base. Headers stay: they are small, and keep
         the order of batches exact for messages that arrive late."""
-        upto = self.log.last_epoch("rows")
-        self.log.put_base(self.read(), upto)
+        upto = self.log.finished("rows", "heads")
+        if upto > self.log.base(self.row_schema)[1]:
+            self.log.put_base(self._at(upto), upto)
 
 
 class KeyedSink:
-    """Keyed target, last write wins."""
+    """Keyed target, last write wins.
+
+    With ``range_key``, rows must lie in a range of their target: one of ``ranges`` or one
+    that a message header asked for up to then. Others are kept apart, in ``uncovered``.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 keys: Sequence[str]):
+                 keys: Sequence[str], range_key: str | None = None,
+                 ranges: DataFrame | None = None):
         self.log, self.schema, self.keys = EpochLog(spark, path), schema, ["target", *keys]
-        self.row_schema = T.StructType([
-            T.StructField("target", T.StringType()), T.StructField("msg_id", T.LongType()),
-            T.StructField("row_pos", T.IntegerType()), *schema.fields])
+        self.range_key, self.ranges = range_key, ranges
+        self.row_schema = _row_schema(schema)
+
+    def registry(self, upto: int) -> DataFrame:
+        asked = self.log.get("ranges", RANGES, upto).distinct()
+        return asked if self.ranges is None else add_ranges(self.ranges, asked)
 
     def write(self, checked: DataFrame, epoch_id: int) -> None:
         mine = checked.where(F.col("route") == KEYED_TYPE)
         rows = typed(good_rows(mine, self.schema.names, ["target", "msg_id"]), self.schema)
         rows = rows.where("dirty_fields is null").select(*self.row_schema.names)
+        if self.range_key:
+            self.log.put("ranges", requested_ranges(mine), epoch_id)
+            placed = assign_ranges(rows, self.range_key, self.registry(epoch_id), "target")
+            self.log.put("uncovered", placed.where("lower is null").drop("lower", "upper"),
+                         epoch_id)
+            rows = placed.where("lower is not null").drop("lower", "upper")
         self.log.put("rows", last_wins(rows, self.keys, ["msg_id", "row_pos"]), epoch_id)
 
-    def read(self) -> DataFrame:
-        base, upto = self.log.base(self.row_schema)
-        rows = base.unionByName(self.log.get("rows", self.row_schema, upto))
+    def _at(self, upto: int) -> DataFrame:
+        base, included = self.log.base(self.row_schema)
+        rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
         return last_wins(rows, self.keys, ["msg_id", "row_pos"])
 
+    def read(self) -> DataFrame:
+        return self._at(self.log.finished("rows"))
+
+    def uncovered(self) -> DataFrame:
+        return self.log.get("uncovered", self.row_schema, self.log.finished("rows"))
+
     def compact(self) -> None:
-        upto = self.log.last_epoch("rows")
-        self.log.put_base(self.read(), upto)
+        upto = self.log.finished("rows")
+        if upto > self.log.base(self.row_schema)[1]:
+            self.log.put_base(self._at(upto), upto)
 
 
 class AuditSink:
@@ -153,7 +191,28 @@ class AuditSink:
         out = out.unionByName(audit(DIRTY, rows, F.concat(F.lit("type_mismatch:"),
                                                           F.col("dirty_fields")),
                                     F.col("_text")))
-        self.log.put("audit", out.select(*AUDIT.names), epoch_id)
+        self.log.put("audit", out.select(*AUDIT.names), epoch_id, by=["channel"])
+
+    def read(self) -> DataFrame:
+        return self.log.get("audit", AUDIT, self.log.finished("audit"))
+
+
+class FileSink:
+    """Chunk messages of files, kept until all parts of a file are here."""
+
+    def __init__(self, spark: SparkSession, path: str, part_bytes: int = PART_BYTES):
+        self.log, self.part_bytes = EpochLog(spark, path), part_bytes
+
+    def write(self, chunks: DataFrame, epoch_id: int) -> None:
+        self.log.put("chunks", chunks.select(*CHUNK.names), epoch_id)
+
+    def _chunks(self) -> DataFrame:
+        return self.log.get("chunks", CHUNK, self.log.finished("chunks"))
 
     def read(self) -> DataFrame:
-        return self.log.get("audit", AUDIT)
+        """Finished files as segments."""
+        return load_files(self._chunks(), self.part_bytes)
+
+    def pending(self) -> DataFrame:
+        """Files that still wait for parts."""
+        return incomplete(self._chunks())

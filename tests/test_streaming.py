@@ -70,7 +70,7 @@ def test_stop_restart_and_one_file_per_trigger(spark, topic, whole):
         query = receiver.start(topics.stream_topic(spark, path, 1), K, targets, f"{out}/cursor",
                                KNOWN, once=True)
         query.awaitTermination()
-    assert targets[0].log.last_epoch("rows") >= 3
+    assert targets[0].log.finished("rows", "heads") >= 3
     assert state(targets) == whole
 
 
@@ -110,3 +110,55 @@ def test_two_subscriptions_read_the_topic_separately(spark, topic):
         receiver.start(topics.stream_topic(spark, path), K, [], f"{out}/{name}", KNOWN, once=True,
                        callback=count(name)).awaitTermination()
     assert counts == {"a": 240, "b": 240}
+
+
+def test_an_unfinished_epoch_is_not_read(spark, topic):
+    sink = make(spark, scratch(spark, "half"))[0]
+    checked = sync.receive(topic, K, KNOWN)
+    sink.write(checked.where("msg_id < 120"), 0)
+    before = state([sink])
+    # the job was lost after the rows of epoch 1, before its headers
+    sink.log.put("rows", sink.read().select(*sink.row_schema.names), 1)
+    assert state([sink]) == before
+    sink.write(checked.where("msg_id >= 120"), 1)
+    assert state([sink]) != before
+
+
+def test_ranges_hold_from_the_epoch_that_asks_for_them(spark):
+    def batch(rows):
+        df = spark.createDataFrame(rows, "msg_id long, range_partition string, data string")
+        header = header_map({"db_type": "kudu", "target_table": "impala::t", "batch_id": "b",
+                             "range_partition": F.col("range_partition")})
+        return sync.receive(df.select("msg_id", header.alias("properties"), "data",
+                                      F.lit("x").alias("topic")), K, KNOWN)
+
+    held = spark.createDataFrame([("t", 0, 5)], "target_table string, lower long, upper long")
+    sink = sinks.KeyedSink(spark, scratch(spark, "ranged"), K, ["k"], "k", held)
+    sink.write(batch([(1, "", '[{"k": 1, "v": "a"},{"k": 7, "v": "early"}]')]), 0)
+    sink.write(batch([(2, "5<=VALUES<9", '[{"k": 7, "v": "b"},{"k": 9, "v": "out"}]')]), 1)
+    sink.write(batch([(3, "", '[{"k": 8, "v": "c"}]')]), 2)
+    assert sorted((r.k, r.v) for r in sink.read().collect()) == [(1, "a"), (7, "b"), (8, "c")]
+    assert sorted(r.v for r in sink.uncovered().collect()) == ["early", "out"]
+
+
+def test_file_chunks_wait_for_the_missing_part(spark, tmp_path):
+    from tableferry.schemas import CHUNK
+    from tableferry.sources import files
+    from tableferry.streaming import sinks as s
+
+    folder = tmp_path / "files with space"
+    folder.mkdir()
+    (folder / "a%20b.parquet").write_bytes(b"0123456789")
+    (folder / "c.parquet").write_bytes(b"xyz")
+    parts = files.file_parts(files.list_files(spark, str(folder)), 4)
+    sent = sync.send_files(parts, "t", F.create_map(F.lit("day"), F.lit("20240101"))).cache()
+    path, out = scratch(spark, "chunks"), scratch(spark, "files")
+    sink = s.FileSink(spark, out, 4)
+    for cond, done in (("cur_part <> 2", {b"xyz"}), ("cur_part = 2", {b"xyz", b"0123456789"})):
+        sent.where(cond).select(*CHUNK.names).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(CHUNK).parquet(path)
+        receiver.start_files(stream, sink, f"{out}/cursor", once=True).awaitTermination()
+        got = sink.read().collect()
+        assert {bytes(r.data) for r in got} == done
+        assert {(r.table, r.partition["day"]) for r in got} == {("t", "20240101")}
+        assert sink.pending().count() == 2 - len(done)
