@@ -23,6 +23,17 @@ def block_of(order: str, span: int) -> Column:
     return F.expr(f"cast(`{order}` as bigint) div {int(span)}L")
 
 
+def dense_order(df: DataFrame, columns: Sequence[str], out: str = "ord") -> DataFrame:
+    """Add an integer order for rows whose own order is sparse, not an integer, or several
+    columns, and store the result.
+
+    Rows are range-partitioned and sorted by ``columns``, so that ids given by partition and
+    position follow that order and are consecutive within a partition: blocks of them are full.
+    """
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    return stored(ranged.withColumn(out, F.monotonically_increasing_id()), "ordered")
+
+
 def numbered(df: DataFrame, order: str, by: Sequence[str] = (), span: int = SPAN,
              out: str = "row_no") -> DataFrame:
     """Exact 1-based row number of ``order`` (per ``by`` if given)."""

@@ -86,7 +86,7 @@ def missing_parts(chunks: DataFrame, base: int = 1, order: str = "msg_id") -> Da
     """The parts those files wait for, one row each."""
     wanted = incomplete(chunks, order).select("sync_id", "file", F.explode(F.sequence(
         F.lit(base), F.col("total_parts") + (base - 1))).alias("cur_part"))
-    have = checksum_ok(chunks).where("ok").select("sync_id", "cur_part")
+    have = _part_headers(chunks, order).where(F.col(order).isNotNull())
     return wanted.join(have, ["sync_id", "cur_part"], "left_anti")
 
 

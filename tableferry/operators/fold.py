@@ -146,14 +146,16 @@ def _flag(batch: pa.RecordBatch, name: str) -> np.ndarray:
 def _cuts(keyed: DataFrame, rule: Rule) -> DataFrame:
     """One row per block: its first start, and the home of the rows before that."""
 
-    def summarise(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("ord")
-        order = block["ord"].to_numpy()
-        at, threshold, leaves, starts, shift = rule.summarise(
-            block["weight"].to_numpy(), block["hard"].to_numpy(dtype=bool),
-            int(block["least"].iloc[0]))
-        return pd.DataFrame({
-            "lane": [block["lane"].iloc[0]], "block": [block["block"].iloc[0]],
+    def summarise(block: pa.Table) -> pa.Table:
+        order = block.column("ord").to_numpy()
+        by_order = np.argsort(order)
+        order, weight = order[by_order], block.column("weight").to_numpy()[by_order]
+        hard = (block.column("hard").to_numpy()[by_order] if "hard" in block.column_names
+                else np.zeros(len(order), dtype=bool))
+        least = block.column("least")[0].as_py() if "least" in block.column_names else rule.seed
+        at, threshold, leaves, starts, shift = rule.summarise(weight, hard, least)
+        return pa.table({
+            "lane": block.column("lane")[:1], "block": block.column("block")[:1],
             "shift": [shift], "threshold": [threshold], "start": [order[at]],
             "leaves": [leaves], "starts": [starts]})
 
@@ -177,7 +179,7 @@ def _cuts(keyed: DataFrame, rule: Rule) -> DataFrame:
                     state += int(s.shift)
             yield pd.DataFrame(out, columns=[c.split()[0] for c in CUTS.split(", ")])
 
-    summaries = keyed.groupBy("lane", "block").applyInPandas(summarise, SUMMARY)
+    summaries = keyed.groupBy("lane", "block").applyInArrow(summarise, SUMMARY)
     return (
         summaries.repartition("lane").sortWithinPartitions("lane", "block")
         .mapInPandas(chain, CUTS)
@@ -199,11 +201,9 @@ def homed(df: DataFrame, lane: str, order: str, weight: str, rule: Rule, hard: s
     keyed = prepared.select(
         F.col("_lane").alias("lane"), F.col("_block").alias("block"),
         F.col("_ord").alias("ord"), F.col("_weight").alias("weight"),
-        F.col("_hard").alias("hard"))
+        *([F.col("_hard").alias("hard")] if hard else []))
     if rule.when == "timer":
         keyed = _with_least_clock(keyed)
-    else:
-        keyed = keyed.withColumn("least", F.lit(rule.seed).cast("long"))
     cuts = stored(_cuts(keyed, rule), "cuts").select(
         F.col("lane").alias("_lane"), F.col("block").alias("_block"),
         "cut", "own_base", "prev_home", "prev_base")

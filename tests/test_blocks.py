@@ -58,3 +58,12 @@ def test_latest_mark_at_or_below_a_key(spark, span):
             want[t, k] = max(below)
     assert {(r.t, r.k): (r.m, r.v) for r in got} == want
     assert len(got) == len(want)
+
+
+def test_dense_order_follows_any_sort_key_and_fills_blocks(spark):
+    rng = random.Random(3)
+    data = [(rng.choice("abc"), f"{rng.random():.12f}", i) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, key string, i int").repartition(4)
+    got = blocks.dense_order(df, ["key", "i"]).orderBy("ord").collect()
+    assert [(r.key, r.i) for r in got] == sorted((k, i) for _, k, i in data)
+    assert len({r.ord // 1_000_000 for r in got}) <= spark.sparkContext.defaultParallelism * 2
