@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
@@ -33,7 +34,7 @@ class Sink(Protocol):
 
 
 class EpochLog:
-    """Folders ``name/epoch=N`` below a path."""
+    """Folders ``name/epoch=N`` below a path, and a list of the epochs that are finished."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -44,46 +45,46 @@ class EpochLog:
 
     def get(self, name: str, schema: T.StructType, upto: int, above: int = -1) -> DataFrame:
         """The epochs after ``above`` up to ``upto``; the folder names prune the read."""
-        if not self._listed(name, "epoch="):
+        if upto <= above:
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
         return (self.spark.read.schema(full).parquet(f"{self.path}/{name}")
                 .where((F.col("epoch") > above) & (F.col("epoch") <= upto))
                 .select(*schema.names))
 
-    def finished(self, *names: str) -> int:
-        """The last epoch of which all these parts are written; -1 if there is none. Epochs
-        come one after the other, so all before it are finished as well."""
-        for n in sorted(self._listed(names[0], "epoch="), reverse=True):
-            if all(self._exists(f"{name}/epoch={n}/_SUCCESS") for name in names):
-                return n
-        return -1
+    def commit(self, epoch_id: int) -> None:
+        """Everything of this epoch is written. A retry adds the same number again."""
+        self._note("commits", epoch_id)
+
+    def finished(self) -> int:
+        """The last finished epoch, -1 if there is none. Epochs come one after the other, so
+        all before it are finished as well."""
+        return self._noted("commits")
 
     def put_base(self, df: DataFrame, upto: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        self._note("bases", upto)
 
     def base(self, schema: T.StructType) -> tuple[DataFrame, int]:
-        """The newest finished base and the last epoch it includes."""
-        for upto in sorted(self._listed("base", "upto="), reverse=True):
-            if self._exists(f"base/upto={upto}/_SUCCESS"):
-                path = f"{self.path}/base/upto={upto}"
-                return self.spark.read.schema(schema).parquet(path), upto
-        return self.spark.createDataFrame([], schema), -1
-
-    def _hadoop(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
-
-    def _exists(self, name: str) -> bool:
-        fs, path = self._hadoop(name)
-        return fs.exists(path)
-
-    def _listed(self, name: str, prefix: str) -> list[int]:
-        fs, path = self._hadoop(name)
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
+        """The newest base and the last epoch it includes."""
+        upto = self._noted("bases")
+        if upto < 0:
+            return self.spark.createDataFrame([], schema), upto
+        return self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={upto}"), upto
+
+    def _note(self, name: str, number: int) -> None:
+        (self.spark.range(number, number + 1, 1, 1).withColumnRenamed("id", "number")
+         .write.mode("append").parquet(f"{self.path}/{name}"))
+
+    def _noted(self, name: str) -> int:
+        try:
+            noted = self.spark.read.schema("number long").parquet(f"{self.path}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return -1
+        last = noted.agg(F.max("number")).first()[0]
+        return -1 if last is None else last
 
 
 def _row_schema(schema: T.StructType) -> T.StructType:
@@ -108,6 +109,7 @@ class AppendSink:
         # a message clears even if its payload is bad
         self.log.put("heads", mine.where("clear_table <> '' and batch_id <> ''")
                      .select(*HEAD.names), epoch_id)
+        self.log.commit(epoch_id)
 
     def _at(self, upto: int) -> DataFrame:
         base, included = self.log.base(self.row_schema)
@@ -116,12 +118,12 @@ class AppendSink:
         return surviving(rows, clears, "target", self.partition)
 
     def read(self) -> DataFrame:
-        return self._at(self.log.finished("rows", "heads"))
+        return self._at(self.log.finished())
 
     def compact(self) -> None:
         """Fold all finished epochs into a new base. Headers stay: they are small, and keep
         the order of batches exact for messages that arrive late."""
-        upto = self.log.finished("rows", "heads")
+        upto = self.log.finished()
         if upto > self.log.base(self.row_schema)[1]:
             self.log.put_base(self._at(upto), upto)
 
@@ -155,6 +157,7 @@ class KeyedSink:
                          epoch_id)
             rows = placed.where("lower is not null").drop("lower", "upper")
         self.log.put("rows", last_wins(rows, self.keys, ["msg_id", "row_pos"]), epoch_id)
+        self.log.commit(epoch_id)
 
     def _at(self, upto: int) -> DataFrame:
         base, included = self.log.base(self.row_schema)
@@ -162,13 +165,13 @@ class KeyedSink:
         return last_wins(rows, self.keys, ["msg_id", "row_pos"])
 
     def read(self) -> DataFrame:
-        return self._at(self.log.finished("rows"))
+        return self._at(self.log.finished())
 
     def uncovered(self) -> DataFrame:
-        return self.log.get("uncovered", self.row_schema, self.log.finished("rows"))
+        return self.log.get("uncovered", self.row_schema, self.log.finished())
 
     def compact(self) -> None:
-        upto = self.log.finished("rows")
+        upto = self.log.finished()
         if upto > self.log.base(self.row_schema)[1]:
             self.log.put_base(self._at(upto), upto)
 
@@ -192,9 +195,10 @@ class AuditSink:
                                                           F.col("dirty_fields")),
                                     F.col("_text")))
         self.log.put("audit", out.select(*AUDIT.names), epoch_id, by=["channel"])
+        self.log.commit(epoch_id)
 
     def read(self) -> DataFrame:
-        return self.log.get("audit", AUDIT, self.log.finished("audit"))
+        return self.log.get("audit", AUDIT, self.log.finished())
 
 
 class FileSink:
@@ -205,9 +209,10 @@ class FileSink:
 
     def write(self, chunks: DataFrame, epoch_id: int) -> None:
         self.log.put("chunks", chunks.select(*CHUNK.names), epoch_id)
+        self.log.commit(epoch_id)
 
     def _chunks(self) -> DataFrame:
-        return self.log.get("chunks", CHUNK, self.log.finished("chunks"))
+        return self.log.get("chunks", CHUNK, self.log.finished())
 
     def read(self) -> DataFrame:
         """Finished files as segments."""

@@ -66,11 +66,11 @@ def test_stop_restart_and_one_file_per_trigger(spark, topic, whole):
     path, out = scratch(spark, "topic"), scratch(spark, "out")
     targets = make(spark, out)
     for low, high in ((0, 60), (60, 130), (130, 240)):
-        topics.publish(topic.where(f"msg_id >= {low} and msg_id < {high}").coalesce(2), path)
+        topics.publish(topic.where(f"msg_id >= {low} and msg_id < {high}").coalesce(1), path)
         query = receiver.start(topics.stream_topic(spark, path, 1), K, targets, f"{out}/cursor",
                                KNOWN, once=True)
         query.awaitTermination()
-    assert targets[0].log.finished("rows", "heads") >= 3
+    assert targets[0].log.finished() == 2
     assert state(targets) == whole
 
 
@@ -99,7 +99,7 @@ def test_compaction_changes_nothing_readers_see(spark, topic, whole):
 def test_two_subscriptions_read_the_topic_separately(spark, topic):
     path, out = scratch(spark, "topic"), scratch(spark, "subs")
     topics.publish(topic, path)
-    counts = {}
+    counts: dict = {}
 
     def count(name):
         def seen(batch, epoch):
