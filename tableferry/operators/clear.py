@@ -1,18 +1,18 @@
 """Clear once per batch: which messages clear, and what is left afterwards.
 
 A message clears its table (or partition) when its batch id differs from that of the message
-before it with the same key. Messages are first reduced to the starts of runs of one batch id,
-a few per key and batch; everything else works on those. The starts found in separate
-micro-batches, taken together, give the same clears as one pass over all messages.
+before it with the same key. Both the comparison and the numbering of clears work in blocks of
+message ids, so neither a table that gets most messages nor batches that alternate all the time
+put a key into one task. What stays is decided by the last clear of each key alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tableferry.operators.blocks import SPAN, with_previous
+from tableferry.operators.blocks import SPAN, numbered, with_previous
 from tableferry.session import stored
 
 KEYS = ("clear_table", "partition")
@@ -20,7 +20,8 @@ KEYS = ("clear_table", "partition")
 
 def run_starts(messages: DataFrame, keys: Sequence[str] = KEYS, order: str = "msg_id",
                batch: str = "batch_id", span: int = SPAN) -> DataFrame:
-    """First message of every run of one batch id per key (header values, not null)."""
+    """First message of every run of one batch id per key: the messages that clear. Header
+    values are never null."""
     asked = messages.where((F.col(keys[0]) != "") & (F.col(batch) != "")).select(
         *keys, order, batch)
     seen = with_previous(asked, keys, order, [batch], span)
@@ -28,31 +29,17 @@ def run_starts(messages: DataFrame, keys: Sequence[str] = KEYS, order: str = "ms
         *keys, order, batch)
 
 
-def clears_of(starts: DataFrame, keys: Sequence[str] = KEYS, order: str = "msg_id",
-              batch: str = "batch_id") -> DataFrame:
-    """Run starts to clears, numbered per key from 1 in ``epoch``.
-
-    A start that continues the batch of the start before it (the run was split over two
-    micro-batches) is not a clear.
-    """
-    along = Window.partitionBy(*keys).orderBy(order)
-    marked = starts.withColumn("_prev", F.lag(batch).over(along))
-    return (
-        marked.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(batch)))
-        .select(*keys, order, batch, F.row_number().over(along).cast("long").alias("epoch"))
-    )
-
-
 def clear_events(messages: DataFrame, keys: Sequence[str] = KEYS, order: str = "msg_id",
                  batch: str = "batch_id", span: int = SPAN) -> DataFrame:
-    """The messages that trigger a clear."""
-    return clears_of(run_starts(messages, keys, order, batch, span), keys, order, batch)
+    """The messages that trigger a clear, numbered per key from 1 in ``epoch``."""
+    starts = run_starts(messages, keys, order, batch, span)
+    return numbered(starts, order, keys, span, "epoch")
 
 
-def last_clears(events: DataFrame, keys: Sequence[str] = KEYS,
+def last_clears(starts: DataFrame, keys: Sequence[str] = KEYS,
                 order: str = "msg_id") -> DataFrame:
-    """The last clear of each key."""
-    return events.groupBy(*keys).agg(F.max(order).alias("cleared_at"))
+    """The last clear of each key, from run starts or clear events."""
+    return starts.groupBy(*keys).agg(F.max(order).alias("cleared_at"))
 
 
 def surviving(rows: DataFrame, last: DataFrame, table: str, partition: str | None = None,

@@ -444,7 +444,7 @@ def clear_events(spark, sf_dir):
 
 def _reloaded(spark, sf_dir, keys):
     msgs = fx.clears(spark, sf_dir)
-    last = clear.last_clears(clear.clear_events(msgs, keys), keys)
+    last = clear.last_clears(clear.run_starts(msgs, keys), keys)
     kept = clear.surviving(msgs, last, "clear_table", "part", keys=keys)
     return kept.select("msg_id", "clear_table", "part", "value")
 

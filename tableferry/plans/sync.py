@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tableferry.functions.codec import encoded
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE, enriched
 from tableferry.operators import chunks as ch
-from tableferry.operators.clear import KEYS, clear_events, last_clears, surviving
+from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.fold import sequential_groups
 from tableferry.operators.pack import MESSAGE_BYTES, pack_messages, to_topic
 from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
@@ -52,7 +52,7 @@ def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame |
     for physical, logical in (aliases or {}).items():
         heads = heads.withColumn("clear_table", F.when(
             F.col("clear_table") == physical, logical).otherwise(F.col("clear_table")))
-    last = last_clears(clear_events(heads, KEYS, span=span))
+    last = last_clears(run_starts(heads, KEYS, span=span))
     rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema)
     rows = rows.where("dirty_fields is null").select("target", "msg_id", *schema.names)
     if existing is not None:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
 from tableferry.operators.chunks import PART_BYTES, incomplete
-from tableferry.operators.clear import KEYS, clear_events, last_clears, surviving
+from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
 from tableferry.operators.route import BAD_MSG, DIRTY, WAL, audit, good_rows, typed
 from tableferry.operators.upsert import last_wins
@@ -114,7 +114,7 @@ class AppendSink:
     def _at(self, upto: int) -> DataFrame:
         base, included = self.log.base(self.row_schema)
         rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
-        clears = last_clears(clear_events(self.log.get("heads", HEAD, upto), KEYS))
+        clears = last_clears(run_starts(self.log.get("heads", HEAD, upto), KEYS))
         return surviving(rows, clears, "target", self.partition)
 
     def read(self) -> DataFrame:

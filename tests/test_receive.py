@@ -72,10 +72,6 @@ def test_clears_match_a_plain_window(spark, span):
         "b is null or b <> batch_id").select("msg_id")
     got = clear.clear_events(msgs, span=span).select("msg_id")
     assert sorted(got.collect()) == sorted(want.collect())
-    # starts found in separate sets of messages give the same clears
-    halves = [clear.run_starts(msgs.where(c)) for c in ("msg_id < 411", "msg_id >= 411")]
-    split = clear.clears_of(halves[0].unionByName(halves[1])).select("msg_id")
-    assert sorted(split.collect()) == sorted(want.collect())
 
 
 def test_other_partitions_of_the_batch_are_only_appended_to(spark):

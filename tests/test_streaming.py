@@ -162,3 +162,20 @@ def test_file_chunks_wait_for_the_missing_part(spark, tmp_path):
         assert {bytes(r.data) for r in got} == done
         assert {(r.table, r.partition["day"]) for r in got} == {("t", "20240101")}
         assert sink.pending().count() == 2 - len(done)
+
+
+def test_a_failed_micro_batch_is_done_again_after_restart(spark, topic, whole):
+    path, out = scratch(spark, "topic"), scratch(spark, "fails")
+    topics.publish(topic, path)
+    targets = make(spark, out)
+
+    class Broken:
+        def write(self, checked, epoch_id):
+            raise RuntimeError("target is away")
+
+    with pytest.raises(Exception, match="target is away"):
+        receiver.start(topics.stream_topic(spark, path), K, [targets[0], Broken()],
+                       f"{out}/cursor", KNOWN, once=True).awaitTermination()
+    receiver.start(topics.stream_topic(spark, path), K, targets, f"{out}/cursor", KNOWN,
+                   once=True).awaitTermination()
+    assert state(targets) == whole
