@@ -190,10 +190,15 @@ def homed(df: DataFrame, lane: str, order: str, weight: str, rule: Rule, hard: s
           span: int = SPAN) -> DataFrame:
     """``df`` with ``_lane, _ord, _weight, _hard, _home, _base``, clustered and sorted by
     (lane, home, order): each home is a run of whole groups."""
+    def present(name):
+        # rows without a place would be lost in the joins below
+        missing = F.raise_error(F.lit(f"{name} must not be null")).cast("long")
+        return F.coalesce(F.col(name).cast("long"), missing)
+
     prepared = df.select(
         "*",
-        F.col(lane).cast("long").alias("_lane"),
-        F.col(order).cast("long").alias("_ord"),
+        present(lane).alias("_lane"),
+        present(order).alias("_ord"),
         F.col(weight).cast("long").alias("_weight"),
         (F.coalesce(F.col(hard), F.lit(False)) if hard else F.lit(False)).alias("_hard"),
         block_of(order, span).alias("_block"),

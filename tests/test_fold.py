@@ -2,12 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-import numpy as np
-
 from tableferry.operators.fold import Folder, Rule, assembled, sequential_groups
 
 SCHEMA = "lane long, ord long, w long, hard boolean"
@@ -134,6 +134,13 @@ def test_rejects_unknown_rule():
         Rule("sometimes", 3)
 
 
+@pytest.mark.parametrize("row", [(None, 1, 1, False), (0, None, 1, False)])
+def test_rows_without_a_place_stop_the_job(spark, row):
+    df = spark.createDataFrame([row, (0, 5, 1, False)], SCHEMA)
+    with pytest.raises(PySparkException, match="must not be null"):
+        sequential_groups(df, "lane", "ord", "w", 10).collect()
+
+
 def test_groups_with_a_third_of_all_rows_in_one_lane(spark):
     """The hot lane is spread over blocks: no partition of the sorted rows holds it whole."""
     df = spark.range(30000).select(
