@@ -62,7 +62,7 @@ def from_wire(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, T.BinaryType):
-        return F.unbase64(text)
+        return F.try_to_binary(text, F.lit("base64"))
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.from_json(text, dtype)
     return text.try_cast(dtype)

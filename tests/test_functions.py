@@ -33,6 +33,12 @@ def test_rows_survive_the_wire(spark):
     assert sorted(map(str, back.select(*schema.names).collect())) == sorted(map(str, df.collect()))
 
 
+def test_text_that_is_no_binary_is_dirty(spark):
+    df = spark.createDataFrame([("!!!",), ("AP8=",)], "b string")
+    got = typed(df, T.StructType([T.StructField("b", T.BinaryType())])).collect()
+    assert [(r.b and bytes(r.b), r.dirty_fields) for r in got] == [(None, "b"), (b"\x00\xff", None)]
+
+
 def test_null_fields_are_kept_in_the_text(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert json.loads(codec.encode_rows(df).first().enc) == {"a": 1, "b": None}
