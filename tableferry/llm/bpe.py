@@ -27,10 +27,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tableferry.llm.common import extended, sliced, texts
+from tableferry.llm.common import WordHasher, extended, sliced, texts
 
 LEXICON_WORDS = 131_072
 SHIFT = 20
@@ -70,17 +71,20 @@ class Merges:
     def merge(self, word: str) -> list[int]:
         """The ids of one word: always the pair of lowest rank, leftmost first."""
         data = word.encode()
-        ids = [self.inner[b] for b in data[:-1]] + [self.final[data[-1]]]
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.final[data[-1]]
         if len(ids) > 200:
             return self._merge_long(ids)
         none = 1 << 62
-        get = self.pairs.get
+        get, mask = self.pairs.get, (1 << SHIFT) - 1
         ranks = [get((a << SHIFT) | b, none) for a, b in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) < none:
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
             i = ranks.index(best)
-            new = best & ((1 << SHIFT) - 1)
-            ids[i:i + 2] = [new]
-            del ranks[i]
+            new = ids[i] = best & mask
+            del ids[i + 1], ranks[i]
             if i:
                 ranks[i - 1] = get((ids[i - 1] << SHIFT) | new, none)
             if i < len(ranks):
@@ -129,6 +133,8 @@ def words_of(pattern: str, special: dict[str, int]):
         return split(text.lower())
 
     def words(text: str) -> list:
+        if text.isascii() and text.isalpha():
+            return [text.lower()]
         if marks is None or "<" not in text or not marks.search(text):
             return plain(text)
         out: list = []
@@ -226,37 +232,46 @@ class Transducer:
 def frequent_words(docs: DataFrame, merges: Merges, n: int = LEXICON_WORDS,
                    column: str = "text") -> list[str]:
     """The ``n`` most frequent words over all texts; counts are added up in tasks first."""
-    pattern, special = merges.pattern, merges.special
 
     def task(batches):
-        words, counts = words_of(pattern, special), Counter()
+        hasher, counts = WordHasher(), Counter()
 
         def flush():
-            pairs = [(w, c) for w, c in counts.items() if isinstance(w, str)]
+            pairs = list(counts.items())
             counts.clear()
             for at in range(0, len(pairs), 20_000):
                 part = pairs[at:at + 20_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _ in part]), pa.array([c for _, c in part], pa.int64())],
-                    names=["word", "n"])
+                    [pa.array([w.decode() for w, _ in part], pa.string()),
+                     pa.array([c for _, c in part], pa.int64())], names=["word", "n"])
 
         for batch in sliced(batches, column):
-            for text in texts(batch, column):
-                counts.update(words(text))
-            if len(counts) > 500_000:
+            found, _, count = hasher.words([t.encode() for t in texts(batch, column)]).distinct()
+            for word, c in zip(found, count.tolist()):
+                counts[word] += c
+            if len(counts) > 300_000:
                 yield from flush()
         yield from flush()
 
     counted = docs.select(column).mapInArrow(task, "word string, n long")
-    # a word so long that it is no word of any lexicon is merged where it occurs
+    # pieces between white space; one so long that it is no entry is merged where it occurs
     top = (counted.where(F.length("word") <= 64).groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(n))
-    return [r.word for r in top.collect()]
+    words, totals = words_of(merges.pattern, merges.special), Counter()
+    for r in top.collect():
+        for word in words(r.word):
+            if isinstance(word, str):
+                totals[word] += r.n
+    return [w for w, _ in totals.most_common(n)]
 
 
 def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "ids",
            lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """Add the ids of ``column`` as array<int> ``out``."""
+    """Add the ids of ``column`` as array<int> ``out``.
+
+    ASCII white space always ends a word, so a text's ids are those of its pieces in order, and
+    each distinct piece of a batch is looked up once.
+    """
     blob = Transducer.compiled({w: merges.merge(w)
                                 for w in frequent_words(docs, merges, lexicon_words, column)})
 
@@ -264,27 +279,32 @@ def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "id
         words, lexicon = words_of(merges.pattern, merges.special), Transducer(blob)
 
         class Known(dict):
-            def __missing__(self, word):
-                if len(self) > 300_000:
+            def __missing__(self, piece):
+                if len(self) > 400_000:
                     self.clear()
-                if isinstance(word, int):
-                    ids = [word]
-                else:
-                    ids = lexicon.get(word) or merges.merge(word)
-                value = self[word] = array("i", ids)
-                return value
+                ids = array("i")
+                for word in words(piece.decode()):
+                    if isinstance(word, int):
+                        ids.append(word)
+                    else:
+                        ids.extend(lexicon.get(word) or merges.merge(word))
+                self[piece] = ids
+                return ids
 
-        known = Known()
+        known, hasher = Known(), WordHasher()
 
         def work(values):
-            data, offsets = array("i"), [0]
-            for text in values:
-                for ids in map(known.__getitem__, words(text)):
-                    data += ids
-                offsets.append(len(data))
-            return [pa.ListArray.from_arrays(
-                pa.array(np.array(offsets, np.int32)),
-                pa.array(np.frombuffer(data, np.int32) if data else np.zeros(0, np.int32)))]
+            pieces = hasher.words([v.encode() for v in values])
+            found, of, _ = pieces.distinct()
+            ids = [known[p] for p in found]
+            sizes = np.array([len(x) for x in ids], np.int64)
+            begins = np.cumsum(sizes) - sizes
+            table = np.frombuffer(b"".join(ids), np.int32)
+            size = sizes[of]
+            ends = np.cumsum(size)
+            place = np.arange(int(size.sum())) + np.repeat(begins[of] - (ends - size), size)
+            offsets = np.concatenate([[0], ends])[pieces.starts].astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(table[place]))]
 
         return work
 
@@ -293,7 +313,7 @@ def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "id
 
 def decode(df: DataFrame, merges: Merges, column: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the text of the ids: the file names no decoder, so tokens are joined by one space."""
-    tokens = merges.tokens
+    tokens = pa.array(merges.tokens)
     kept = [c for c in df.columns if c.lower() != out.lower()]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
@@ -301,10 +321,16 @@ def decode(df: DataFrame, merges: Merges, column: str = "ids", out: str = "decod
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                decoded = [" ".join([tokens[i] for i in ids if i is not None]) if ids else ""
-                           for ids in part.column(column).to_pylist()]
+                ids = part.column(column)
+                # a list's nulls are skipped; a list that is null decodes to the empty text
+                named = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(
+                        pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]), pa.int32()),
+                    tokens.take(ids.flatten()))
+                joined = pc.binary_join(named, " ") if not ids.flatten().null_count else pa.array(
+                    [" ".join(t for t in x if t is not None) for x in named.to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept] + [pa.array(decoded, pa.string())],
+                    [part.column(c) for c in kept] + [joined.cast(pa.string())],
                     names=kept + [out])
 
     return df.mapInArrow(task, schema)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 U64 = np.uint64
 
 
@@ -53,10 +54,6 @@ def extended(df: DataFrame, fields: list[T.StructField], make: Callable,
     return df.mapInArrow(task, schema)
 
 
-def text_crc32(text: Column) -> Column:
-    return F.crc32(text)
-
-
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the rows that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(True))
@@ -71,33 +68,61 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, bound: int = 400_000):
-        super().__init__()
-        import xxhash
-        self._hash, self._bound = xxhash.xxh3_64_intdigest, bound
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self._bound:
-            self.clear()
-        value = self[word] = self._hash(word)
-        return value
+class WordHasher:
+    """Words of many texts at once, by array operations on their bytes.
 
-
-def word_hashes(values: list[bytes], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, one after the other, and where each text starts.
-
-    Words are what lies between the ASCII white space 0x20 and 0x09 to 0x0D, which is the
-    way ``bytes.split`` cuts.
+    Words are what lies between the ASCII white space 0x20 and 0x09 to 0x0D. A word's hash is a
+    polynomial over its bytes mod 2^64, taken from running sums: a difference of two sums, times
+    a power, is the value of the bytes between, wherever the word stands.
     """
-    words = [v.split() for v in values]
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum([len(w) for w in words], out=starts[1:])
-    hashes = np.fromiter((h for w in words for h in map(cache.__getitem__, w)), U64,
-                         int(starts[-1]))
-    return hashes, starts
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, size: int = 1 << 21):
+        self._values = mixed(np.arange(1, 257, dtype=U64) * U64(self.BASE))
+        self._grow(size)
+
+    def _grow(self, n: int) -> None:
+        up, down = np.full(n, self.BASE, U64), np.full(n, pow(self.BASE, -1, 1 << 64), U64)
+        up[0] = down[0] = 1
+        self._up, self._down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+
+    def words(self, data: list[bytes]) -> Words:
+        joined = b" ".join(data) + b" "
+        if len(joined) + 1 > len(self._up):
+            self._grow(2 * len(joined))
+        raw = np.frombuffer(joined, np.uint8)
+        space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+        edges = np.flatnonzero(np.diff(space, prepend=True))
+        begin, end = edges[0::2], edges[1::2]
+        sums = np.zeros(len(raw) + 1, U64)
+        np.cumsum(self._values[raw] * self._down[:len(raw)], out=sums[1:])
+        hashes = mixed((sums[end] - sums[begin]) * self._up[begin] + (end - begin).astype(U64))
+        offsets = np.zeros(len(data) + 1, np.int64)
+        np.cumsum([len(d) + 1 for d in data], out=offsets[1:])
+        return Words(joined, begin, end, hashes, np.searchsorted(begin, offsets))
+
+
+@dataclass
+class Words:
+    """Words of texts: the bytes, where each word begins and ends, its hash, and the number of
+    the first word of each text (one more at the end)."""
+
+    joined: bytes
+    begin: np.ndarray
+    end: np.ndarray
+    hashes: np.ndarray
+    starts: np.ndarray
+
+    def distinct(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct words, the number of each word among them, and their counts."""
+        import pandas as pd
+        of, known = pd.factorize(self.hashes)
+        first = np.empty(len(known), np.int64)
+        first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+        return ([self.joined[a:b] for a, b in zip(self.begin[first].tolist(),
+                                                  self.end[first].tolist())],
+                of, np.bincount(of, minlength=len(known)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:

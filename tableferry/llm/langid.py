@@ -14,7 +14,6 @@ neighbours; every word of a long text takes part.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 
@@ -22,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tableferry.llm.common import extended, held_out
+from tableferry.llm.common import WordHasher, extended, held_out
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 2_000
 SWITCH = 6.0
 MAX_GRAMS = 60_000
 RANGE_BITS = 7  # code points are grouped by 128
@@ -32,10 +31,25 @@ UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> list[str]:
-    """The 1- to 3-grams of a word with its borders marked."""
-    w = f"^{word}$"
-    return list(word) + [w[i:i + n] for n in (2, 3) for i in range(len(w) - n + 1)]
+def gram_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the 1- to 3-grams of all words, borders marked, and the number of the word each
+    belongs to."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    points = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"),
+                           np.uint32).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), sizes + 2)
+    inner = np.ones(len(points), bool)
+    ends = np.cumsum(sizes + 2)
+    inner[ends - 1] = inner[ends - sizes - 2] = False
+    keys, of = [points[inner]], [word[inner]]
+    for n in (2, 3):
+        whole = word[n - 1:] == word[:len(word) - n + 1]
+        key = points[:len(points) - n + 1].copy()
+        for i in range(1, n):
+            key = (key << 21) | points[i:len(points) - n + 1 + i]
+        keys.append(key[whole])
+        of.append(word[n - 1:][whole])
+    return np.concatenate(keys), np.concatenate(of)
 
 
 class LanguageModel:
@@ -43,39 +57,84 @@ class LanguageModel:
 
     def __init__(self, sample: list[tuple[str, str]]):
         self.langs = sorted({lang for _, lang in sample})
-        counts = [Counter() for _ in self.langs]
-        ranges: dict[int, list[int]] = defaultdict(lambda: [0] * len(self.langs))
+        n = len(self.langs)
+        words = [Counter() for _ in self.langs]
         for text, lang in sample:
             at = self.langs.index(lang)
-            for word, n in Counter(WORD.findall(text.lower())).items():
-                n = min(n, 3)  # a text that repeats a word says little more
-                for g in grams(word):
-                    counts[at][g] += n
+            for word, count in Counter(WORD.findall(text.lower())).items():
+                words[at][word] += min(count, 3)  # a text that repeats a word says little more
+        ranges: dict[int, list[int]] = defaultdict(lambda: [0] * n)
+        found = []
+        for at, counts in enumerate(words):
+            for word, count in counts.items():
                 for r in {ord(c) >> RANGE_BITS for c in word}:
-                    ranges[r][at] += n
-        total = Counter()
-        for c in counts:
-            total.update(c)
-        grams_kept = [g for g, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:MAX_GRAMS]]
-        sums = [sum(c[g] for g in grams_kept) + 0.5 * (len(grams_kept) + 1) for c in counts]
-        self.scores = {g: tuple(math.log((c[g] + 0.5) / s) for c, s in zip(counts, sums))
-                       for g in grams_kept}
-        self.unseen = tuple(math.log(0.5 / s) for s in sums)
+                    ranges[r][at] += count
+            weights = np.array(list(counts.values()), float)
+            keys, of = gram_keys(list(counts))
+            known, back = np.unique(keys, return_inverse=True)
+            found.append((known, np.bincount(back, weights[of], len(known))))
+        self.keys = np.unique(np.concatenate([k for k, _ in found])) if found \
+            else np.zeros(0, np.int64)
+        counts = np.zeros((len(self.keys), n))
+        for at, (known, count) in enumerate(found):
+            counts[np.searchsorted(self.keys, known), at] = count
+        if len(self.keys) > MAX_GRAMS:
+            top = np.sort(np.argsort(-counts.sum(axis=1), kind="stable")[:MAX_GRAMS])
+            self.keys, counts = self.keys[top], counts[top]
+        # the last row is for n-grams that were not seen
+        counts = np.vstack([counts, np.zeros(n)]) + 0.5
+        self.table = np.log(counts / counts.sum(axis=0)) if n else counts
         # a range belongs to the languages that have at least a thousandth of its words
-        self.ranges = {r: tuple(n * 1000 >= sum(c) for n in c) for r, c in ranges.items()}
-
-    def word_scores(self, word: str) -> list[float]:
-        """Mean log score per gram and language, times a weight that grows with the length;
-        languages that the word's script rules out get a very low one."""
-        none = (True,) * len(self.langs)
-        allowed = [all(self.ranges.get(ord(c) >> RANGE_BITS, none)[i] for c in set(word))
-                   for i in range(len(self.langs))]
-        if not any(allowed) or not any((ord(c) >> RANGE_BITS) in self.ranges for c in word):
-            return [0.0] * len(self.langs)
-        found = [self.scores.get(g, self.unseen) for g in grams(word)]
-        sums = [sum(x) / 3 for x in zip(*found)]
-        best = max(s for s, ok in zip(sums, allowed) if ok)
-        return [max(s - best, -20.0) if ok else -40.0 for s, ok in zip(sums, allowed)]
+        self.ranges = {r: tuple(c * 1000 >= sum(many) for c in many)
+                       for r, many in ranges.items()}
+
+    def scorer(self):
+        """A function from words to an array of scores, one row a word.
+
+        A score is the log-likelihood of the word's n-grams, a third of it as they overlap, against
+        the best language, and not below -20; languages that the word's script rules out get -40.
+        A word of an unknown script gets 0 throughout.
+        """
+        n = len(self.langs)
+        every = (1 << n) - 1
+        masks: dict[str, tuple[int, bool]] = {}
+
+        def mask(c: str) -> tuple[int, bool]:
+            if c not in masks:
+                known = self.ranges.get(ord(c) >> RANGE_BITS)
+                masks[c] = (every, False) if known is None else (
+                    sum(1 << i for i, ok in enumerate(known) if ok), True)
+            return masks[c]
+
+        plain = mask("a") == (every, True) and mask("é") == (every, True)
+
+        def scored(words: list[str]) -> np.ndarray:
+            if not words:
+                return np.zeros((0, n))
+            keys, of = gram_keys(words)
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at[self.keys[at] != keys] = len(self.keys)
+            sums = np.column_stack([np.bincount(of, self.table[at, i], len(words))
+                                    for i in range(n)]) / 3
+            allowed, unknown = np.ones((len(words), n), bool), np.zeros(len(words), bool)
+            for k, w in enumerate(words):
+                if plain and max(w) < "\u0100":  # both ranges are open to all languages
+                    continue
+                some, bits = False, every
+                for c in set(w):
+                    b, ok = mask(c)
+                    bits &= b
+                    some |= ok
+                if not some or not bits:
+                    unknown[k] = True
+                elif bits != every:
+                    allowed[k] = [(bits >> i) & 1 for i in range(n)]
+            best = np.where(allowed, sums, -np.inf).max(axis=1, keepdims=True)
+            out = np.where(allowed, np.maximum(sums - best, -20.0), -40.0)
+            out[unknown] = 0.0
+            return out
+
+        return scored
 
 
 def fitted(docs: DataFrame, rows: int = SAMPLE_ROWS) -> LanguageModel:
@@ -98,11 +157,28 @@ def fitted(docs: DataFrame, rows: int = SAMPLE_ROWS) -> LanguageModel:
     return LanguageModel([(r.text, r.lang) for r in got.toLocalIterator()])
 
 
+def viterbi_one(scores: list[list[float]], penalty: float) -> list[int]:
+    """The best labels of one text, word by word."""
+    total, back = scores[0], []
+    for row in scores[1:]:
+        best = max(total)
+        switched = best - penalty
+        back.append((total.index(best), [t < switched for t in total]))
+        total = [(t if t >= switched else switched) + x for t, x in zip(total, row)]
+    now = total.index(max(total))
+    labels = [now]
+    for best, moved in reversed(back):
+        now = best if moved[now] else now
+        labels.append(now)
+    return labels[::-1]
+
+
 def viterbi(scores: np.ndarray, starts: np.ndarray, penalty: float) -> np.ndarray:
     """The best label of every word, for many texts at once.
 
     ``scores`` holds the words of all texts one after the other. Step ``t`` handles word ``t`` of
-    each text that has one, so the work per step is one array operation over the texts.
+    each text that has one, so the work per step is one array operation over the texts; the few
+    longest texts, for which a step would have little to do, are labelled one by one.
     """
     lengths = np.diff(starts)
     order = np.argsort(-lengths, kind="stable")
@@ -110,32 +186,39 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, penalty: float) -> np.ndarra
     labels = np.zeros(len(scores), np.int16)
     if not len(scores):
         return labels
-    n_langs = scores.shape[1]
-    came = np.zeros((len(scores), n_langs), bool)  # the best way into a label was a switch
-    best_at = np.zeros(len(scores), np.int16)      # the best label of the word before
-    live = np.searchsorted(-lengths, -np.arange(1, int(lengths[0]) + 1), side="right")
+    # a step costs about as much as ten words on their own
+    alone = int(np.argmin(np.concatenate([[0], np.cumsum(lengths)])
+                          + 10 * np.append(lengths, 0)))
+    for a, n in zip(begin[:alone].tolist(), lengths[:alone].tolist()):
+        if n:
+            labels[a:a + n] = viterbi_one(scores[a:a + n].tolist(), penalty)
+    begin, lengths = begin[alone:], lengths[alone:]
+    steps = int(lengths[0]) if len(lengths) else 0
+    if not steps:
+        return labels
+    came = np.zeros((len(scores), scores.shape[1]), bool)  # the best way into a label: a switch
+    best_at = np.zeros(len(scores), np.int16)              # the best label of the word before
+    live = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right").tolist()
     total = scores[begin[:live[0]]].copy()
-    last = np.zeros(len(order), np.int16)
-    for t in range(1, int(lengths[0])):
-        n = int(live[t])
+    last = np.zeros(len(lengths), np.int16)
+    for t in range(1, steps):
+        n = live[t]
         if n < len(total):
             last[n:len(total)] = total[n:].argmax(axis=1)
             total = total[:n]
         at = begin[:n] + t
-        top = total.argmax(axis=1)
-        best_at[at] = top
+        best_at[at] = total.argmax(axis=1)
         switched = total.max(axis=1)[:, None] - penalty
         came[at] = switched > total
         total = np.maximum(total, switched) + scores[at]
     last[:len(total)] = total.argmax(axis=1)
-    now = last
-    for t in range(int(lengths[0]) - 1, -1, -1):
-        n = int(live[t])
-        at = begin[:n] + t
-        labels[at] = now[:n]
-        if t:
-            moved = came[at, now[:n]]
-            now[:n] = np.where(moved, best_at[at], now[:n])
+    for t in range(steps - 1, 0, -1):
+        n = live[t]
+        at, now = begin[:n] + t, last[:n]
+        labels[at] = now
+        last[:n] = np.where(came[at, now], best_at[at], now)
+    some = lengths > 0
+    labels[begin[some]] = last[some]
     return labels
 
 
@@ -151,31 +234,39 @@ def identified(docs: DataFrame, model: LanguageModel, column: str = "text",
                                      ("lang", pa.string())]))
 
     def make():
-        rows: list[list[float]] = []
-
-        class Known(dict):
-            def __missing__(self, word):
-                value = self[word] = len(rows)
-                rows.append(model.word_scores(word))
-                return value
+        score, hasher = model.scorer(), WordHasher()
+        known: dict[bytes, int] = {}  # row of a piece, -1 without letters
+        rows: list[np.ndarray] = []
 
-        known = Known()
+        def learn(pieces: list[bytes]) -> None:
+            """Rows (scores, letters) for pieces not met before."""
+            new = [p for p in pieces if p not in known]
+            letters = ["".join(WORD.findall(p.decode().lower())) for p in new]
+            with_letters = [w for w in letters if w]
+            base = sum(map(len, rows))
+            rows.append(np.column_stack([score(with_letters),
+                                         np.array([len(w) for w in with_letters], float)]))
+            for p, w in zip(new, letters):
+                known[p] = base if w else -1
+                base += bool(w)
 
         def work(values):
-            if len(known) > 300_000:
-                known.clear()
-                rows.clear()
-            found = [WORD.findall(v.lower()) for v in values]
-            starts = np.zeros(len(found) + 1, np.int64)
-            np.cumsum([len(w) for w in found], out=starts[1:])
-            n = int(starts[-1])
+            words = hasher.words([v.encode() for v in values])
+            found, of, _ = words.distinct()
             if not langs:
                 return [pa.array([unknown] * len(values)), pa.array([0.0] * len(values)),
                         pa.array([[]] * len(values), arrow_span)]
-            at = np.fromiter((i for w in found for i in map(known.__getitem__, w)), np.int64, n)
-            letters = np.fromiter((len(x) for w in found for x in w), np.int64, n)
-            table = np.array(rows or [[0.0] * len(langs)])
-            labels = viterbi(table[at], starts, penalty)
+            if len(known) > 300_000:
+                known.clear()
+                rows.clear()
+            learn(found)
+            rows[:] = [np.concatenate(rows)]
+            at = np.array([known[p] for p in found], np.int64)[of]
+            has = at >= 0
+            # pieces without letters are no words
+            starts = np.concatenate([[0], np.cumsum(has)])[words.starts]
+            each = rows[0][at[has]]
+            letters, labels = each[:, -1], viterbi(each[:, :-1], starts, penalty)
             preds, scores, spans = [], [], []
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 if a == b:

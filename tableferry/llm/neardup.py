@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tableferry.llm.common import U64, WordHashes, mixed, sliced, texts, word_hashes
+from tableferry.llm.common import U64, WordHasher, mixed, sliced, texts
 from tableferry.llm.components import components
 from tableferry.session import stored
 
@@ -40,11 +40,11 @@ SMALL_BUCKET = 8
 DEPTH = 3
 
 
-def shingle_hashes(data: list[bytes], cache: WordHashes, k: int = SHINGLE) -> list[np.ndarray]:
+def shingle_hashes(data: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    words, starts = word_hashes([t.lower() for t in data], cache)  # bytes: A-Z only
-    spread = mixed(words)
-    n = max(0, len(words) - k + 1)
+    words = hasher.words([t.lower() for t in data])  # bytes: A-Z only
+    spread, starts = words.hashes, words.starts
+    n = max(0, len(spread) - k + 1)
     grams = np.zeros(n, U64)
     for i in range(k):
         grams = grams * U64(0x9E3779B97F4A7C15) + spread[i:n + i]
@@ -87,9 +87,9 @@ def sketched(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, set_hash, sketch)`` of every row."""
 
     def task(batches):
-        cache = WordHashes()
+        hasher = WordHasher()
         for batch in sliced(batches, "text"):
-            sets = shingle_hashes([t.encode() for t in texts(batch, "text")], cache)
+            sets = shingle_hashes([t.encode() for t in texts(batch, "text")], hasher)
             sums = [mixed(s + U64(1)).sum(dtype=U64).tobytes()
                     + np.bitwise_xor.reduce(mixed(s + U64(2)), initial=0).astype(U64).tobytes()
                     for s in sets]
@@ -156,14 +156,14 @@ def confirmed(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     tb = chosen.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
 
     def task(batches):
-        cache = WordHashes()
+        hasher = WordHasher()
         for batch in sliced(batches, "tb"):
             keep, last, own = [], None, None
             for a, x, y in zip(batch.column("a").to_pylist(), texts(batch, "ta"),
                                texts(batch, "tb")):
                 if a != last:
-                    last, own = a, shingle_hashes([x.encode()], cache)[0]
-                other = shingle_hashes([y.encode()], cache)[0]
+                    last, own = a, shingle_hashes([x.encode()], hasher)[0]
+                other = shingle_hashes([y.encode()], hasher)[0]
                 both = len(np.intersect1d(own, other, assume_unique=True))
                 keep.append(den * both >= num * (len(own) + len(other) - both))
             yield pa.RecordBatch.from_arrays(

@@ -1,15 +1,15 @@
 """Substring dedup by recompression.
 
-A text is a sequence of word names. In each round runs of an equal symbol are named, then pairs:
-a name's bit puts it on the left or the right side, and a left symbol followed by a right one
+A text is a sequence of word names. Runs of an equal word are named, then in each round pairs: a
+name's bit puts it on the left or the right side, and a left symbol followed by a right one
 becomes a new symbol. Names are hashes of what they stand for, so every task gives the same name
 to the same run or pair and no table of names has to be passed around. Equal substrings get equal
 interior symbols; for each symbol the words its parse depends on are known, and where they lie
 inside a window, the symbol occurs in every other occurrence of the window too.
 
 So a window of ``window`` words has an anchor that depends on its words only: among the symbols
-whose context it holds the one with most words, the smallest name among those; its own hash if it
-holds none (inside long runs). Neighbouring windows with one anchor are a region. The work is then:
+whose context it holds the one with the smallest name, those of three or more words first; its own
+hash if it holds none (inside long runs). Neighbouring windows with one anchor are a region. The work is then:
 
 1. anchors of all texts, the smallest and the largest document of each (hot ones are reduced in
    tasks first); an anchor of one document only cannot belong to a repeat;
@@ -34,11 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tableferry.llm.common import U64, WordHashes, mixed, sliced, texts, word_hashes
+from tableferry.llm.common import U64, WordHasher, mixed, sliced, texts
 from tableferry.session import stored
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 MOST_WINDOWS = 64
 NONE = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -84,8 +84,8 @@ class Parse:
         self.stop = self.start + 1
         self.low, self.high = self.start.copy(), self.stop.copy()
         self.fixed = ~self.real
+        self._runs()
         for r in range(rounds):
-            self._runs(r)
             self._pairs(r)
 
     def _cut(self, first: np.ndarray, name: np.ndarray, low: np.ndarray, high: np.ndarray):
@@ -94,14 +94,14 @@ class Parse:
         self.name, self.low, self.high = name, low, high
         self.fixed = self.fixed[first]
 
-    def _runs(self, r: int) -> None:
+    def _runs(self) -> None:
         n = len(self.name)
         if not n:
             return
         same = (self.name[1:] == self.name[:-1]) & ~self.fixed[1:] & ~self.fixed[:-1]
         first = np.flatnonzero(np.concatenate([[True], ~same]))
         count = np.diff(np.append(first, n)).astype(U64)
-        name = np.where(count > 1, chained((self.name[first], count), 2 * r + 1), self.name[first])
+        name = np.where(count > 1, chained((self.name[first], count), 1), self.name[first])
         last = np.append(first[1:], n) - 1
         # that a run ends depends on its neighbours
         low = self.low[np.maximum(first - 1, 0)]
@@ -120,7 +120,7 @@ class Parse:
         first = np.flatnonzero(~second)
         other = np.minimum(first + 1, n - 1)
         pair = begins[first]
-        name = np.where(pair, chained((self.name[first], self.name[other]), 2 * r + 2),
+        name = np.where(pair, chained((self.name[first], self.name[other]), r + 2),
                         self.name[first])
         # a pair depends on its halves; a symbol alone on the neighbour that did not join it
         low = np.where(~pair & right[first], self.low[np.maximum(first - 1, 0)], self.low[first])
@@ -140,9 +140,10 @@ class Regions:
         np.cumsum(p.real, out=sums[1:])
         begin = np.arange(max(0, total - window + 1))
         whole = sums[window:] - sums[:total - window + 1] == window if len(begin) else begin > 0
-        # best anchor of every window: number of words first, then the name
-        size = (p.stop - p.start)
-        rank = (U64(63) - np.minimum(size, 63).astype(U64)) << U64(58) | (p.name >> U64(6))
+        # best anchor of every window: symbols of three and more words first, then the name
+        size = p.stop - p.start
+        rank = np.where(size >= 3, 0, np.where(size == 2, 1, 2)).astype(U64) << U64(58) \
+            | (p.name >> U64(6))
         best = np.full(total + window, NONE, U64)
         fits = ~p.fixed & (p.high - p.low <= window)
         low, high, rank_ = p.low[fits], p.high[fits], rank[fits]
@@ -192,11 +193,11 @@ def regions(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
     place (32 bits), the check of the text (24) and the number of windows (8)."""
 
     def task(batches):
-        cache = WordHashes()
+        hasher = WordHasher()
         for batch in sliced(batches, "text"):
             data = [t.encode() for t in texts(batch, "text")]
-            words, starts = word_hashes(data, cache)
-            got = Regions(words, starts, window, rounds)
+            words = hasher.words(data)
+            got = Regions(words.hashes, words.starts, window, rounds)
             if not len(got.anchor):
                 continue
             ids = np.array(batch.column("doc_id").to_pylist(), np.int64)[got.text]
@@ -219,11 +220,11 @@ def windows_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                                           F.collect_list("span").alias("spans"))
 
     def task(batches):
-        cache = WordHashes()
+        hasher = WordHasher()
         for batch in sliced(batches, "text"):
             data = [t.encode() for t in texts(batch, "text")]
-            words, starts = word_hashes(data, cache)
-            own = window_hashes(words, window)
+            words = hasher.words(data)
+            own = window_hashes(words.hashes, window)
             check = checks(data)
             for i in range(batch.num_rows):
                 anchor = np.array(batch.column("anchors")[i].as_py(), np.int64)
@@ -238,7 +239,7 @@ def windows_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 begin = (span >> U64(32)).astype(np.int64)[row] + step
                 single = (begin.astype(U64) << U64(32)) | (check[i] << U64(8)) | U64(1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[row]), _long(own[starts[i] + begin]),
+                    [pa.array(anchor[row]), _long(own[words.starts[i] + begin]),
                      pa.array([batch.column("doc_id")[i].as_py()] * len(row), pa.int64()),
                      _long(single)], names=["anchor", "hash", "doc_id", "span"])
 

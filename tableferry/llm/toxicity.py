@@ -15,47 +15,58 @@ the rate of label 1 with add-half smoothing; whole texts are read.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from tableferry.llm.common import extended, labelled_sample, logistic
+from tableferry.llm.common import WordHasher, extended, labelled_sample, logistic
 
-SAMPLE_ROWS = 20_000
-TERMS = 2_000
-STEM = 5
+SAMPLE_ROWS = 5_000
+MIN_SHARE = 0.004   # of the toxic sample that a term must newly explain
+FUZZY_SHARE = 0.05  # of the toxic sample that a term must occur in to be matched with an error
+COVER = 2           # terms that a toxic text should be explained by
 STEMS = range(4, 8)
 WINDOW = 12
-TOKEN = re.compile(r"[^\W_]+(?:[*@$!.'’-][^\W_]+)*", re.UNICODE)
+PIECES = re.compile(r"[\s,;:/|()\[\]{}<>\"“”„«»‘’…]+|(?<=[^\W\d_]{4})[.!?&#%+=~-]+")
 QUOTES = "\"“”„«»‘’"
 # fixed values: look-alikes of letters, and words that report what others said
 LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 REPORTING = frozenset("said says quote quoted wrote called term word words".split())
 
 
-def plain(token: str) -> str:
-    """A lower-case token as a word: look-alike signs read as letters, other signs left out."""
-    if token.isalpha():
-        return token
-    return "".join(c for c in token.translate(LOOKALIKE) if c.isalpha())
+def plain(piece: str) -> str:
+    """A lower-case piece as a word: look-alike signs inside it read as letters, other signs
+    left out."""
+    if piece.isalpha():
+        return piece
+    return "".join(c for c in piece.strip("!$@*.'-").translate(LOOKALIKE) if c.isalpha())
+
+
+def words_in(piece: str) -> list[str]:
+    """The words of a piece between white space."""
+    piece = piece.lower()
+    bare = piece.rstrip(".,;:!?")
+    if bare.isalpha():
+        return [bare]
+    return [w for w in map(plain, PIECES.split(piece)) if w]
 
 
 class Lexicon:
     """A trie of terms and stems, walked by lazily made Levenshtein states."""
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float]):
+    def __init__(self, terms: dict[str, float], stems: dict[str, float], fuzzy: set[str]):
         self.next: list[dict[str, int]] = [{}]
         self.weight: dict[int, float] = {}
         self.stem: dict[int, float] = {}
         self.allow: list[int] = [0]  # errors that some term below the node may have
         for table, into in ((terms, self.weight), (stems, self.stem)):
             for term in sorted(table):
-                errors = (1 if len(term) >= 5 else 0) if into is self.weight else 0
+                errors = int(term in fuzzy)
                 node = 0
                 self.allow[0] = max(self.allow[0], errors)
                 for c in term:
@@ -123,44 +134,65 @@ class Lexicon:
         return best
 
 
-def learned_terms(sample: list[tuple[set[str], int]]) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and beginnings of words with a strong, well-supported log ratio for label 1."""
+def learned_terms(sample: list[tuple[set[str], int]]) -> tuple[dict, dict, set[str]]:
+    """Terms, stems, and the terms to be matched with an error.
+
+    Candidates are words, and beginnings of several words, with a high log ratio for label 1.
+    They are taken in the order of how many toxic texts they newly explain, so that words which
+    only come along in copies of one text are not learned.
+    """
     n = [sum(1 for _, l in sample if l == k) for k in (0, 1)]
     if not min(n):
-        return {}, {}
-
-    def strong(counts, support, least):
-        out = {}
-        for w, (no, yes) in counts.items():
-            ratio = math.log((yes + 0.5) / (n[1] + 1)) - math.log((no + 0.5) / (n[0] + 1))
-            if yes >= support and ratio >= least:
-                out[w] = ratio
-        return out
-
-    words: dict[str, list[int]] = {}
-    starts: dict[str, list[int]] = {}
-    for found, label in sample:
+        return {}, {}, set()
+    least = max(2, math.ceil(MIN_SHARE * n[1]))
+    toxic = [found for found, l in sample if l]
+    holders: dict[tuple[str, str], list[int]] = {}
+    for i, found in enumerate(toxic):
         for w in found:
-            words.setdefault(w, [0, 0])[label] += 1
+            holders.setdefault(("word", w), []).append(i)
         for s in {w[:k] for w in found for k in STEMS if len(w) > k}:
-            starts.setdefault(s, [0, 0])[label] += 1
-    support = max(3, n[1] // 400)
-    terms = strong(words, support, 2.5)
-    # a stem must be all but absent elsewhere and gather several words; the shortest one counts
-    several = Counter(s for w in words for s in {w[:k] for k in STEMS if len(w) > k})
-    stems = {s: r for s, r in strong(starts, 3 * support, 3.5).items() if several[s] >= 4
-             and starts[s][0] <= 0.02 * starts[s][1]}
-    stems = {s: r for s, r in stems.items() if not any(s[:k] in stems for k in range(4, len(s)))}
-    top = sorted(terms.items(), key=lambda x: (-x[1] * math.sqrt(words[x[0]][1]), x[0]))[:TERMS]
-    return dict(top), stems
+            holders.setdefault(("stem", s), []).append(i)
+    holders = {c: who for c, who in holders.items() if len(who) >= least}
+    several = Counter(s for w in {w for found in toxic for w in found}
+                      for s in {w[:k] for k in STEMS if len(w) > k})
+    words, stems = ({w for kind, w in holders if kind == want} for want in ("word", "stem"))
+    other = Counter()
+    for found, l in sample:
+        if not l:
+            other.update(("word", w) for w in found & words)
+            other.update(("stem", s) for s in {w[:k] for w in found for k in STEMS
+                                               if len(w) > k} & stems)
+    ratio = {c: math.log((len(who) + 0.5) / (n[1] + 1)) - math.log((other[c] + 0.5) / (n[0] + 1))
+             for c, who in holders.items()}
+    wanted = {c for c, r in ratio.items() if r >= (2.5 if c[0] == "word" else 3.5)
+              and (c[0] == "word" or several[c[1]] >= 4)}
+    left = [COVER] * len(toxic)
+    heap = [(-len(holders[c]), c[0] == "stem", -len(c[1]), c) for c in wanted]
+    heapq.heapify(heap)
+    chosen: list[tuple[str, str]] = []
+    while heap:
+        old, *_, c = heapq.heappop(heap)
+        gain = sum(1 for i in holders[c] if left[i] > 0)
+        if gain < least:
+            continue
+        if gain < -old:
+            heapq.heappush(heap, (-gain, c[0] == "stem", -len(c[1]), c))
+            continue
+        chosen.append(c)
+        for i in holders[c]:
+            left[i] -= 1
+    terms = {w: ratio[kind, w] for kind, w in chosen if kind == "word"}
+    stems = {s: ratio[kind, s] for kind, s in chosen if kind == "stem"}
+    fuzzy = {w for w in terms if len(w) >= 5 and len(holders["word", w]) >= FUZZY_SHARE * n[1]}
+    return terms, stems, fuzzy
 
 
 class ToxicityModel:
     """Lexicon and curve, as plain values that travel to tasks."""
 
     def __init__(self, sample: list[tuple[str, int]]):
-        found = [(set(map(plain, TOKEN.findall(t.lower()))) - {""}, l) for t, l in sample]
-        self.terms, self.stems = learned_terms(found)
+        found = [({w for p in set(t.split()) for w in words_in(p)}, l) for t, l in sample]
+        self.terms, self.stems, self.fuzzy = learned_terms(found)
         scorer = Scorer(self)
         x = np.array([scorer.features(t) for t, _ in sample], float).reshape(-1, 4)
         self.weights = logistic(x, np.array([l for _, l in sample], float), ridge=0.1)
@@ -169,42 +201,48 @@ class ToxicityModel:
 class Scorer:
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.lexicon = Lexicon(model.terms, model.stems)
-
-        class Known(dict):
-            def __missing__(known, token):
-                if len(known) > 400_000:
-                    known.clear()
-                value = known[token] = self.lexicon.match(plain(token))
-                return value
-
-        self.known = Known()
+        self.lexicon = Lexicon(model.terms, model.stems, model.fuzzy)
+        self.known: dict[bytes, float] = {}
+        self.hasher = WordHasher(1 << 12)
+
+    def weight(self, piece: bytes) -> float:
+        found = self.known.get(piece)
+        if found is None:
+            if len(self.known) > 400_000:
+                self.known.clear()
+            found = self.known[piece] = max(map(self.lexicon.match, words_in(piece.decode())),
+                                            default=0.0)
+        return found
 
     def hits(self, text: str) -> list[tuple[int, float, bool]]:
-        """(word number, weight, quoted) of each hit."""
-        text = text.lower()
-        weights = list(map(self.known.__getitem__, TOKEN.findall(text)))
-        if not any(weights):
-            return []
-        found = [(m.group(), m.start()) for m in TOKEN.finditer(text)]
-        marks = [i for i, c in enumerate(text) if c in QUOTES]
+        """(piece number, weight, quoted) of each hit."""
+        pieces = text.encode().split()
+        return self._judged(pieces, [self.weight(p) for p in pieces])
+
+    def _judged(self, pieces: list[bytes], weights: list[float]):
         out = []
+        marks = [0]
+        for p in pieces:
+            marks.append(marks[-1] + sum(c in QUOTES for c in p.decode()))
         for i, weight in enumerate(weights):
             if not weight:
                 continue
-            first, last = found[max(0, i - WINDOW)], found[min(len(found) - 1, i + WINDOW)]
-            at = found[i][1]
-            before = bisect_left(marks, at) - bisect_left(marks, first[1])
-            after = bisect_left(marks, last[1]) - bisect_left(marks, at)
-            quoted = (before % 2 and after) or any(w in REPORTING for w, _ in found[max(0, i - 3):i])
-            out.append((i, weight, bool(quoted)))
+            own = pieces[i].decode()
+            opened = marks[i] - marks[max(0, i - WINDOW)] + (own[0] in QUOTES)
+            closed = marks[min(len(pieces), i + WINDOW)] - marks[i + 1] + (own[-1] in QUOTES)
+            near = {plain(p.decode().lower()) for p in pieces[max(0, i - 3):i]}
+            out.append((i, weight, bool(opened % 2 and closed) or bool(near & REPORTING)))
         return out
 
     def features(self, text: str) -> tuple[float, ...]:
+        return self._summed(self.hits(text))
+
+    @staticmethod
+    def _summed(hits) -> tuple[float, ...]:
         """Abuse, abuse at its densest window, quoted hits, and whether there is any abuse."""
         abuse = dense = quoted = 0.0
         recent: list[tuple[int, float]] = []
-        for i, weight, is_quoted in self.hits(text):
+        for i, weight, is_quoted in hits:
             if is_quoted:
                 quoted += weight
                 continue
@@ -214,8 +252,14 @@ class Scorer:
         return math.log1p(abuse), math.log1p(dense), math.log1p(quoted), float(abuse > 0)
 
     def scores(self, values: list[str]) -> np.ndarray:
-        x = np.array([self.features(v) for v in values], float).reshape(-1, 4)
+        words = self.hasher.words([v.encode() for v in values])
+        found, of, _ = words.distinct()
+        weights = np.array([self.weight(p) for p in found])[of] if found else np.zeros(0)
+        hit = np.concatenate([[0], np.cumsum(weights > 0)])[words.starts]
+        rows = [self.features(v) if b > a else (0.0,) * 4
+                for v, a, b in zip(values, hit[:-1], hit[1:])]
         w = self.model.weights
+        x = np.array(rows, float).reshape(-1, 4)
         return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
