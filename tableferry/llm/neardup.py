@@ -8,8 +8,8 @@ threshold; the rest is confirmed on full sets.
 
 Equal sets are one class from the start, and classes are linked, not their copies. A bucket of a
 band does not emit its pairs: everyone is compared with the smallest id, then components are
-formed, and only buckets that still hold several components go on. Small ones compare across
-components; large ones are split by a second band, and so on.
+formed. Only buckets that still hold several components go on, and their documents are joined
+exactly by the rarest shingles of each set, across components.
 
 Defined results: only A-Z are lower-cased; null, empty and blank texts have no set and are
 linked with nothing; shorter texts than a shingle are one shingle; rows that share a doc_id are
@@ -34,10 +34,9 @@ BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 EMPTY = 0xFFFF
-MARGIN = 0.22      # more than five standard deviations of an estimate from 128 registers
-SMALL_SET = 256    # estimates of smaller sets are not used
-SMALL_BUCKET = 8
-DEPTH = 3
+MARGIN = 0.22      # four to six standard deviations of an estimate
+SMALL_SET = 64    # estimates of smaller sets are not used
+BIN_BITS = 16
 
 
 def shingle_hashes(data: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -174,60 +173,110 @@ def confirmed(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
         task, "a long, b long")
 
 
+def rarest(chosen: DataFrame, bins: list[int]) -> DataFrame:
+    """``(shingle, doc_id, n, rest)``: the prefix of each set in an order of all shingles, with
+    the number of shingles in the set and from this one on.
+
+    Two sets of the wanted similarity share a shingle among the first ``n - ceil(0.75 n) + 1`` of
+    each, whatever the order is, as long as it is one for all. Here rare bins come first, so that
+    passages which many documents share are met last.
+    """
+    num, den = THRESHOLD
+    counts = np.array(bins, np.int64)
+
+    def task(batches):
+        hasher = WordHasher()
+        for batch in sliced(batches, "text"):
+            sets = shingle_hashes([t.encode() for t in texts(batch, "text")], hasher)
+            first = []
+            for s in sets:
+                keep = len(s) - -(-num * len(s) // den) + 1
+                first.append(s[np.lexsort((s, counts[(s >> U64(64 - BIN_BITS)).astype(np.int64)]))]
+                             [:keep])
+            size = np.array([len(f) for f in first], np.int64)
+            ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
+            flat = np.concatenate(first) if first else np.zeros(0, U64)
+            n = np.repeat(np.array([len(s) for s in sets], np.int64), size)
+            place = np.arange(len(n)) - np.repeat(np.cumsum(size) - size, size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, size)), pa.array(n),
+                 pa.array(n - place)], names=["shingle", "doc_id", "n", "rest"])
+
+    return chosen.select("doc_id", "text").mapInArrow(
+        task, "shingle long, doc_id long, n long, rest long")
+
+
+def binned(chosen: DataFrame) -> list[int]:
+    """How many shingles of all sets fall in each of 2^BIN_BITS bins; a table of fixed size."""
+
+    def task(batches):
+        hasher, counts = WordHasher(), np.zeros(1 << BIN_BITS, np.int64)
+        for batch in sliced(batches, "text"):
+            for s in shingle_hashes([t.encode() for t in texts(batch, "text")], hasher):
+                np.add.at(counts, (s >> U64(64 - BIN_BITS)).astype(np.int64), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])],
+                                         names=["bin", "n"])
+
+    out = [0] * (1 << BIN_BITS)
+    for r in (chosen.select("text").mapInArrow(task, "bin long, n long")
+              .groupBy("bin").agg(F.sum("n").alias("n")).collect()):
+        out[r.bin] = r.n
+    return out
+
+
+def still_open(met: DataFrame, comps: DataFrame, *more) -> tuple[DataFrame, DataFrame]:
+    """The rows ``(key, doc_id, component)`` of all buckets, and the buckets of several
+    components with what ``more`` aggregates of them."""
+    named = stored(met.join(comps, met["doc_id"] == comps["id"], "left").select(
+        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "near-named")
+    keys = named.groupBy("key").agg(F.min("component").alias("lo"),
+                                    F.max("component").alias("hi"), *more).where("lo <> hi")
+    return named, keys
+
+
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between classes, enough of them to give every component."""
+    num, den = THRESHOLD
     rows = stored(band_keys(classes), "near-bands")
-    tested = found = None
-    comps = None
-    for depth in range(DEPTH + 1):
-        # everyone with the smallest id of the bucket
-        low = rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
-        pairs = rows.join(low.where("n > 1"), "key").where("doc_id <> a").select(
-            "a", F.col("doc_id").alias("b")).distinct()
-        if depth:
-            pairs = across(pairs, comps)
-        for attempt in ("star", "rest"):
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = stored(likely(pairs, classes), "near-pairs")
-            tested = pairs if tested is None else stored(tested.union(pairs), "near-tested")
-            ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-            texts_ = stored(docs.join(ids, "doc_id", "left_semi"), "near-texts")
-            new = stored(confirmed(pairs, texts_), "near-links")
-            found = new if found is None else stored(found.union(new), "near-found")
-            comps = stored(components(found), "near-components")
-            if attempt == "rest":
-                break
-            named = rows.join(comps, rows["doc_id"] == comps["id"], "left").select(
-                "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-            kinds = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                             F.min("component").alias("lo"),
-                                             F.max("component").alias("hi")).where("lo <> hi")
-            mixed_ = stored(named.join(kinds.select("key", "n"), "key"), "near-mixed")
-            small = mixed_.where(F.col("n") <= SMALL_BUCKET)
-            other = small.select("key", F.col("doc_id").alias("b"),
-                                 F.col("component").alias("_c"))
-            pairs = small.join(other, "key").where("doc_id < b and component <> _c").select(
-                F.col("doc_id").alias("a"), "b").distinct()
-        large = mixed_.where(F.col("n") > SMALL_BUCKET).select("key", "doc_id")
-        if large.isEmpty():
-            break
-        if depth < DEPTH:
-            # split the bucket by each further band of its documents
-            bands = band_keys(classes.join(large.select("doc_id").distinct(), "doc_id",
-                                           "left_semi")).withColumnRenamed("key", "band")
-            rows = stored(large.join(bands, "doc_id").where("band <> key").select(
-                F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"),
-                "doc_id").distinct(), "near-split")
-    return found
-
-
-def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    ca = comps.select(F.col("id").alias("_a"), F.col("component").alias("_ca"))
-    cb = comps.select(F.col("id").alias("_b"), F.col("component").alias("_cb"))
-    return (pairs.join(ca, pairs["a"] == ca["_a"], "left").join(cb, pairs["b"] == cb["_b"], "left")
-            .where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b"))
+    low = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
+    met = stored(rows.join(low.where("n > 1").drop("n"), "key"), "near-met")
+    chosen = stored(docs.join(met.select("doc_id").distinct(), "doc_id", "left_semi"),
+                    "near-texts")
+    star = met.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    pairs = stored(likely(star.distinct(), classes), "near-pairs")
+    found = stored(confirmed(pairs, chosen), "near-links")
+    comps = stored(components(found), "near-components")
+    # the same once more in the buckets that are still open, around one document of each by chance
+    some = F.min_by("doc_id", F.xxhash64("key", "doc_id")).alias("_hub")
+    open_, keys = still_open(met, comps, some)
+    hubs = keys.select("key", "_hub").join(comps, keys["_hub"] == comps["id"], "left").select(
+        "key", "_hub", F.coalesce("component", "_hub").alias("_hub_component"))
+    star = open_.join(hubs, "key").where("component <> _hub_component").select(
+        F.least("_hub", "doc_id").alias("a"), F.greatest("_hub", "doc_id").alias("b"))
+    again = likely(star.distinct().join(pairs, ["a", "b"], "left_anti"), classes)
+    found = stored(found.union(confirmed(again, chosen)), "near-links")
+    comps = stored(components(found), "near-components")
+    # buckets that still hold several components: their documents are joined exactly
+    open_, keys = still_open(met, comps)
+    left = stored(open_.join(keys.select("key"), "key").select("doc_id", "component")
+                  .distinct(), "near-left")
+    texts_left = stored(chosen.join(left.select("doc_id"), "doc_id", "left_semi"), "near-rest")
+    first = rarest(texts_left, binned(texts_left)).join(left, "doc_id")
+    first = stored(first, "near-prefixes")
+    shared = first.groupBy("shingle").agg(F.min("component").alias("lo"),
+                                          F.max("component").alias("hi")).where("lo <> hi")
+    first = stored(first.join(shared.select("shingle"), "shingle"), "near-shared")
+    # of n tokens in order, those from the shared one on must be enough for the overlap
+    other = first.select("shingle", F.col("doc_id").alias("b"), F.col("n").alias("_n"),
+                         F.col("rest").alias("_rest"), F.col("component").alias("_c"))
+    more = first.join(other, "shingle").where(
+        (F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("_c"))
+        & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
+        & (F.least("rest", "_rest") * (num + den) >= (F.col("n") + F.col("_n")) * num)).select(
+            F.col("doc_id").alias("a"), "b").distinct()
+    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "near-more")
+    return stored(found.union(confirmed(more, texts_left)), "near-found")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
