@@ -37,6 +37,7 @@ EMPTY = 0xFFFF
 MARGIN = 0.22      # four to six standard deviations of an estimate
 SMALL_SET = 64    # estimates of smaller sets are not used
 BIN_BITS = 16
+HUB_ROUNDS = 2
 
 
 def shingle_hashes(data: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -247,17 +248,19 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = stored(likely(star.distinct(), classes), "near-pairs")
     found = stored(confirmed(pairs, chosen), "near-links")
     comps = stored(components(found), "near-components")
-    # the same once more in the buckets that are still open, around one document of each by chance
-    some = F.min_by("doc_id", F.xxhash64("key", "doc_id")).alias("_hub")
-    open_, keys = still_open(met, comps, some)
-    hubs = keys.select("key", "_hub").join(comps, keys["_hub"] == comps["id"], "left").select(
-        "key", "_hub", F.coalesce("component", "_hub").alias("_hub_component"))
-    star = open_.join(hubs, "key").where("component <> _hub_component").select(
-        F.least("_hub", "doc_id").alias("a"), F.greatest("_hub", "doc_id").alias("b"))
-    again = likely(star.distinct().join(pairs, ["a", "b"], "left_anti"), classes)
-    found = stored(found.union(confirmed(again, chosen)), "near-links")
-    comps = stored(components(found), "near-components")
-    # buckets that still hold several components: their documents are joined exactly
+    # the same in the buckets that are still open, around one document of each by chance
+    for seed in range(HUB_ROUNDS):
+        hub = F.min_by("doc_id", F.xxhash64("key", "doc_id", F.lit(seed))).alias("_hub")
+        open_, keys = still_open(met, comps, hub)
+        hubs = keys.select("key", "_hub").join(comps, keys["_hub"] == comps["id"], "left").select(
+            "key", "_hub", F.coalesce("component", "_hub").alias("_hub_component"))
+        star = open_.join(hubs, "key").where("component <> _hub_component").select(
+            F.least("_hub", "doc_id").alias("a"), F.greatest("_hub", "doc_id").alias("b"))
+        again = stored(likely(star.distinct().join(pairs, ["a", "b"], "left_anti"), classes),
+                       "near-pairs")
+        pairs = pairs.union(again)
+        found = stored(found.union(confirmed(again, chosen)), "near-links")
+        comps = stored(components(found), "near-components")
     open_, keys = still_open(met, comps)
     left = stored(open_.join(keys.select("key"), "key").select("doc_id", "component")
                   .distinct(), "near-left")
