@@ -11,7 +11,7 @@ from tableferry.plans.queries import QUERIES  # noqa: E402
 from tableferry.session import local_session  # noqa: E402
 
 HEADLINE = ("source_query", "encode_rows", "pack_messages", "send_stats", "topic_write_read",
-            "route_messages", "decode_rows", "audit_counts", "flush_by_rows", "flush_by_time",
+            "route_messages", "decode_rows", "audit_counts", "flush_by_rows", "pack_messages_blocks",
             "clear_events", "partition_reload", "upsert_last_wins", "range_partition_assign",
             "file_chunks", "file_reassemble", "layout_partition_counts", "sync_append",
             "sync_upsert", "sync_files", "sync_bounded", "stream_resume")

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 def wire_column(name: str, dtype: T.DataType) -> Column:
     """A column in a form whose JSON text casts back to the same value."""
     c = F.col(f"`{name}`")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)  # an instant, whatever zones sender and receiver are in
+    if isinstance(dtype, T.TimestampNTZType):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if isinstance(dtype, T.BinaryType):
         return F.base64(c)
@@ -39,9 +41,17 @@ def json_array(rows: Column) -> Column:
 
 
 def parsed(data: Column, names: Sequence[str]) -> Column:
-    """Payload to a list of all-string structs; null when the text cannot be read."""
+    """Payload to a list of all-string structs; null when the text cannot be read.
+
+    The payload is one array of objects, or one object. Text behind it and null elements make it
+    unreadable: the reader alone would pass them.
+    """
     schema = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    return F.from_json(data, schema)
+    rows = F.from_json(data, schema)
+    text = F.trim(data)
+    closed = ((text.startswith("[") & text.endswith("]"))
+              | (text.startswith("{") & text.endswith("}")))
+    return F.when(closed & ~F.exists(rows, lambda r: r.isNull()), rows)
 
 
 def decode_rows(messages: DataFrame, names: Sequence[str], data: str = "data",
@@ -65,4 +75,6 @@ def from_wire(text: Column, dtype: T.DataType) -> Column:
         return F.try_to_binary(text, F.lit("base64"))
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.from_json(text, dtype)
+    if isinstance(dtype, T.TimestampType):
+        return F.coalesce(F.timestamp_micros(text.try_cast("bigint")), text.try_cast(dtype))
     return text.try_cast(dtype)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tableferry.functions.literals import partition_values
 from tableferry.operators.blocks import SPAN, numbered, with_previous
 from tableferry.session import stored
 
@@ -42,11 +43,14 @@ def last_clears(starts: DataFrame, keys: Sequence[str] = KEYS,
     return starts.groupBy(*keys).agg(F.max(order).alias("cleared_at"))
 
 
-def surviving(rows: DataFrame, last: DataFrame, table: str, partition: str | None = None,
+def surviving(rows: DataFrame, last: DataFrame, table: str,
+              partition: str | Sequence[str] | None = None,
               order: str = "msg_id", keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows not removed by a later clear of their table or of their partition.
 
-    ``last`` comes from :func:`last_clears`; an empty partition stands for the whole table.
+    ``last`` comes from :func:`last_clears`; an empty partition stands for the whole table, any
+    other is a literal such as ``'jd'`` or ``(2021,7,13)``, whose values are compared one by one
+    with the columns named by ``partition``. Where a clear names a partition there must be some.
     Rows stored before the topic have a null ``order``. A clear removes what is stored when
     it happens: rows of the same batch in other partitions than the declared one stay.
 
@@ -61,11 +65,14 @@ def surviving(rows: DataFrame, last: DataFrame, table: str, partition: str | Non
     out = rows.join(whole, F.col(table) == F.col("_t"), "left")
     bound = F.col("_all")
     if has_part and partition is not None:
-        parts = last.where(~empty).select(
-            F.col(keys[0]).alias("_pt"), F.col(keys[1]).alias("_pp"),
-            F.col("cleared_at").alias("_part"))
-        out = out.join(parts, (F.col(table) == F.col("_pt"))
-                       & (F.col(partition).cast("string") == F.col("_pp")), "left")
+        columns = [partition] if isinstance(partition, str) else list(partition)
+        parts = last.where(~empty).groupBy(
+            F.col(keys[0]).alias("_pt"), partition_values(F.col(keys[1]).cast("string")).alias("_pp")).agg(
+                F.max("cleared_at").alias("_part"))
+        own = F.array(*[F.col(c).cast("string") for c in columns])
+        out = out.join(parts, (F.col(table) == F.col("_pt")) & (own == F.col("_pp")), "left")
         bound = F.greatest("_all", "_part")
+    elif has_part and not last.where(~empty).isEmpty():
+        raise ValueError("a clear names a partition, so the partition columns must be given")
     kept = bound.isNull() | F.coalesce(F.col(order) >= bound, F.lit(False))
     return out.where(kept).select(*rows.columns)

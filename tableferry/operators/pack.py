@@ -23,7 +23,10 @@ def oversize(encoded: DataFrame, limit: int = MESSAGE_BYTES, enc: str = "enc") -
 
 def sendable(encoded: DataFrame, limit: int = MESSAGE_BYTES, enc: str = "enc",
              strict: bool = False) -> DataFrame:
-    """Rows that fit; with ``strict`` a larger one fails the job instead."""
+    """Rows that fit; with ``strict`` a larger one fails the job instead. A null row always
+    does: it is no row, and dropping it would lose one."""
+    encoded = encoded.withColumn(enc, F.when(F.col(enc).isNull(), F.raise_error(
+        F.lit("an encoded row is null"))).otherwise(F.col(enc)))
     size = F.octet_length(enc)
     if strict:
         checked = F.when(size > limit, F.raise_error(F.concat(
@@ -43,9 +46,9 @@ def pack_messages(encoded: DataFrame, lane: str = "lane", order: str = "ord",
 
 def pack_json_array(encoded: DataFrame, lane: str = "lane", order: str = "ord",
                     enc: str = "enc", limit: int = EARLIER_MESSAGE_BYTES,
-                    span: int = SPAN) -> DataFrame:
+                    span: int = SPAN, strict: bool = False) -> DataFrame:
     """Packing whose limit counts the brackets and commas of the JSON text as well."""
-    packed = assembled(sendable(encoded, limit, enc), lane, order, enc, limit, seed=1,
+    packed = assembled(sendable(encoded, limit, enc, strict), lane, order, enc, limit, seed=1,
                        weight_extra=1, span=span)
     return packed.withColumn("data", json_array(F.col("rows")))
 

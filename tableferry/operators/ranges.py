@@ -25,6 +25,17 @@ def requested_ranges(messages: DataFrame, target: str = "target_table",
     )
 
 
+def unread_ranges(messages: DataFrame, target: str = "target_table",
+                  spec: str = "range_partition", batch: str = "batch_id") -> DataFrame:
+    """Distinct ``(target_table, asked)`` whose text is no range, or one that holds nothing."""
+    asked = (messages.where((F.col(spec) != "") & (F.col(batch) != ""))
+             .groupBy(F.col(target).alias("_target"), F.col(spec).alias("_spec"))
+             .agg(F.min(spec).alias("asked"), F.min(target).alias("wanted")))
+    lower, upper = range_bounds(F.col("asked"))
+    return asked.where(F.coalesce(lower >= upper, F.lit(True))).select(
+        normalise_target(F.col("wanted")).alias("target_table"), "asked")
+
+
 def add_ranges(registry: DataFrame, requests: DataFrame) -> DataFrame:
     """The registry with those requests that it does not hold yet."""
     new = requests.join(registry, ["target_table", "lower", "upper"], "left_anti")

@@ -387,6 +387,20 @@ FROM latest WHERE rn = 1
 UNION ALL
 SELECT 'tmp.last_order', CAST(-1 AS BIGINT), c_custkey, '-', 0.0, '' FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM latest)""",
+    "sync_append_two_runs":
+        f"SELECT 'tmp.orders' AS target, * FROM ({ORDERS}) o WHERE o_orderstatus = 'F'",
+    "sync_upsert_two_runs": f"""
+SELECT 'tmp.by_order' AS target, o_orderkey, o_custkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE 'OLD' END AS o_orderstatus,
+       o_totalprice, o_orderday FROM ({ORDERS}) o""",
+    "sync_oversize": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "clear_by_literal": """
+WITH e AS (SELECT event_id AS msg_id, event_type, user_id % 3 AS part,
+                  floor(event_id / 400.0) AS batch FROM events),
+k AS (SELECT *, max(batch) OVER (PARTITION BY event_type) AS one,
+             max(batch) OVER (PARTITION BY part, event_type) AS two FROM e)
+SELECT 'one' AS keyed_by, msg_id, event_type, part FROM k WHERE batch = one
+UNION ALL SELECT 'two', msg_id, event_type, part FROM k WHERE batch = two""",
     "sync_files": f"SELECT n_bytes, md5(content) AS data_md5, CAST(bucket AS STRING) AS bucket"
                   f" FROM ({TEXT_BUCKETS}) b",
     "sync_bounded": fold(BOUNDED_ROWS, 500, "before") + """
@@ -395,3 +409,7 @@ SELECT f.lane, f.ord AS msg_id, f.grp AS insert_no, CAST(u.pos AS INTEGER) AS ro
 FROM f JOIN (SELECT lane, ord, item, unnest(range(w)) AS pos FROM numbered) u USING (lane, ord)
 WHERE TRY_CAST(json_extract_string(u.item, '$.k') AS INTEGER) IS NOT NULL""",
 }
+
+# the same results over many blocks
+ORACLE["pack_messages_blocks"] = ORACLE["pack_messages"]
+ORACLE["clear_events_blocks"] = ORACLE["clear_events"]

@@ -402,7 +402,7 @@ def stream_resume(spark, sf_dir):
     append = sinks.AppendSink(spark, f"{out}/append", K)
     keyed = sinks.KeyedSink(spark, f"{out}/keyed", K, ["k"])
     for part in (F.col("msg_id") % 2 == 0, F.col("msg_id") % 2 == 1):
-        topics.publish(topic.where(part), path)
+        topics.publish(topic.where(part), path, own_ids=True)
         receiver.start(topics.stream_topic(spark, path), K, [append, keyed], f"{out}/cursor",
                        fx.KNOWN_TARGETS, once=True).awaitTermination()
     names = ["target", "msg_id", "row_pos", "k"]
@@ -436,9 +436,13 @@ def append_by_name(spark, sf_dir):
 
 @query
 def clear_events(spark, sf_dir):
+    return _clear_events(spark, sf_dir)
+
+
+def _clear_events(spark, sf_dir, span: int = blocks.SPAN) -> DataFrame:
     msgs = fx.clears(spark, sf_dir)
-    by_table = clear.clear_events(msgs, ["clear_table"]).withColumn("part", F.lit(""))
-    by_part = clear.clear_events(msgs, ["clear_table", "part"])
+    by_table = clear.clear_events(msgs, ["clear_table"], span=span).withColumn("part", F.lit(""))
+    by_part = clear.clear_events(msgs, ["clear_table", "part"], span=span)
     return by_table.unionByName(by_part)
 
 
@@ -737,3 +741,85 @@ def sync_bounded(spark, sf_dir):
     bounded = topics.until_end(marked.select("lane", "msg_id", "data"))
     rows = sync.bounded_load(bounded, K, 500)
     return rows.where("dirty_fields is null").select("lane", "msg_id", "insert_no", "row_pos", "k")
+
+
+def _daily(orders: DataFrame, batch: str) -> DataFrame:
+    header = headers.append_header("tmp.orders", batch_id=batch, clear_table="tmp.orders")
+    return sync.send(orders, F.col("o_orderkey") % N_LANES, F.col("o_orderkey"), header,
+                     "orders_topic", F.lit("2024-01-01 00:00:00"), N_LANES, span=2000)
+
+
+@query
+def sync_append_two_runs(spark, sf_dir):
+    """A second, smaller run on the same topic replaces the first."""
+    orders, path = _orders(spark, sf_dir), scratch(spark, "topic")
+    topics.publish(_daily(orders, "run-1"), path)
+    topics.publish(_daily(orders.where("o_orderstatus = 'F'"), "run-2"), path)
+    checked = sync.receive(topics.read_topic(spark, path), ORDER_SCHEMA)
+    return sync.apply_append(checked, ORDER_SCHEMA)
+
+
+@query
+def sync_upsert_two_runs(spark, sf_dir):
+    """The later run wins for every key that both hold."""
+    orders, path = _orders(spark, sf_dir), scratch(spark, "topic")
+    header = headers.keyed_header("impala::tmp.by_order", batch_id="run")
+    for rows in (orders.withColumn("o_orderstatus", F.lit("OLD")),
+                 orders.where("o_orderkey % 3 = 0")):
+        topics.publish(sync.send(
+            rows, F.col("o_orderkey") % N_LANES, F.col("o_orderkey"), header, "orders_topic",
+            F.lit("2024-01-01 00:00:00"), N_LANES, span=2000), path)
+    checked = sync.receive(topics.read_topic(spark, path), ORDER_SCHEMA, ["tmp.by_order"])
+    nothing = orders.select(F.lit("tmp.by_order").alias("target"), *ORDER_SCHEMA.names).limit(0)
+    return sync.apply_keyed(checked, ORDER_SCHEMA, ["o_orderkey"], nothing)
+
+
+@query
+def sync_oversize(spark, sf_dir):
+    """Documents through messages of 4 KiB: what is too large for one is in the audit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    header = headers.append_header("tmp.docs", batch_id="run-1")
+    sent = sync.send(docs, F.col("doc_id") % N_LANES, F.col("doc_id"), header, "docs_topic",
+                     F.lit("2024-01-01 00:00:00"), N_LANES, limit=4096, strict=False)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()),
+                           T.StructField("text", T.StringType())])
+    arrived = sync.apply_append(sync.receive(_sent(spark, sent), schema), schema)
+    large = sync.rejected(docs, "docs_topic", "tmp.docs", 4096)
+    kept = F.from_json("payload", schema)
+    both = arrived.select("doc_id", "text").unionByName(
+        large.select(kept["doc_id"].alias("doc_id"), kept["text"].alias("text")))
+    return both.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def clear_by_literal(spark, sf_dir):
+    """Partitions cleared by the literals that users write, of one and of two columns."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("msg_id"), F.lit("t").alias("clear_table"), "event_type",
+        (F.col("user_id") % 3).alias("part"), F.expr("event_id div 400").cast("string")
+        .alias("batch_id"), "value")
+    out = None
+    for name, literal, columns in (
+            ("one", literals.partition_literal(F.col("event_type"), quoted=(True,)),
+             ["event_type"]),
+            ("two", literals.partition_literal(F.col("part"), F.col("event_type"),
+                                               quoted=(False, True)), ["part", "event_type"])):
+        rows = events.withColumn("partition", literal)
+        last = clear.last_clears(clear.run_starts(rows, span=500))
+        left = clear.surviving(rows, last, "clear_table", columns).select(
+            F.lit(name).alias("keyed_by"), "msg_id", "event_type", "part")
+        out = left if out is None else out.unionByName(left)
+    return out
+
+
+@query
+def pack_messages_blocks(spark, sf_dir):
+    """Packing over many blocks of each lane gives the messages of one block."""
+    return pack.pack_messages(fx.rows(spark, sf_dir), limit=LIMIT, span=700).select(
+        "lane", "msg", "first_order", "n_rows", "n_bytes", _joined("rows").alias("rows_md5"))
+
+
+@query
+def clear_events_blocks(spark, sf_dir):
+    """Clears over many blocks of message ids."""
+    return _clear_events(spark, sf_dir, span=300)

@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableferry.functions.codec import encoded
+from tableferry.functions.codec import encode_rows, encoded, parsed
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE, enriched
 from tableferry.operators import chunks as ch
 from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.fold import sequential_groups
-from tableferry.operators.pack import MESSAGE_BYTES, pack_messages, to_topic
-from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
-from tableferry.operators.route import good_rows, triaged, typed, with_header
+from tableferry.operators.pack import MESSAGE_BYTES, oversize, pack_messages, to_topic
+from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ranges,
+                                         unread_ranges)
+from tableferry.operators.route import (BAD_MSG, DIRTY, audit, good_rows, triaged, typed,
+                                        with_header)
 from tableferry.operators.upsert import upsert
 
 HEADERS = ("db_type", "target_table", "clear_table", "partition", "batch_id", "range_partition")
@@ -21,26 +23,61 @@ HEADERS = ("db_type", "target_table", "clear_table", "partition", "batch_id", "r
 
 def send(rows: DataFrame, lane: Column, order: Column, header: Column, topic: str,
          publish_time: Column, n_lanes: int, limit: int = MESSAGE_BYTES, task_id: str = "",
-         source_table: str = "", span: int = 1_000_000) -> DataFrame:
+         source_table: str = "", span: int = 1_000_000, strict: bool = True) -> DataFrame:
     """Rows to messages: encode, pack, add the header.
 
-    ``lane`` spreads rows over ``n_lanes`` ordered streams; ``order`` is an integer unique in
+    A row larger than ``limit`` stops the job; with ``strict=False`` it is left out, and
+    :func:`rejected` gives it for the audit. ``lane`` spreads rows over ``n_lanes`` ordered streams; ``order`` is an integer unique in
     its lane. ``rows`` is read twice and must give the same rows each time.
     """
     enc = rows.select(lane.cast("long").alias("lane"), order.cast("long").alias("ord"),
                       encoded(rows.schema).alias("enc"))
-    packed = pack_messages(enc, limit=limit, span=span)
+    packed = pack_messages(enc, limit=limit, strict=strict, span=span)
     full = enriched(header, task_id, source_table, F.col("n_rows"))
     return to_topic(packed, topic, full, publish_time, n_lanes)
 
 
+def rejected(rows: DataFrame, topic: str, target_table: str = "",
+             limit: int = MESSAGE_BYTES) -> DataFrame:
+    """Audit entries of the rows that :func:`send` leaves out for their size."""
+    large = oversize(encode_rows(rows), limit).withColumn(
+        "topic", F.lit(topic)).withColumn("target_table", F.lit(target_table))
+    return audit(BAD_MSG, large, F.lit("oversize"), F.col("enc"))
+
+
+def unreadable(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Audit entries of the messages of a bounded set that cannot be decoded."""
+    bad = messages.where(parsed(F.col("data"), schema.names).isNull())
+    return audit(BAD_MSG, bad, F.lit("undecodable"), F.col("data"))
+
+
+def left_out(checked: DataFrame, schema: T.StructType, registry: DataFrame | None = None,
+             range_key: str | None = None, route: str = KEYED_TYPE) -> DataFrame:
+    """Audit entries of decoded rows that are not applied: those with a field that does not fit,
+    and those outside every range of their target; and of range requests that are none."""
+    mine = checked.where(F.col("route") == route)
+    rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema).withColumn(
+        "target_table", F.col("target"))
+    payload = F.to_json(F.struct(*schema.names))
+    out = audit(DIRTY, rows.where("dirty_fields is not null"), F.col("dirty_fields"), payload)
+    if range_key:
+        ranges = add_ranges(registry, requested_ranges(mine))
+        placed = assign_ranges(rows.where("dirty_fields is null"), range_key, ranges, "target")
+        out = out.unionByName(audit(DIRTY, placed.where("lower is null"), F.lit("no_range"),
+                                    payload))
+        out = out.unionByName(audit(BAD_MSG, unread_ranges(mine), F.lit("bad_range"),
+                                    F.col("asked")))
+    return out
+
+
 def receive(topic: DataFrame, schema: T.StructType, known: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """Messages with header columns, checked and decoded but not yet split."""
     return triaged(with_header(topic, *HEADERS), schema.names, known)
 
 
 def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame | None = None,
-                 aliases: dict[str, str] | None = None, partition: str | None = None,
+                 aliases: dict[str, str] | None = None,
+                 partition: str | Sequence[str] | None = None,
                  span: int = 1_000_000) -> DataFrame:
     """Final rows of append targets: ``target`` and the columns of ``schema``.
 
@@ -64,7 +101,8 @@ def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame |
 def apply_keyed(checked: DataFrame, schema: T.StructType, keys: Sequence[str],
                 existing: DataFrame, registry: DataFrame | None = None,
                 range_key: str | None = None) -> DataFrame:
-    """Final rows of keyed targets. Rows outside every range of their target are left out."""
+    """Final rows of keyed targets. Rows outside every range of their target, or with a field
+    that does not fit, are left out; :func:`left_out` audits them."""
     mine = checked.where(F.col("route") == KEYED_TYPE)
     rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema)
     rows = rows.where("dirty_fields is null").drop("dirty_fields")
@@ -96,9 +134,9 @@ def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES) -> DataFrame:
 
 def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,
                  lane: str = "lane", order: str = "msg_id", span: int = 1_000_000) -> DataFrame:
-    """Records of a bounded set of messages with the number of the insert they belong to."""
-    rows = F.from_json("data", T.ArrayType(T.StructType(
-        [T.StructField(n, T.StringType()) for n in schema.names])))
+    """Records of a bounded set of messages with the number of the insert they belong to.
+    Messages that cannot be read give none; :func:`unreadable` audits them."""
+    rows = parsed(F.col("data"), schema.names)
     sized = messages.withColumn("rows", rows).where("rows is not null").withColumn(
         "_n", F.size("rows").cast("long"))
     grouped = sequential_groups(sized, lane, order, "_n", batch_rows, "before", out="insert_no",

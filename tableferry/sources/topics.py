@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tableferry.operators.pack import END_SIGN
@@ -11,9 +12,26 @@ from tableferry.schemas import TOPIC
 from tableferry.session import stored
 
 
-def publish(messages: DataFrame, path: str) -> None:
-    """Append messages to a topic."""
-    messages.select(*TOPIC.names).write.mode("append").parquet(path)
+def next_id(spark: SparkSession, path: str) -> int:
+    """The id above all messages of a topic, 0 for a new one. Only the id column is read."""
+    try:
+        last = read_topic(spark, path).agg(F.max("msg_id")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return 0 if last is None else last + 1
+
+
+def publish(messages: DataFrame, path: str, own_ids: bool = False) -> None:
+    """Append messages to a topic, behind all that it holds: the ids of a send, which begin at 0,
+    are moved above the topic's highest. One sender at a time publishes to a topic.
+
+    ``own_ids`` keeps ids that a log has given already and that go on from its earlier ones.
+    """
+    first = 0 if own_ids else next_id(messages.sparkSession, path)
+    (messages.withColumn("msg_id", F.col("msg_id") + F.lit(first).cast("long"))
+     .select(*TOPIC.names).write.mode("append").parquet(path))
 
 
 def read_topic(spark: SparkSession, path: str) -> DataFrame:

@@ -66,7 +66,8 @@ def test_stop_restart_and_one_file_per_trigger(spark, topic, whole):
     path, out = scratch(spark, "topic"), scratch(spark, "out")
     targets = make(spark, out)
     for low, high in ((0, 60), (60, 130), (130, 240)):
-        topics.publish(topic.where(f"msg_id >= {low} and msg_id < {high}").coalesce(1), path)
+        topics.publish(topic.where(f"msg_id >= {low} and msg_id < {high}").coalesce(1), path,
+                       own_ids=True)
         query = receiver.start(topics.stream_topic(spark, path, 1), K, targets, f"{out}/cursor",
                                KNOWN, once=True)
         query.awaitTermination()
