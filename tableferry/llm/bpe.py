@@ -123,10 +123,19 @@ def words_of(pattern: str, special: dict[str, int]):
     split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
     marks = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
                        + ")") if special else None
-    normal = unicodedata.is_normalized
+    normal, category = unicodedata.is_normalized, unicodedata.category
+
+    def by_library(text: str) -> list[str]:
+        """Code points that Python's Unicode data does not know yet: ask the library's."""
+        from tokenizers import Regex, normalizers, pre_tokenizers
+        text = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str(text)
+        cut = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        return [w for w, _ in cut.pre_tokenize_str(text)]
 
     def plain(text: str) -> list[str]:
         if not text.isascii():
+            if any(category(c) == "Cn" for c in text):
+                return by_library(text)
             if not normal("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # no final form: each letter by itself

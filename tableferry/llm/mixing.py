@@ -168,6 +168,7 @@ def mixed_documents(docs: DataFrame, max_repeats: float | None = MAX_REPEATS,
                     entropy: float | None = None) -> DataFrame:
     """``docs`` as often as the plan reads them, laid out block by block; a block is shuffled."""
     shuffled = F.xxhash64("place", "pass")
-    return (planned(docs, max_repeats, entropy).withColumn("_at", shuffled)
-            .repartitionByRange("block", "_at").sortWithinPartitions("block", "_at")
-            .select(docs.columns))
+    rows = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
+    return (planned(rows, max_repeats, entropy).select("row", "block", shuffled.alias("at"))
+            .repartitionByRange("block", "at").sortWithinPartitions("block", "at")
+            .select("row.*"))

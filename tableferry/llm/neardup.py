@@ -303,10 +303,11 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, the one of the smallest id, with all its columns."""
     found = stored(near_duplicates(docs), "near-result")
     ids = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    named = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
     if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return named.unionByName(docs.where("doc_id is null"))
     # rows that share an id: one stays
     order = Window.partitionBy("doc_id").orderBy("text")
-    return (named.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    rows = named.select("doc_id", "text", F.struct("*").alias("row"))
+    return (rows.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
             .unionByName(docs.where("doc_id is null")))

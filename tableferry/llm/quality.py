@@ -72,7 +72,8 @@ class QualityModel:
 
     def __init__(self, sample: list[tuple[str, int]]):
         # the curve is fitted on the fold that the dictionaries have not seen, for both halves
-        halves = [sample[0::2], sample[1::2]]
+        by_label = sorted(sample, key=lambda x: x[1])
+        halves = [by_label[0::2], by_label[1::2]]
         rows, y = [], []
         for train, test in (halves, halves[::-1]):
             sizes = Sizes(*(dictionary([p for t, l in train if l == want for p in pieces(t)][:40_000])
@@ -87,8 +88,7 @@ class QualityModel:
             for want in (1, 0))
 
     def _scaled(self, x: np.ndarray) -> np.ndarray:
-        x = x / self.spread
-        return np.column_stack([x, x[:, 0] * x[:, 0], x[:, 2] * x[:, 2]])
+        return x / self.spread
 
     def scores(self, features: list[tuple[float, ...]]) -> np.ndarray:
         x = self._scaled(np.array(features, float).reshape(-1, 3))

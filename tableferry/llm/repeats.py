@@ -271,16 +271,20 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     new = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
            T.StructField("kept", T.StringType())]
     names = {f.name for f in new}
-    columns = [c for c in docs.columns if c.lower() not in names | {"_spans"}]
+    columns = [c for c in docs.columns if c.lower() not in names]
+    spans_name = "_spans"
+    while spans_name in {c.lower() for c in columns}:
+        spans_name += "_"
     schema = T.StructType([docs.schema[c] for c in columns] + new)
     listed = repeated_spans(docs, window, rounds).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list("span").alias("_spans"))
-    joined = docs.select(columns).join(listed, F.col("doc_id") == F.col("_id"), "left")
+        F.collect_list("span").alias(spans_name))
+    rows = docs.select(columns)
+    joined = rows.join(listed, rows["doc_id"] == listed["_id"], "left")
 
     def task(batches):
         for batch in sliced(batches, "text"):
             out = [[], [], []]
-            for text, spans in zip(texts(batch, "text"), batch.column("_spans").to_pylist()):
+            for text, spans in zip(texts(batch, "text"), batch.column(spans_name).to_pylist()):
                 data = text.encode()
                 words = data.split()
                 removed = np.zeros(len(words) + 1, np.int64)
@@ -301,4 +305,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
                 + [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                    pa.array(out[2], pa.string())], names=columns + [f.name for f in new])
 
-    return joined.select(*columns, "_spans").mapInArrow(task, schema)
+    return joined.select(*[rows[c] for c in columns], spans_name).mapInArrow(task, schema)
