@@ -378,7 +378,8 @@ def test_quality_learns_and_survives_odd_input(spark, nasty, empty):
     good = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60)) for _ in range(80)]
     bad = [" ".join(rng.choice(["###", "$$$", "@@", "zz!!"]) for _ in range(60)) for _ in range(80)]
     model = quality.QualityModel([x for p in zip([(t, 1) for t in good], [(t, 0) for t in bad]) for x in p])
-    docs = spark.createDataFrame([(1, "alpha gamma beta delta " * 20), (2, "### zz!! $$$ @@ " * 20)],
+    docs = spark.createDataFrame([(1, " ".join(rng.sample(good[0].split(), 60))),
+                                  (2, " ".join(rng.sample(bad[0].split(), 60)))],
                                  "doc_id long, text string")
     got = {r.doc_id: r.score for r in quality.scored(docs, model).collect()}
     assert got[1] > 0.7 and got[2] < 0.3
