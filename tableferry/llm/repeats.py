@@ -12,7 +12,8 @@ whose context it holds the one with the smallest name, those of three or more wo
 hash if it holds none (inside long runs). Neighbouring windows with one anchor are a region. The work is then:
 
 1. anchors of all texts, the smallest and the largest document of each (hot ones are reduced in
-   tasks first); an anchor of one document only cannot belong to a repeat;
+   tasks first); an anchor of one document only cannot belong to a repeat. A bitmap of fixed size
+   keeps most regions of such anchors from being shuffled in the next step;
 2. regions of the shared anchors by anchor and content: every document but the smallest of a group
    loses the whole region, and the smallest stands for the group;
 3. where an anchor has regions of different content, the windows of those representatives are
@@ -40,6 +41,7 @@ from tableferry.session import stored
 WINDOW = 13
 ROUNDS = 2
 MOST_WINDOWS = 64
+FILTER_BITS = 26
 NONE = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -188,9 +190,24 @@ def checks(values: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(v) & 0xFFFFFF for v in values], U64)
 
 
-def regions(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+def bitmap(anchors: DataFrame) -> np.ndarray:
+    """A bit for each value of the low bits of the anchors: 8 MB whatever their number is, put
+    together from at most 2^20 words."""
+    low = F.col("anchor").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = anchors.groupBy(F.shiftright(low, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(anchor & 63 as int))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(U64)
+
+
+def regions(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
+            wanted: np.ndarray | None = None) -> DataFrame:
     """``(anchor, content, doc_id, span)`` of every region. A span holds the first window's
-    place (32 bits), the check of the text (24) and the number of windows (8)."""
+    place (32 bits), the check of the text (24) and the number of windows (8).
+
+    ``wanted`` is a :func:`bitmap`; regions whose anchor has no bit in it are left out.
+    """
 
     def task(batches):
         hasher = WordHasher()
@@ -203,8 +220,13 @@ def regions(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
             ids = np.array(batch.column("doc_id").to_pylist(), np.int64)[got.text]
             span = (got.begin.astype(U64) << U64(32)) | (checks(data)[got.text] << U64(8)) \
                 | got.count.astype(U64)
-            for at in range(0, len(ids), 50_000):
-                cut = slice(at, at + 50_000)
+            some = np.arange(len(ids))
+            if wanted is not None:
+                low = got.anchor & U64((1 << FILTER_BITS) - 1)
+                some = np.flatnonzero(wanted[(low >> U64(6)).astype(np.int64)]
+                                      >> (low & U64(63)) & U64(1))
+            for at in range(0, len(some), 50_000):
+                cut = some[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
                     [_long(got.anchor[cut]), _long(got.content[cut]), pa.array(ids[cut]),
                      _long(span[cut])], names=["anchor", "content", "doc_id", "span"])
@@ -249,10 +271,11 @@ def windows_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """``(doc_id, span)``: windows, as spans, that also start in a document of smaller id."""
-    found = regions(docs, window, rounds)
-    shared = stored(found.groupBy("anchor").agg(
+    shared = stored(regions(docs, window, rounds).groupBy("anchor").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .where("low < high").select("anchor"), "repeat-anchors")
+    # the bits only keep most of the other regions out of the shuffle; the join decides
+    found = regions(docs, window, rounds, bitmap(shared))
     near = stored(found.join(shared, "anchor"), "repeat-regions")
     firsts = stored(near.groupBy("anchor", "content").agg(F.min("doc_id").alias("first")),
                     "repeat-firsts")
