@@ -9,7 +9,8 @@ inside a window, the symbol occurs in every other occurrence of the window too.
 
 So a window of ``window`` words has an anchor that depends on its words only: among the symbols
 whose context it holds the one with the smallest name, those of three or more words first; its own
-hash if it holds none (inside long runs). Neighbouring windows with one anchor are a region. The work is then:
+hash if it holds none (inside long runs). The context takes in the word on either side and the
+anchor names it too, as short symbols alone recur in texts that have nothing else in common. Neighbouring windows with one anchor are a region. The work is then:
 
 1. anchors of all texts, the smallest and the largest document of each (hot ones are reduced in
    tasks first); an anchor of one document only cannot belong to a repeat. A bitmap of fixed size
@@ -144,17 +145,21 @@ class Regions:
         whole = sums[window:] - sums[:total - window + 1] == window if len(begin) else begin > 0
         # best anchor of every window: symbols of three and more words first, then the name
         size = p.stop - p.start
-        rank = np.where(size >= 3, 0, np.where(size == 2, 1, 2)).astype(U64) << U64(58) \
-            | (p.name >> U64(6))
+        places = np.zeros(total, U64)
+        places[p.word_at] = words
+        fits = np.flatnonzero(~p.fixed)
+        low = np.minimum(p.low, p.start - 1)
+        high = np.maximum(p.high, p.stop + 1)
+        fits = fits[high[fits] - low[fits] <= window]
+        low, high, size = low[fits], high[fits], size[fits]
+        name = chained((p.name[fits], places[p.start[fits] - 1], places[p.stop[fits]]), 7)
+        rank_ = np.where(size >= 3, 0, np.where(size == 2, 1, 2)).astype(U64) << U64(58) \
+            | (name >> U64(6))
         best = np.full(total + window, NONE, U64)
-        fits = ~p.fixed & (p.high - p.low <= window)
-        low, high, rank_ = p.low[fits], p.high[fits], rank[fits]
         for back in range(window):
             at = high - window + back
             ok = (at <= low) & (at >= 0)
             np.minimum.at(best, at[ok], rank_[ok])
-        places = np.zeros(total, U64)
-        places[p.word_at] = words
         own = window_hashes(places, window)
         best = best[:len(own)]
         anchor = np.where(best == NONE, mixed(own + U64(7)), best)
