@@ -6,10 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-
-def wire_column(name: str, dtype: T.DataType) -> Column:
-    """A column in a form whose JSON text casts back to the same value."""
-    c = F.col(f"`{name}`")
+#: Names that a record carries, beside its values.
+FIELDS = "_fields"
+
+
+def _nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+
+
+def wire(c: Column, dtype: T.DataType) -> Column:
+    """A value in a form whose JSON text casts back to the same value, at every level."""
+    if isinstance(dtype, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[wire(c[f.name], f.dataType).alias(f.name)
+                                                for f in dtype.fields]))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: wire(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        values = F.transform_values(c, lambda _, v: wire(v, dtype.valueType))
+        if isinstance(dtype.keyType, T.StringType):
+            return values
+        if _nested(dtype.keyType):
+            raise ValueError("a map whose keys are nested has no JSON form")
+        return F.transform_keys(values, lambda k, _: wire(k, dtype.keyType).cast("string"))
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)  # an instant, whatever zones sender and receiver are in
     if isinstance(dtype, T.TimestampNTZType):
@@ -22,6 +40,10 @@ def wire_column(name: str, dtype: T.DataType) -> Column:
     return c
 
 
+def wire_column(name: str, dtype: T.DataType) -> Column:
+    return wire(F.col(f"`{name}`"), dtype)
+
+
 def encoded(schema: T.StructType, columns: Sequence[str] | None = None) -> Column:
     """The JSON object of a row; null fields are kept."""
     wanted = set(columns or schema.names)
@@ -62,7 +84,8 @@ def decode_rows(messages: DataFrame, names: Sequence[str], data: str = "data",
     """
     keep = [c for c in messages.columns if c != data]
     return (
-        messages.select(*keep, F.posexplode(parsed(F.col(data), names)).alias(pos, "_row"))
+        messages.select(*keep, F.posexplode_outer(parsed(F.col(data), names)).alias(pos, "_row"))
+        .where(F.col(pos).isNotNull())
         .select(*keep, pos, *[F.col(f"_row.`{n}`").alias(n) for n in names])
     )
 
@@ -73,8 +96,53 @@ def from_wire(text: Column, dtype: T.DataType) -> Column:
         return text
     if isinstance(dtype, T.BinaryType):
         return F.try_to_binary(text, F.lit("base64"))
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.from_json(text, dtype)
+    if _nested(dtype):
+        return _nested_from_wire(text, dtype)
     if isinstance(dtype, T.TimestampType):
         return F.coalesce(F.timestamp_micros(text.try_cast("bigint")), text.try_cast(dtype))
     return text.try_cast(dtype)
+
+
+def _nested_from_wire(text: Column, dtype: T.DataType) -> Column:
+    """One level is parsed with its values as text, then each value is read by its own type, so
+    that a misfit at any depth makes the whole field null."""
+    def bound(value: Column, use) -> Column:
+        # the parse is evaluated once, however often its parts are used
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def fits(raw: Column, kind: T.DataType) -> Column:
+        return raw.isNull() | from_wire(raw, kind).isNotNull()
+
+    if isinstance(dtype, T.ArrayType):
+        kind = dtype.elementType
+        return bound(F.from_json(text, "array<string>"), lambda raw: F.when(
+            F.forall(raw, lambda x: fits(x, kind)), F.transform(raw, lambda x: from_wire(x, kind))))
+    if isinstance(dtype, T.MapType):
+        keys, kind = dtype.keyType, dtype.valueType
+        return bound(F.from_json(text, "map<string,string>"), lambda raw: F.when(
+            F.forall(F.map_keys(raw), lambda k: from_wire(k, keys).isNotNull())
+            & F.forall(F.map_values(raw), lambda v: fits(v, kind)),
+            F.map_from_arrays(F.transform(F.map_keys(raw), lambda k: from_wire(k, keys)),
+                              F.transform(F.map_values(raw), lambda v: from_wire(v, kind)))))
+    broken = "_unreadable"
+    level = T.StructType([*[T.StructField(f.name, T.StringType()) for f in dtype.fields],
+                          T.StructField(broken, T.StringType())])
+
+    def struct(raw: Column) -> Column:
+        ok = text.isNotNull() & raw[broken].isNull()
+        for f in dtype.fields:
+            ok = ok & fits(raw[f.name], f.dataType)
+        return F.when(ok, F.struct(*[from_wire(raw[f.name], f.dataType).alias(f.name)
+                                     for f in dtype.fields]))
+
+    return bound(F.from_json(text, level, {"columnNameOfCorruptRecord": broken}), struct)
+
+
+def with_fields(rows: Column, data: Column) -> Column:
+    """Parsed records with the names that each carries in ``fields``: a record without a column
+    is told apart from one in which it is null."""
+    listed = F.when(F.trim(data).startswith("{"), F.concat(F.lit("["), data, F.lit("]"))).otherwise(
+        data)
+    texts = F.from_json(listed, "array<string>")
+    return F.transform(rows, lambda r, i: r.withField(
+        FIELDS, F.json_object_keys(F.get(texts, i))))

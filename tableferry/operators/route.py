@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableferry.functions.codec import from_wire, parsed
+from tableferry.functions.codec import from_wire, parsed, with_fields
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
 from tableferry.functions.literals import normalise_target
 
@@ -33,14 +33,15 @@ def with_header(topic: DataFrame, *names: str) -> DataFrame:
 
 def triaged(messages: DataFrame, fields: Sequence[str],
             known: DataFrame | Sequence[str] | None = None,
-            sinks: Sequence[str] = SINKS) -> DataFrame:
+            sinks: Sequence[str] = SINKS, partial: bool = False) -> DataFrame:
     """Messages with ``route``, ``target``, ``rows`` (decoded, null if unreadable) and
     ``reason`` (null if good).
 
     Expects columns ``db_type``, ``target_table`` and ``data``. ``known`` names the keyed
     targets that exist: a list, or for a large catalog a table with a column ``target``, which
     should be read from files so that its size decides how it is joined. Target names are few
-    and uneven, so messages are not to be shuffled by them.
+    and uneven, so messages are not to be shuffled by them. With ``partial``, each record says
+    which columns it carries.
     """
     checked = messages.select(
         "*", route_of(F.col("db_type")).alias("route"),
@@ -60,7 +61,8 @@ def triaged(messages: DataFrame, fields: Sequence[str],
         .when((F.col("route") == KEYED_TYPE) & F.col("_known").isNull(), "unknown_target")
         .when(F.col("rows").isNull(), "undecodable")
     )
-    return checked.withColumn("rows", rows).withColumn("reason", reason).drop("_known")
+    out = checked.withColumn("rows", rows).withColumn("reason", reason).drop("_known")
+    return out.withColumn("rows", with_fields(F.col("rows"), F.col("data"))) if partial else out
 
 
 def bad_messages(triaged_messages: DataFrame) -> DataFrame:
@@ -69,10 +71,15 @@ def bad_messages(triaged_messages: DataFrame) -> DataFrame:
 
 def good_rows(triaged_messages: DataFrame, fields: Sequence[str],
               keep: Sequence[str]) -> DataFrame:
-    """Decoded records of the good messages, fields as text."""
+    """Decoded records of the good messages, fields as text.
+
+    The messages are not filtered by ``reason``: such a filter moves below the decoding and takes
+    a second copy of it along.
+    """
+    good = F.when(F.col("reason").isNull(), F.col("rows"))
     return (
-        triaged_messages.where("reason is null")
-        .select(*keep, F.posexplode("rows").alias("row_pos", "_row"))
+        triaged_messages.select(*keep, F.posexplode_outer(good).alias("row_pos", "_row"))
+        .where("row_pos is not null")
         .select(*keep, "row_pos", *[F.col(f"_row.`{n}`").alias(n) for n in fields])
     )
 

@@ -48,3 +48,28 @@ def upsert_partial(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return joined.select(*[
         F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(c)).alias(c)
         if c in carried else F.col(c) for c in existing.columns])
+
+
+def cells(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str],
+          fields: str) -> DataFrame:
+    """Each column as ``struct(*order, value)``, null in records that do not carry it; a record
+    whose list of names is null carries all. Cells of several rounds merge to the same result in
+    any order."""
+    def cell(c: str):
+        here = F.col(fields).isNull() | F.array_contains(fields, c)
+        return F.when(here, F.struct(*order, F.col(f"`{c}`").alias("value"))).alias(c)
+    return rows.select(*keys, *[cell(c) for c in columns])
+
+
+def merged_cells(parts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest cell of each column of each key, by an aggregate like :func:`last_wins`."""
+    def newest(c: str):
+        at = F.when(F.col(f"`{c}`").isNotNull(), F.struct(*[F.col(f"`{c}`")[o] for o in order]))
+        return F.max_by(F.col(f"`{c}`"), at).alias(c)
+    columns = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(*[newest(c) for c in columns]) if columns else parts.distinct()
+
+
+def cell_values(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return merged.select(*[F.col(f"`{c}`") if c in keys else F.col(f"`{c}`")["value"].alias(c)
+                           for c in merged.columns])

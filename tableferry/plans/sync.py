@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableferry.functions.codec import encode_rows, encoded, parsed
+from tableferry.functions.codec import FIELDS, encode_rows, encoded, parsed
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE, enriched
 from tableferry.operators import chunks as ch
 from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
@@ -16,7 +16,7 @@ from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ra
                                          unread_ranges)
 from tableferry.operators.route import (BAD_MSG, DIRTY, audit, good_rows, triaged, typed,
                                         with_header)
-from tableferry.operators.upsert import upsert
+from tableferry.operators.upsert import cell_values, cells, merged_cells, upsert
 
 HEADERS = ("db_type", "target_table", "clear_table", "partition", "batch_id", "range_partition")
 
@@ -27,8 +27,9 @@ def send(rows: DataFrame, lane: Column, order: Column, header: Column, topic: st
     """Rows to messages: encode, pack, add the header.
 
     A row larger than ``limit`` stops the job; with ``strict=False`` it is left out, and
-    :func:`rejected` gives it for the audit. ``lane`` spreads rows over ``n_lanes`` ordered streams; ``order`` is an integer unique in
-    its lane. ``rows`` is read twice and must give the same rows each time.
+    :func:`rejected` gives it for the audit. ``lane`` spreads rows over ``n_lanes`` ordered
+    streams; ``order`` is an integer unique in its lane. ``rows`` is read twice and must give the
+    same rows each time.
     """
     enc = rows.select(lane.cast("long").alias("lane"), order.cast("long").alias("ord"),
                       encoded(rows.schema).alias("enc"))
@@ -70,9 +71,19 @@ def left_out(checked: DataFrame, schema: T.StructType, registry: DataFrame | Non
     return out
 
 
-def receive(topic: DataFrame, schema: T.StructType, known: DataFrame | Sequence[str] | None = None) -> DataFrame:
-    """Messages with header columns, checked and decoded but not yet split."""
-    return triaged(with_header(topic, *HEADERS), schema.names, known)
+def receive(topic: DataFrame, schema: T.StructType,
+            known: DataFrame | Sequence[str] | None = None, partial: bool = False) -> DataFrame:
+    """Messages with header columns, checked and decoded but not yet split. ``partial`` is for
+    keyed targets whose records may carry only some columns."""
+    return triaged(with_header(topic, *HEADERS), schema.names, known, partial=partial)
+
+
+def with_aliases(messages: DataFrame, aliases: dict[str, str] | None) -> DataFrame:
+    """``clear_table`` by the name of its target, where headers name the table behind it."""
+    for physical, logical in (aliases or {}).items():
+        messages = messages.withColumn("clear_table", F.when(
+            F.col("clear_table") == physical, logical).otherwise(F.col("clear_table")))
+    return messages
 
 
 def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame | None = None,
@@ -85,11 +96,7 @@ def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame |
     used in ``clear_table`` to the target they belong to, where the two differ.
     """
     mine = checked.where(F.col("route") == APPEND_TYPE)
-    heads = mine
-    for physical, logical in (aliases or {}).items():
-        heads = heads.withColumn("clear_table", F.when(
-            F.col("clear_table") == physical, logical).otherwise(F.col("clear_table")))
-    last = last_clears(run_starts(heads, KEYS, span=span))
+    last = last_clears(run_starts(with_aliases(mine, aliases), KEYS, span=span))
     rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema)
     rows = rows.where("dirty_fields is null").select("target", "msg_id", *schema.names)
     if existing is not None:
@@ -100,11 +107,13 @@ def apply_append(checked: DataFrame, schema: T.StructType, existing: DataFrame |
 
 def apply_keyed(checked: DataFrame, schema: T.StructType, keys: Sequence[str],
                 existing: DataFrame, registry: DataFrame | None = None,
-                range_key: str | None = None) -> DataFrame:
-    """Final rows of keyed targets. Rows outside every range of their target, or with a field
+                range_key: str | None = None, partial: bool = False) -> DataFrame:
+    """Final rows of keyed targets. With ``partial``, as in :func:`receive`, a column that a record
+    does not carry keeps its value, and is null for a new key. Rows outside every range of their target, or with a field
     that does not fit, are left out; :func:`left_out` audits them."""
     mine = checked.where(F.col("route") == KEYED_TYPE)
-    rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema)
+    fields = [*schema.names, FIELDS] if partial else schema.names
+    rows = typed(good_rows(mine, fields, ["target", "msg_id"]), schema)
     rows = rows.where("dirty_fields is null").drop("dirty_fields")
     if range_key:
         ranges = add_ranges(registry, requested_ranges(mine))
@@ -113,6 +122,12 @@ def apply_keyed(checked: DataFrame, schema: T.StructType, keys: Sequence[str],
     ids = ["target", *keys]
     stored_rows = existing.select(
         *names, F.lit(-1).cast("long").alias("msg_id"), F.lit(-1).alias("row_pos"))
+    if partial:
+        order, rest = ["msg_id", "row_pos"], [c for c in schema.names if c not in keys]
+        all_rows = stored_rows.withColumn(FIELDS, F.lit(None).cast("array<string>")).unionByName(
+            rows.select(*names, *order, FIELDS))
+        merged = merged_cells(cells(all_rows, ids, rest, order, FIELDS), ids, order)
+        return cell_values(merged, ids).select(*names)
     incoming = rows.select(*names, "msg_id", "row_pos")
     return upsert(stored_rows, incoming, ids, ["msg_id", "row_pos"]).select(*names)
 

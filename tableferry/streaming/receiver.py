@@ -4,32 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tableferry.plans.sync import receive
-from tableferry.streaming.sinks import Sink
+from tableferry.sources.topics import Subscription, stream_topic
+from tableferry.streaming.sinks import AuditSink, Sink
 
 # Fixed value: seconds between flushes.
 FLUSH_SECONDS = 60
 
 
+def cursor_of(batch: DataFrame) -> str:
+    """The id that a checkpoint gives to its query for good. A new or lost checkpoint has
+    another, so it never overwrites what an earlier one has written."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], checkpoint: str,
-          known: DataFrame | Sequence[str] | None = None, once: bool = False, seconds: int = FLUSH_SECONDS,
-          callback: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+          known: DataFrame | Sequence[str] | None = None, once: bool = False,
+          seconds: int = FLUSH_SECONDS,
+          callback: Callable[[DataFrame, int], None] | None = None,
+          partial: bool = False) -> StreamingQuery:
     """Run a subscription: ``checkpoint`` is its cursor, and the trigger its flush rule.
 
     Offsets are committed after every sink has written the epoch. ``once`` reads what is there
-    and ends, which also flushes everything. ``callback`` sees each micro-batch first.
+    and ends, which also flushes everything. ``callback`` sees each micro-batch first. Sinks may
+    be shared by several subscriptions. If there is no audit among them, bad messages and dirty
+    rows go to one at ``{checkpoint}-audit``.
     """
+    sinks = list(sinks)
+    if not any(isinstance(s, AuditSink) for s in sinks):
+        sinks.append(AuditSink(messages.sparkSession, f"{checkpoint}-audit", schema, wal=False))
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if callback is not None:
             callback(batch, epoch_id)
-        checked = receive(batch, schema, known).persist()
+        cursor = cursor_of(batch)
+        checked = receive(batch, schema, known, partial).persist()
         try:
             for sink in sinks:
-                sink.write(checked, epoch_id)
+                sink.write(checked, epoch_id, cursor)
         finally:
             checked.unpersist()
 
@@ -42,8 +58,28 @@ def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], chec
 def start_files(chunks: DataFrame, sink: Sink, checkpoint: str, once: bool = False,
                 seconds: int = FLUSH_SECONDS) -> StreamingQuery:
     """Run a subscription to a topic of file chunks."""
-    writer = (chunks.writeStream.foreachBatch(sink.write)
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        sink.write(batch, epoch_id, cursor_of(batch))
+
+    writer = (chunks.writeStream.foreachBatch(apply)
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if once
               else writer.trigger(processingTime=f"{seconds} seconds"))
     return writer.start()
+
+
+def start_all(spark: SparkSession, subscriptions: Sequence[Subscription], schema: T.StructType,
+              sinks: Sequence[Sink], checkpoints: str,
+              opened: Callable[[SparkSession, Subscription], DataFrame] | None = None,
+              **options) -> list[StreamingQuery]:
+    """Run several subscriptions into the same sinks, each with a cursor of its own below
+    ``checkpoints``. ``opened`` makes the stream of a subscription; by default its url is the
+    folder that holds its topic. ``options`` are those of :func:`start`."""
+    def folder(spark: SparkSession, s: Subscription) -> DataFrame:
+        return stream_topic(spark, f"{s.url}/{s.topic}")
+
+    names = [f"{s.name}-{s.topic}" for s in subscriptions]
+    if len(set(names)) != len(names):
+        raise ValueError("a subscription is listed twice")
+    return [start((opened or folder)(spark, s), schema, sinks, f"{checkpoints}/{name}", **options)
+            for s, name in zip(subscriptions, names)]

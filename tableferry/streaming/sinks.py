@@ -1,7 +1,8 @@
 """Targets that a stream writes to.
 
-A target is a log of epochs. Each micro-batch writes only its own rows, under its epoch id, so
-a retried epoch replaces itself and the cost of a batch does not grow with the table. Clears
+A target is a log of epochs. Each micro-batch writes only its own rows, under its subscription's
+cursor and its epoch id, so a retried epoch replaces itself, subscriptions do not touch each
+other's rows, and the cost of a batch does not grow with the table. Clears
 and upserts take effect when the table is read, and :meth:`compact` folds old epochs into a
 base so that readers do not pay for them again.
 """
@@ -14,104 +15,142 @@ from typing import Protocol
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tableferry.functions.codec import FIELDS
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
 from tableferry.operators.chunks import PART_BYTES, incomplete
 from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
 from tableferry.operators.route import BAD_MSG, DIRTY, WAL, audit, good_rows, typed
-from tableferry.operators.upsert import last_wins
-from tableferry.plans.sync import load_files
+from tableferry.operators.upsert import cell_values, cells, last_wins, merged_cells
+from tableferry.plans.sync import load_files, with_aliases
 from tableferry.schemas import AUDIT, CHUNK, RANGES
 
 HEAD = T.StructType([
     T.StructField("clear_table", T.StringType()), T.StructField("partition", T.StringType()),
     T.StructField("batch_id", T.StringType()), T.StructField("msg_id", T.LongType())])
+NOTE = T.StructType([T.StructField("version", T.LongType()),
+                     T.StructField("cursor", T.StringType()), T.StructField("upto", T.LongType())])
+
+
+#: The cursor of rows that are written by hand and not by a subscription.
+BY_HAND = "by-hand"
+Upto = dict[str, int]
 
 
 class Sink(Protocol):
-    def write(self, checked: DataFrame, epoch_id: int) -> None:
+    def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
         """Store what a micro-batch of checked messages holds for this sink."""
 
 
 class EpochLog:
-    """Folders ``name/epoch=N`` below a path, and a list of the epochs that are finished."""
+    """Folders ``name/_cursor=C/_epoch=N`` below a path, and a list of the epochs that are
+    finished. Every subscription counts its own epochs, so several may write to one log."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def put(self, name: str, df: DataFrame, epoch_id: int, by: Sequence[str] = ()) -> None:
+    def put(self, name: str, df: DataFrame, epoch_id: int, cursor: str = BY_HAND,
+            by: Sequence[str] = ()) -> None:
         df.write.mode("overwrite").partitionBy(*by).parquet(
-            f"{self.path}/{name}/epoch={epoch_id}")
-
-    def get(self, name: str, schema: T.StructType, upto: int, above: int = -1) -> DataFrame:
-        """The epochs after ``above`` up to ``upto``; the folder names prune the read."""
-        if upto <= above:
+            f"{self.path}/{name}/_cursor={cursor}/_epoch={epoch_id}")
+
+    def get(self, name: str, schema: T.StructType, upto: Upto,
+            above: Upto | None = None) -> DataFrame:
+        """The epochs of each cursor after ``above`` up to ``upto``; the folder names prune the
+        read."""
+        wanted = F.lit(False)
+        some = False
+        for cursor, last in upto.items():
+            first = (above or {}).get(cursor, -1)
+            if last > first:
+                some = True
+                wanted = wanted | ((F.col("_cursor") == cursor) & (F.col("_epoch") > first)
+                                   & (F.col("_epoch") <= last))
+        if not some:
             return self.spark.createDataFrame([], schema)
-        full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+        full = T.StructType([*schema.fields, T.StructField("_cursor", T.StringType()),
+                             T.StructField("_epoch", T.LongType())])
         return (self.spark.read.schema(full).parquet(f"{self.path}/{name}")
-                .where((F.col("epoch") > above) & (F.col("epoch") <= upto))
-                .select(*schema.names))
-
-    def commit(self, epoch_id: int) -> None:
-        """Everything of this epoch is written. A retry adds the same number again."""
-        self._note("commits", epoch_id)
-
-    def finished(self) -> int:
-        """The last finished epoch, -1 if there is none. Epochs come one after the other, so
-        all before it are finished as well."""
-        return self._noted("commits")
-
-    def put_base(self, df: DataFrame, upto: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        self._note("bases", upto)
-
-    def base(self, schema: T.StructType) -> tuple[DataFrame, int]:
-        """The newest base and the last epoch it includes."""
-        upto = self._noted("bases")
-        if upto < 0:
-            return self.spark.createDataFrame([], schema), upto
-        return self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={upto}"), upto
-
-    def _note(self, name: str, number: int) -> None:
-        (self.spark.range(number, number + 1, 1, 1).withColumnRenamed("id", "number")
-         .write.mode("append").parquet(f"{self.path}/{name}"))
-
-    def _noted(self, name: str) -> int:
+                .where(wanted).select(*schema.names))
+
+    def commit(self, epoch_id: int, cursor: str = BY_HAND) -> None:
+        """Everything of this epoch is written. Subscriptions write their notes to folders of
+        their own, as two jobs cannot append to one at the same time."""
+        self.put("commits", self.spark.range(1).coalesce(1), epoch_id, cursor)
+
+    def finished(self) -> Upto:
+        """The last finished epoch of each cursor. Epochs of a cursor come one after the other,
+        so all before it are finished as well."""
+        noted = self._noted("commits", "id long, _cursor string, _epoch long")
+        return {} if noted is None else {
+            r.cursor: r.upto for r in noted.groupBy(F.col("_cursor").alias("cursor")).agg(
+                F.max("_epoch").alias("upto")).collect()}
+
+    def put_base(self, df: DataFrame, upto: Upto) -> None:
+        """A new base that holds the epochs up to ``upto``. It counts once its note is written,
+        which is one file; a lost attempt leaves a folder that nobody reads."""
+        version = self._version() + 1
+        df.write.mode("overwrite").parquet(f"{self.path}/base/version={version}")
+        notes = self.spark.createDataFrame([(version, c, n) for c, n in upto.items()], NOTE)
+        notes.coalesce(1).write.mode("append").parquet(f"{self.path}/bases")
+
+    def base(self, schema: T.StructType) -> tuple[DataFrame, Upto]:
+        """The newest base and the last epoch of each cursor that it includes."""
+        version = self._version()
+        if version < 0:
+            return self.spark.createDataFrame([], schema), {}
+        noted = self._noted("bases", NOTE).where(F.col("version") == version).collect()
+        return (self.spark.read.schema(schema).parquet(f"{self.path}/base/version={version}"),
+                {r.cursor: r.upto for r in noted})
+
+    def _version(self) -> int:
+        noted = self._noted("bases", NOTE)
+        last = None if noted is None else noted.agg(F.max("version")).first()[0]
+        return -1 if last is None else last
+
+    def _noted(self, name: str, schema: str | T.StructType) -> DataFrame | None:
         try:
-            noted = self.spark.read.schema("number long").parquet(f"{self.path}/{name}")
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return -1
-        last = noted.agg(F.max("number")).first()[0]
-        return -1 if last is None else last
+            return None
 
 
 def _row_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([
-        T.StructField("target", T.StringType()), T.StructField("msg_id", T.LongType()),
-        T.StructField("row_pos", T.IntegerType()), *schema.fields])
+        T.StructField("target", T.StringType()), T.StructField("topic", T.StringType()),
+        T.StructField("msg_id", T.LongType()), T.StructField("row_pos", T.IntegerType()),
+        *schema.fields])
+
+
+#: Order of rows. Where several topics feed one target, their ids must be comparable.
+ORDER = ("msg_id", "row_pos", "topic")
+ORIGIN = ("target", "topic", "msg_id")
 
 
 class AppendSink:
-    """Append target, cleared once per batch."""
+    """Append target, cleared once per batch. ``partition`` names the columns that partition
+    clears compare, ``aliases`` the targets of tables that headers clear by another name."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 partition: str | None = None):
+                 partition: str | Sequence[str] | None = None,
+                 aliases: dict[str, str] | None = None):
         self.log, self.schema, self.partition = EpochLog(spark, path), schema, partition
-        self.row_schema = _row_schema(schema)
+        self.aliases, self.row_schema = aliases, _row_schema(schema)
 
-    def write(self, checked: DataFrame, epoch_id: int) -> None:
+    def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
         mine = checked.where(F.col("route") == APPEND_TYPE)
-        rows = typed(good_rows(mine, self.schema.names, ["target", "msg_id"]), self.schema)
+        rows = typed(good_rows(mine, self.schema.names, ORIGIN), self.schema)
         self.log.put("rows", rows.where("dirty_fields is null")
-                     .select(*self.row_schema.names), epoch_id)
+                     .select(*self.row_schema.names), epoch_id, cursor)
         # a message clears even if its payload is bad
-        self.log.put("heads", mine.where("clear_table <> '' and batch_id <> ''")
-                     .select(*HEAD.names), epoch_id)
-        self.log.commit(epoch_id)
+        self.log.put("heads", with_aliases(mine, self.aliases)
+                     .where("clear_table <> '' and batch_id <> ''").select(*HEAD.names),
+                     epoch_id, cursor)
+        self.log.commit(epoch_id, cursor)
 
-    def _at(self, upto: int) -> DataFrame:
+    def _at(self, upto: Upto) -> DataFrame:
         base, included = self.log.base(self.row_schema)
         rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
         clears = last_clears(run_starts(self.log.get("heads", HEAD, upto), KEYS))
@@ -121,10 +160,10 @@ class AppendSink:
         return self._at(self.log.finished())
 
     def compact(self) -> None:
-        """Fold all finished epochs into a new base. Headers stay: they are small, and keep
-        the order of batches exact for messages that arrive late."""
+        """Fold all finished epochs into a new base. Headers stay: they are small beside the
+        messages, and keep the order of batches exact for messages that arrive late."""
         upto = self.log.finished()
-        if upto > self.log.base(self.row_schema)[1]:
+        if upto != self.log.base(self.row_schema)[1]:
             self.log.put_base(self._at(upto), upto)
 
 
@@ -133,46 +172,64 @@ class KeyedSink:
 
     With ``range_key``, rows must lie in a range of their target: one of ``ranges`` or one
     that a message header asked for up to then. Others are kept apart, in ``uncovered``.
+    With ``partial``, as in :func:`tableferry.plans.sync.receive`, a record sets only the columns
+    that it carries; the log then holds a cell with its place for each column.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  keys: Sequence[str], range_key: str | None = None,
-                 ranges: DataFrame | None = None):
+                 ranges: DataFrame | None = None, partial: bool = False):
         self.log, self.schema, self.keys = EpochLog(spark, path), schema, ["target", *keys]
-        self.range_key, self.ranges = range_key, ranges
-        self.row_schema = _row_schema(schema)
-
-    def registry(self, upto: int) -> DataFrame:
+        self.range_key, self.ranges, self.partial = range_key, ranges, partial
+        self.row_schema = self.log_schema = _row_schema(schema)
+        if partial:
+            at = [self.row_schema[c] for c in ORDER]
+            self.log_schema = T.StructType([
+                *[self.row_schema[c] for c in self.keys],
+                *[T.StructField(f.name, T.StructType([*at, T.StructField("value", f.dataType)]))
+                  for f in schema.fields if f.name not in self.keys]])
+
+    def registry(self, upto: Upto) -> DataFrame:
         asked = self.log.get("ranges", RANGES, upto).distinct()
         return asked if self.ranges is None else add_ranges(self.ranges, asked)
 
-    def write(self, checked: DataFrame, epoch_id: int) -> None:
+    def _reduced(self, rows: DataFrame) -> DataFrame:
+        return (merged_cells(rows, self.keys, ORDER) if self.partial
+                else last_wins(rows, self.keys, ORDER))
+
+    def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
         mine = checked.where(F.col("route") == KEYED_TYPE)
-        rows = typed(good_rows(mine, self.schema.names, ["target", "msg_id"]), self.schema)
-        rows = rows.where("dirty_fields is null").select(*self.row_schema.names)
+        extra = [FIELDS] if self.partial else []
+        rows = typed(good_rows(mine, [*self.schema.names, *extra], ORIGIN), self.schema)
+        rows = rows.where("dirty_fields is null").select(*self.row_schema.names, *extra)
         if self.range_key:
-            self.log.put("ranges", requested_ranges(mine), epoch_id)
-            placed = assign_ranges(rows, self.range_key, self.registry(epoch_id), "target")
-            self.log.put("uncovered", placed.where("lower is null").drop("lower", "upper"),
-                         epoch_id)
+            self.log.put("ranges", requested_ranges(mine), epoch_id, cursor)
+            registry = self.registry({**self.log.finished(), cursor: epoch_id})
+            placed = assign_ranges(rows, self.range_key, registry, "target")
+            self.log.put("uncovered", placed.where("lower is null")
+                         .select(*self.row_schema.names), epoch_id, cursor)
             rows = placed.where("lower is not null").drop("lower", "upper")
-        self.log.put("rows", last_wins(rows, self.keys, ["msg_id", "row_pos"]), epoch_id)
-        self.log.commit(epoch_id)
+        if self.partial:
+            rest = [c for c in self.schema.names if c not in self.keys]
+            rows = cells(rows, self.keys, rest, ORDER, FIELDS)
+        self.log.put("rows", self._reduced(rows), epoch_id, cursor)
+        self.log.commit(epoch_id, cursor)
 
-    def _at(self, upto: int) -> DataFrame:
-        base, included = self.log.base(self.row_schema)
-        rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
-        return last_wins(rows, self.keys, ["msg_id", "row_pos"])
+    def _at(self, upto: Upto) -> DataFrame:
+        base, included = self.log.base(self.log_schema)
+        return self._reduced(base.unionByName(
+            self.log.get("rows", self.log_schema, upto, included)))
 
     def read(self) -> DataFrame:
-        return self._at(self.log.finished())
+        rows = self._at(self.log.finished())
+        return cell_values(rows, self.keys) if self.partial else rows
 
     def uncovered(self) -> DataFrame:
         return self.log.get("uncovered", self.row_schema, self.log.finished())
 
     def compact(self) -> None:
         upto = self.log.finished()
-        if upto > self.log.base(self.row_schema)[1]:
+        if upto != self.log.base(self.log_schema)[1]:
             self.log.put_base(self._at(upto), upto)
 
 
@@ -182,7 +239,7 @@ class AuditSink:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, wal: bool = True):
         self.log, self.schema, self.wal = EpochLog(spark, path), schema, wal
 
-    def write(self, checked: DataFrame, epoch_id: int) -> None:
+    def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
         bad = audit(BAD_MSG, checked.where("reason is not null"), F.col("reason"), F.col("data"))
         texts = good_rows(checked, self.schema.names, ["topic", "msg_id", "target_table"])
         shown = F.to_json(F.struct(*self.schema.names), {"ignoreNullFields": "false"})
@@ -194,8 +251,8 @@ class AuditSink:
         out = out.unionByName(audit(DIRTY, rows, F.concat(F.lit("type_mismatch:"),
                                                           F.col("dirty_fields")),
                                     F.col("_text")))
-        self.log.put("audit", out.select(*AUDIT.names), epoch_id, by=["channel"])
-        self.log.commit(epoch_id)
+        self.log.put("audit", out.select(*AUDIT.names), epoch_id, cursor, ["channel"])
+        self.log.commit(epoch_id, cursor)
 
     def read(self) -> DataFrame:
         return self.log.get("audit", AUDIT, self.log.finished())
@@ -207,9 +264,9 @@ class FileSink:
     def __init__(self, spark: SparkSession, path: str, part_bytes: int = PART_BYTES):
         self.log, self.part_bytes = EpochLog(spark, path), part_bytes
 
-    def write(self, chunks: DataFrame, epoch_id: int) -> None:
-        self.log.put("chunks", chunks.select(*CHUNK.names), epoch_id)
-        self.log.commit(epoch_id)
+    def write(self, chunks: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
+        self.log.put("chunks", chunks.select(*CHUNK.names), epoch_id, cursor)
+        self.log.commit(epoch_id, cursor)
 
     def _chunks(self) -> DataFrame:
         return self.log.get("chunks", CHUNK, self.log.finished())

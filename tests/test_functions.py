@@ -5,6 +5,7 @@ import decimal
 import json
 import uuid
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from tableferry.functions import codec, headers, literals
@@ -105,3 +106,40 @@ def test_range_bounds(spark):
     got = [tuple(r) for r in df.select(lower, upper).collect()]
     assert got == [(20210804, 20210805), (4, 10), (-2**63, 5), (7, 2**63 - 1), (4, 5),
                    (None, None), (None, None), (None, None)]
+
+
+NESTED = T.StructType([
+    T.StructField("at", T.TimestampType()), T.StructField("cost", T.DecimalType(10, 4)),
+    T.StructField("raw", T.BinaryType()),
+    T.StructField("days", T.MapType(T.DateType(), T.ArrayType(T.IntegerType()))),
+    T.StructField("inner", T.StructType([T.StructField("n", T.IntegerType()),
+                                         T.StructField("s", T.StringType())]))])
+
+
+def test_nested_values_round_trip_in_any_zone(spark):
+    row = ("2024-11-03 05:30:00.123456+00:00", "12.3400", b"\x00\xff")
+    df = spark.createDataFrame([(*row, 1), (*row, None)], "at string, cost string, raw binary,"
+                               " n int").select(F.col("n").alias("id"), F.struct(
+        F.col("at").cast("timestamp").alias("at"), F.col("cost").cast("decimal(10,4)").alias("cost"),
+        "raw", F.create_map(F.lit("2024-02-29").cast("date"), F.array(F.lit(1), F.col("n")))
+        .alias("days"), F.when(F.col("n").isNotNull(), F.struct("n", F.lit('q"x').alias("s")))
+        .alias("inner")).alias("f"))
+    sent = [r.enc for r in codec.encode_rows(df).select("enc").collect()]
+    want = [r.f for r in df.select(F.to_json("f").alias("f")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = codec.decode_rows(spark.createDataFrame([(f"[{','.join(sent)}]",)], "data string"),
+                                  ["f"])
+        read = texts.select("row_pos", codec.from_wire(F.col("f"), NESTED).alias("f")).cache()
+        assert read.where("f is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.f for r in read.orderBy("row_pos").select(F.to_json("f").alias("f")).collect()] == want
+
+
+@pytest.mark.parametrize("text", [
+    '{"inner": {"n": "x"}}', '{"inner": 5}', '{"days": {"2024-13-01": [1]}}',
+    '{"days": {"2024-01-01": ["a"]}}', '{"cost": "abc"}', '5', '{"at":', '[]'])
+def test_a_misfit_at_any_depth_does_not_fit(spark, text):
+    df = spark.createDataFrame([(text,)], "f string")
+    assert df.select(codec.from_wire(F.col("f"), NESTED).alias("f")).first().f is None

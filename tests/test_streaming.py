@@ -71,7 +71,7 @@ def test_stop_restart_and_one_file_per_trigger(spark, topic, whole):
         query = receiver.start(topics.stream_topic(spark, path, 1), K, targets, f"{out}/cursor",
                                KNOWN, once=True)
         query.awaitTermination()
-    assert targets[0].log.finished() == 2
+    assert set(targets[0].log.finished().values()) == {2}
     assert state(targets) == whole
 
 
@@ -94,7 +94,7 @@ def test_compaction_changes_nothing_readers_see(spark, topic, whole):
             targets[0].compact()
             targets[1].compact()
     assert state(targets) == whole
-    assert targets[0].log.base(targets[0].row_schema)[1] == 1
+    assert targets[0].log.base(targets[0].row_schema)[1] == {"by-hand": 1}
 
 
 def test_two_subscriptions_read_the_topic_separately(spark, topic):
@@ -171,7 +171,7 @@ def test_a_failed_micro_batch_is_done_again_after_restart(spark, topic, whole):
     targets = make(spark, out)
 
     class Broken:
-        def write(self, checked, epoch_id):
+        def write(self, checked, epoch_id, cursor):
             raise RuntimeError("target is away")
 
     with pytest.raises(Exception, match="target is away"):
@@ -180,3 +180,68 @@ def test_a_failed_micro_batch_is_done_again_after_restart(spark, topic, whole):
     receiver.start(topics.stream_topic(spark, path), K, targets, f"{out}/cursor", KNOWN,
                    once=True).awaitTermination()
     assert state(targets) == whole
+
+
+def message(k, v, msg_id, topic, kind="clickhouse"):
+    return (0, msg_id, topic, {"db_type": kind, "target_table": "t"}, '[{"k": %d, "v": "%s"}]' % (k, v))
+
+
+def topic_of(spark, rows):
+    return spark.createDataFrame(rows, "lane long, msg_id long, topic string,"
+                                       " properties map<string,string>, data string").withColumn(
+        "publish_time", F.timestamp_seconds("msg_id")).select(*TOPIC.names)
+
+
+def test_subscriptions_share_a_sink_and_a_new_cursor_overwrites_nothing(spark):
+    url, out = scratch(spark, "topics"), scratch(spark, "shared")
+    sink = sinks.AppendSink(spark, f"{out}/append", K)
+    for i, name in enumerate(["a", "b"]):
+        topics.publish(topic_of(spark, [message(10 * i + k, name, k, name) for k in range(5)]),
+                       f"{url}/{name}")
+    subs = topics.subscriptions(f"{url};{url}", "a;b", "s;s")
+    for query in receiver.start_all(spark, subs, K, [sink], f"{out}/cursors", once=True):
+        query.awaitTermination()
+    first = sorted((r.k, r.v) for r in sink.read().collect())
+    assert first == [(k, "a") for k in range(5)] + [(10 + k, "b") for k in range(5)]
+    sink.compact()
+    topics.publish(topic_of(spark, [message(k, "c", k, "c") for k in range(5)]), f"{url}/c")
+    receiver.start(topics.stream_topic(spark, f"{url}/c"), K, [sink], f"{out}/other",
+                   once=True).awaitTermination()
+    assert sorted((r.k, r.v) for r in sink.read().collect()) == sorted(
+        first + [(k, "c") for k in range(5)])
+    with pytest.raises(ValueError, match="twice"):
+        receiver.start_all(spark, [subs[0], subs[0]], K, [sink], f"{out}/cursors")
+
+
+def test_bad_messages_are_audited_without_being_asked(spark):
+    path, out = scratch(spark, "topic"), scratch(spark, "default")
+    good, bad = message(1, "x", 0, "a"), message(2, "y", 1, "a")
+    topics.publish(topic_of(spark, [good, (*bad[:4], "[{")]), path)
+    receiver.start(topics.stream_topic(spark, path), K, [sinks.AppendSink(spark, f"{out}/t", K)],
+                   f"{out}/cursor", once=True).awaitTermination()
+    found = sinks.AuditSink(spark, f"{out}/cursor-audit", K).read().collect()
+    assert [(r.channel, r.reason, r.msg_id) for r in found] == [("bad_msg", "undecodable", 1)]
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_partial_records_set_only_what_they_carry(spark, compact):
+    schema = T.StructType([T.StructField(n, T.IntegerType()) for n in ("k", "a", "b")])
+    sink = sinks.KeyedSink(spark, scratch(spark, "partial"), schema, ["k"], partial=True)
+    # by message: the epochs arrive out of order
+    texts = ['[{"k": 1, "a": 1, "b": 1}]', '[{"k": 1, "b": 2},{"k": 2, "a": 5}]',
+             '{"k": 1, "a": null}', '[{"k": 1, "a": 4},{"k": 1, "b": 9}]']
+    for epoch, at in enumerate([[0], [3], [1, 2]]):
+        rows = [(0, i, "a", {"db_type": "kudu", "target_table": "t"}, texts[i]) for i in at]
+        sink.write(sync.receive(topic_of(spark, rows), schema, ["t"], partial=True), epoch)
+        if compact:
+            sink.compact()
+    assert sorted((r.k, r.a, r.b) for r in sink.read().collect()) == [(1, 4, 9), (2, 5, None)]
+
+
+def test_clears_by_the_name_behind_a_target(spark):
+    sink = sinks.AppendSink(spark, scratch(spark, "alias"), K, aliases={"t_local": "t"})
+    for epoch, batch in enumerate(["x", "y"]):
+        row = (*message(epoch, batch, epoch, "a"),)
+        head = {**row[3], "clear_table": "t_local", "batch_id": batch}
+        sink.write(sync.receive(topic_of(spark, [(*row[:3], head, row[4])]), K), epoch)
+    assert [r.v for r in sink.read().collect()] == ["y"]
