@@ -69,11 +69,13 @@ def parsed(data: Column, names: Sequence[str]) -> Column:
     unreadable: the reader alone would pass them.
     """
     schema = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    rows = F.from_json(data, schema)
+    # bound to a name, so that it is evaluated once
+    rows = F.get(F.transform(F.array(F.from_json(data, schema)), lambda read: F.when(
+        ~F.exists(read, lambda r: r.isNull()), read)), F.lit(0))
     text = F.trim(data)
     closed = ((text.startswith("[") & text.endswith("]"))
               | (text.startswith("{") & text.endswith("}")))
-    return F.when(closed & ~F.exists(rows, lambda r: r.isNull()), rows)
+    return F.when(closed, rows)
 
 
 def decode_rows(messages: DataFrame, names: Sequence[str], data: str = "data",

@@ -60,19 +60,26 @@ def checksum_ok(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("ok", F.md5("data") == F.col("md5_checksum"))
 
 
+def _identified(chunks: DataFrame) -> DataFrame:
+    """Chunks with the ``transfer`` that they belong to, empty where the header has none. Parts of
+    a file that is sent again never mix with those of its older version."""
+    given = F.col("transfer") if "transfer" in chunks.columns else F.lit(None).cast("string")
+    return chunks.withColumn("transfer", F.coalesce(given, F.lit("")))
+
+
 def _part_headers(chunks: DataFrame, order: str) -> DataFrame:
     """Per part its last intact delivery (null if there is none) and what it says."""
-    seen = checksum_ok(chunks).select(
-        "sync_id", "file", "cur_part", "total_parts",
+    seen = checksum_ok(_identified(chunks)).select(
+        "sync_id", "transfer", "file", "cur_part", "total_parts",
         F.when(F.col("ok"), F.col(order)).alias("_good"))
-    return seen.groupBy("sync_id", "file", "cur_part").agg(
+    return seen.groupBy("sync_id", "transfer", "file", "cur_part").agg(
         F.max("_good").alias(order), F.max("total_parts").alias("total_parts"))
 
 
 def progress(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
-    """Intact parts seen and parts expected per file. The payload is read for its checksum,
-    but only headers are shuffled."""
-    return _part_headers(chunks, order).groupBy("sync_id", "file").agg(
+    """Intact parts seen and parts expected per transfer of a file. The payload is read for its
+    checksum, but only headers are shuffled."""
+    return _part_headers(chunks, order).groupBy("sync_id", "transfer", "file").agg(
         F.max("total_parts").alias("total_parts"),
         F.count(order).cast("int").alias("n_parts"))
 
@@ -84,28 +91,31 @@ def incomplete(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
 
 def missing_parts(chunks: DataFrame, base: int = 1, order: str = "msg_id") -> DataFrame:
     """The parts those files wait for, one row each."""
-    wanted = incomplete(chunks, order).select("sync_id", "file", F.explode(F.sequence(
+    wanted = incomplete(chunks, order).select("sync_id", "transfer", "file", F.explode(F.sequence(
         F.lit(base), F.col("total_parts") + (base - 1))).alias("cur_part"))
     have = _part_headers(chunks, order).where(F.col(order).isNotNull())
-    return wanted.join(have, ["sync_id", "cur_part"], "left_anti")
+    return wanted.join(have, ["sync_id", "transfer", "cur_part"], "left_anti")
 
 
 def complete_parts(chunks: DataFrame, order: str = "msg_id") -> DataFrame:
-    """Intact chunks of the files of which all parts are here; of repeated deliveries of a
-    part, the last.
+    """Intact chunks of the files of which all parts are here: of the transfers of a file, the
+    latest that is complete; of repeated deliveries of a part, the last.
 
     Which ones these are is settled on headers and stored. The chunks are then only filtered
     by that list, so copies and unfinished files are gone before any payload is shuffled,
     where the list is small enough for a broadcast.
     """
     heads = _part_headers(chunks, order).where(F.col(order).isNotNull())
-    files = heads.groupBy("sync_id").agg(
-        F.count(F.lit(1)).alias("_have"), F.max("total_parts").alias("_want"))
-    done = files.where("_have >= _want").select("sync_id")
-    wanted = stored(heads.join(done, "sync_id", "left_semi")
-                    .select("sync_id", "cur_part", order), "parts")
-    return checksum_ok(chunks).where("ok").drop("ok").join(
-        wanted, ["sync_id", "cur_part", order], "left_semi")
+    sent = heads.groupBy("sync_id", "transfer").agg(
+        F.count(F.lit(1)).alias("_have"), F.max("total_parts").alias("_want"),
+        F.max(order).alias("_last"))
+    done = sent.where("_have >= _want").groupBy("sync_id").agg(
+        F.max_by("transfer", "_last").alias("transfer"))
+    wanted = stored(heads.join(done, ["sync_id", "transfer"], "left_semi")
+                    .select("sync_id", "transfer", "cur_part", order), "parts")
+    kept = checksum_ok(_identified(chunks)).where("ok").drop("ok").join(
+        wanted, ["sync_id", "transfer", "cur_part", order], "left_semi")
+    return kept.select(*chunks.columns)
 
 
 def segments(parts: DataFrame, part_bytes: int = PART_BYTES,

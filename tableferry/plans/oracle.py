@@ -393,6 +393,22 @@ WHERE c_custkey NOT IN (SELECT o_custkey FROM latest)""",
 SELECT 'tmp.by_order' AS target, o_orderkey, o_custkey,
        CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE 'OLD' END AS o_orderstatus,
        o_totalprice, o_orderday FROM ({ORDERS}) o""",
+    "sync_upsert_partial": f"""
+WITH o AS ({ORDERS}),
+a AS (SELECT o_custkey, max(o_orderkey) AS k, arg_max(o_orderstatus, o_orderkey) AS s FROM o
+      WHERE o_orderkey % 2 = 0 GROUP BY 1),
+b AS (SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS p FROM o
+      WHERE o_orderkey % 2 = 1 GROUP BY 1),
+c AS (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS s FROM o
+      WHERE o_orderkey % 5 = 0 GROUP BY 1),
+old AS (SELECT c_custkey AS o_custkey, -1 AS k, '-' AS s, 0.0 AS p, '' AS d FROM customer),
+ids AS (SELECT o_custkey FROM a UNION SELECT o_custkey FROM b UNION SELECT o_custkey FROM c
+        UNION SELECT o_custkey FROM old)
+SELECT 'tmp.last_order' AS target, CAST(coalesce(a.k, old.k) AS BIGINT) AS o_orderkey, o_custkey,
+       coalesce(c.s, a.s, old.s) AS o_orderstatus,
+       CAST(coalesce(b.p, old.p) AS DOUBLE) AS o_totalprice, old.d AS o_orderday
+FROM ids LEFT JOIN a USING (o_custkey) LEFT JOIN b USING (o_custkey)
+         LEFT JOIN c USING (o_custkey) LEFT JOIN old USING (o_custkey)""",
     "sync_oversize": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     "clear_by_literal": """
 WITH e AS (SELECT event_id AS msg_id, event_type, user_id % 3 AS part,
@@ -403,6 +419,14 @@ SELECT 'one' AS keyed_by, msg_id, event_type, part FROM k WHERE batch = one
 UNION ALL SELECT 'two', msg_id, event_type, part FROM k WHERE batch = two""",
     "sync_files": f"SELECT n_bytes, md5(content) AS data_md5, CAST(bucket AS STRING) AS bucket"
                   f" FROM ({TEXT_BUCKETS}) b",
+    "sync_files_twice": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS content FROM documents),
+v AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 9 <> 0
+                          THEN unhex(substr(hex(content), 1, 2 * (octet_length(content) // 2)))
+                          ELSE content END AS content FROM d)
+SELECT concat('doc_', doc_id, '.txt') AS file,
+       CAST(greatest(ceil(octet_length(content) / 1024.0), 1) AS BIGINT) AS n_parts,
+       md5(content) AS data_md5 FROM v""",
     "sync_bounded": fold(BOUNDED_ROWS, 500, "before") + """
 SELECT f.lane, f.ord AS msg_id, f.grp AS insert_no, CAST(u.pos AS INTEGER) AS row_pos,
        TRY_CAST(json_extract_string(u.item, '$.k') AS INTEGER) AS k

@@ -10,6 +10,7 @@ from tableferry.functions import codec, headers, literals
 from tableferry.operators import (blocks, chunks as ch, clear, flush, mapper, pack, ranges,
                                   route, upsert)
 from tableferry.plans import fixtures as fx, sync
+from tableferry.schemas import CHUNK
 from tableferry.session import scratch, stored
 from tableferry.sources import files, tables, topics
 from tableferry.sources.tables import table
@@ -118,15 +119,30 @@ def topic_read(spark, sf_dir):
 
 @query
 def topic_fan_in(spark, sf_dir):
+    """Three topics, each by a cursor of its own, into one sink."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("msg_id"), F.col("o_orderstatus").alias("data"))
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("msg_id"), F.col("c_mktsegment").alias("data"))
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("msg_id"), F.col("event_type").alias("data"))
-    subs = topics.subscriptions("u1;u2;u3;", "orders;customers;events", "s;s;s")
-    frames = dict(zip([s.topic for s in subs], [orders, customers, events]))
-    return topics.fan_in(frames)
+    url, out = scratch(spark, "topics"), scratch(spark, "fan-in")
+    header = headers.append_header("tmp.all", batch_id="run-1")
+    for name, rows in (("orders", orders), ("customers", customers), ("events", events)):
+        topics.publish(rows.select(
+            F.lit(0).cast("long").alias("lane"), "msg_id", F.lit(name).alias("topic"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("publish_time"),
+            header.alias("properties"), F.to_json(F.array(F.struct("data"))).alias("data")),
+            f"{url}/{name}", own_ids=True)
+    names = ["orders", "customers", "events"]
+    subs = topics.subscriptions(f"{url};{url};{url};", ";".join(names), "s;s;s")
+    schema = T.StructType([T.StructField("data", T.StringType())])
+    sink = sinks.AppendSink(spark, f"{out}/rows", schema)
+    for running in receiver.start_all(spark, subs, schema, [sink], f"{out}/cursors", once=True):
+        running.awaitTermination()
+    listed = F.array(*[F.lit(n) for n in names])
+    return sink.read().select("msg_id", "data", "topic", (F.array_position(
+        listed, F.col("topic")) - 1).cast("int").alias("source_lane"))
 
 
 @query
@@ -733,6 +749,24 @@ def sync_files(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def sync_files_twice(spark, sf_dir):
+    """Every document as a file, then a shorter version of each third again on the same topic, of
+    which every ninth lacks its last part: the latest complete transfer of each file."""
+    path, docs = scratch(spark, "chunks"), _document_files(spark, sf_dir)
+    shorter = docs.where("doc_id % 3 = 0").withColumn("content", F.substring(
+        "content", F.lit(1), F.expr("octet_length(content) div 2")))
+    for transfer, rows in (("first", docs), ("second", shorter)):
+        parts = ch.cut(rows, "content", "file", PART)
+        if transfer == "second":
+            parts = parts.where("doc_id % 9 <> 0 or cur_part < total_parts")
+        sent = sync.send_files(parts, "tmp.texts", F.create_map(F.lit("day"), F.lit("1")),
+                               transfer=transfer)
+        topics.publish(sent, path, schema=CHUNK)
+    whole = ch.reassemble(spark.read.schema(CHUNK).parquet(path), PART)
+    return whole.select("file", "n_parts", F.md5("data").alias("data_md5"))
+
+
 @query
 def sync_bounded(spark, sf_dir):
     """A consumer that reads up to the end mark and inserts in groups of 500 rows."""
@@ -774,6 +808,30 @@ def sync_upsert_two_runs(spark, sf_dir):
     return sync.apply_keyed(checked, ORDER_SCHEMA, ["o_orderkey"], nothing)
 
 
+@query
+def sync_upsert_partial(spark, sf_dir):
+    """Records of three runs carry some columns each; the others keep what is stored."""
+    orders, path = _orders(spark, sf_dir), scratch(spark, "topic")
+    header = headers.keyed_header("impala::tmp.last_order", batch_id="run")
+    for columns, rows in ((["o_orderkey", "o_custkey", "o_orderstatus"], "o_orderkey % 2 = 0"),
+                          (["o_custkey", "o_totalprice"], "o_orderkey % 2 = 1"),
+                          (["o_custkey", "o_orderstatus"], "o_orderkey % 5 = 0")):
+        # orders of a customer share a lane, so that the last one is defined
+        numbered = orders.where(rows).select(
+            *columns, F.struct((F.col("o_custkey") % N_LANES).alias("lane"),
+                               F.col("o_orderkey").alias("ord")).alias("_at"))
+        topics.publish(sync.send(
+            numbered, F.col("_at")["lane"], F.col("_at")["ord"], header, "orders_topic",
+            F.lit("2024-01-01 00:00:00"), N_LANES), path)
+    placeholders = table(spark, sf_dir, "customer").select(
+        F.lit("tmp.last_order").alias("target"), F.lit(-1).cast("long").alias("o_orderkey"),
+        F.col("c_custkey").alias("o_custkey"), F.lit("-").alias("o_orderstatus"),
+        F.lit(0.0).alias("o_totalprice"), F.lit("").alias("o_orderday"))
+    checked = sync.receive(topics.read_topic(spark, path), ORDER_SCHEMA, ["tmp.last_order"],
+                           partial=True)
+    return sync.apply_keyed(checked, ORDER_SCHEMA, ["o_custkey"], placeholders, partial=True)
+
+
 @query
 def sync_oversize(spark, sf_dir):
     """Documents through messages of 4 KiB: what is too large for one is in the audit."""

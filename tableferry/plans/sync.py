@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -133,12 +134,15 @@ def apply_keyed(checked: DataFrame, schema: T.StructType, keys: Sequence[str],
 
 
 def send_files(parts: DataFrame, table: str, partition: Column,
-               is_overwrite: bool = True) -> DataFrame:
-    """File parts to chunk messages, numbered in the order they are written."""
+               is_overwrite: bool = True, transfer: str | None = None) -> DataFrame:
+    """File parts to chunk messages, numbered in the order they are written. All parts of a send
+    share its ``transfer`` id, by default a new one."""
+    name = uuid.uuid4().hex if transfer is None else transfer
     return parts.select(
         F.monotonically_increasing_id().alias("msg_id"), "sync_id", "file", "total_parts",
         "cur_part", "md5_checksum", F.lit(is_overwrite).alias("is_overwrite"),
-        F.lit(table).alias("table"), partition.alias("partition"), "data")
+        F.lit(table).alias("table"), partition.alias("partition"),
+        F.lit(name).alias("transfer"), "data")
 
 
 def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES) -> DataFrame:

@@ -30,6 +30,7 @@ CHUNK = T.StructType([
     T.StructField("is_overwrite", T.BooleanType()),
     T.StructField("table", T.StringType()),
     T.StructField("partition", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("transfer", T.StringType()),
     T.StructField("data", T.BinaryType()),
 ])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.operators.pack import END_SIGN
 from tableferry.schemas import TOPIC
@@ -23,15 +23,17 @@ def next_id(spark: SparkSession, path: str) -> int:
     return 0 if last is None else last + 1
 
 
-def publish(messages: DataFrame, path: str, own_ids: bool = False) -> None:
+def publish(messages: DataFrame, path: str, own_ids: bool = False,
+            schema: T.StructType = TOPIC) -> None:
     """Append messages to a topic, behind all that it holds: the ids of a send, which begin at 0,
     are moved above the topic's highest. One sender at a time publishes to a topic.
 
     ``own_ids`` keeps ids that a log has given already and that go on from its earlier ones.
+    ``schema`` is ``CHUNK`` for a topic of file chunks.
     """
     first = 0 if own_ids else next_id(messages.sparkSession, path)
     (messages.withColumn("msg_id", F.col("msg_id") + F.lit(first).cast("long"))
-     .select(*TOPIC.names).write.mode("append").parquet(path))
+     .select(*schema.names).write.mode("append").parquet(path))
 
 
 def read_topic(spark: SparkSession, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.functions.codec import FIELDS
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
-from tableferry.operators.chunks import PART_BYTES, incomplete
+from tableferry.operators.chunks import PART_BYTES, checksum_ok, incomplete
 from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
 from tableferry.operators.route import BAD_MSG, DIRTY, WAL, audit, good_rows, typed
@@ -259,13 +259,21 @@ class AuditSink:
 
 
 class FileSink:
-    """Chunk messages of files, kept until all parts of a file are here."""
+    """Chunk messages of files, kept until all parts of a file are here. Chunks whose content is
+    not what their header says are kept apart, in ``bad``."""
 
     def __init__(self, spark: SparkSession, path: str, part_bytes: int = PART_BYTES):
         self.log, self.part_bytes = EpochLog(spark, path), part_bytes
 
     def write(self, chunks: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
-        self.log.put("chunks", chunks.select(*CHUNK.names), epoch_id, cursor)
+        checked = checksum_ok(chunks.select(*CHUNK.names))
+        ok = F.coalesce(F.col("ok"), F.lit(False))
+        self.log.put("chunks", checked.where(ok).select(*CHUNK.names), epoch_id, cursor)
+        named = checked.where(~ok).select(
+            "msg_id", F.col("table").alias("target_table"), F.to_json(F.struct(
+                "sync_id", "transfer", "file", "cur_part", "total_parts")).alias("chunk"))
+        self.log.put("bad", audit(BAD_MSG, named, F.lit("checksum"), F.col("chunk")), epoch_id,
+                     cursor)
         self.log.commit(epoch_id, cursor)
 
     def _chunks(self) -> DataFrame:
@@ -275,6 +283,10 @@ class FileSink:
         """Finished files as segments."""
         return load_files(self._chunks(), self.part_bytes)
 
+    def bad(self) -> DataFrame:
+        """Audit entries of the chunks that arrived broken."""
+        return self.log.get("bad", AUDIT, self.log.finished())
+
     def pending(self) -> DataFrame:
         """Files that still wait for parts."""
         return incomplete(self._chunks())

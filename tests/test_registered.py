@@ -52,3 +52,11 @@ def test_scan_reads_only_the_columns_in_use(spark, sf_dir):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0 and "o_orderkey" in df.columns
+
+
+@pytest.mark.parametrize("name", ["wal_rows", "sync_append"])
+def test_payload_is_parsed_once(spark, sf_dir, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[name](spark, sf_dir).explain("formatted")
+    assert text.getvalue().count("from_json") <= 1, text.getvalue()

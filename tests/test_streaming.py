@@ -245,3 +245,23 @@ def test_clears_by_the_name_behind_a_target(spark):
         head = {**row[3], "clear_table": "t_local", "batch_id": batch}
         sink.write(sync.receive(topic_of(spark, [(*row[:3], head, row[4])]), K), epoch)
     assert [r.v for r in sink.read().collect()] == ["y"]
+
+
+def test_a_file_sent_again_does_not_mix_with_its_older_version(spark):
+    from tableferry.operators import chunks as ch
+    from tableferry.schemas import CHUNK
+
+    path, out = scratch(spark, "chunks"), scratch(spark, "again")
+    sink = sinks.FileSink(spark, out, 4)
+    for n, (content, lost) in enumerate([(b"OLDOOLDOOLDO", 0), (b"NEWNNEW", 0), (b"LATELATE", 2)]):
+        df = spark.createDataFrame([("f", content)], "file string, content binary")
+        sent = sync.send_files(ch.cut(df, "content", "file", 4), "t",
+                               F.create_map(F.lit("day"), F.lit("1")))
+        sent = sent.withColumn("md5_checksum", F.when(
+            F.col("cur_part") == lost, "-").otherwise(F.col("md5_checksum")))
+        topics.publish(sent, path, schema=CHUNK)
+        stream = spark.readStream.schema(CHUNK).parquet(path)
+        receiver.start_files(stream, sink, f"{out}/cursor", once=True).awaitTermination()
+        got = [bytes(r.data) for r in sink.read().collect()]
+        assert got == [[b"OLDOOLDOOLDO"], [b"NEWNNEW"], [b"NEWNNEW"]][n]
+    assert [(r.reason, r.target_table) for r in sink.bad().collect()] == [("checksum", "t")]
