@@ -5,8 +5,9 @@ often than in others. It is kept as a trie. The Levenshtein automata of its term
 with the trie: a state is the set of (trie node, errors so far) that a word can still be in, made
 when first met, so a word is matched in one walk over its letters. A hit is then judged by the
 window of words around it: inside quotation marks or after a word of reporting it counts as
-quoted, otherwise as abuse; hits close together weigh more. A logistic curve turns the sums into
-the probability of label 1.
+quoted, otherwise as abuse; hits close together weigh more. A logistic curve turns the sums, and
+how much of them was matched with an error, into the probability of label 1. Every term and stem
+of FUZZY_LETTERS or more letters may have one error, shorter ones none.
 
 Learned from at most SAMPLE_ROWS labelled rows, none held out. Defined results: null counts as
 empty; a text without hits gets the curve's score for no hits; with no usable labels the score is
@@ -28,10 +29,11 @@ from tableferry.llm.common import WordHasher, extended, labelled_sample, logisti
 
 SAMPLE_ROWS = 5_000
 MIN_SHARE = 0.004   # of the toxic sample that a term must newly explain
-FUZZY_SHARE = 0.05  # of the toxic sample that a term must occur in to be matched with an error
+FUZZY_LETTERS = 5   # that a term or stem must have to be matched with an error
 COVER = 2           # terms that a toxic text should be explained by
 STEMS = range(4, 8)
 WINDOW = 12
+FEATURES = 6
 PIECES = re.compile(r"[\s,;:/|()\[\]{}<>\"“”„«»‘’…]+|(?<=[^\W\d_]{4})[.!?&#%+=~-]+")
 QUOTES = "\"“”„«»‘’"
 # fixed values: look-alikes of letters, and words that report what others said
@@ -64,6 +66,7 @@ class Lexicon:
         self.weight: dict[int, float] = {}
         self.stem: dict[int, float] = {}
         self.allow: list[int] = [0]  # errors that some term below the node may have
+        self.forgiving: tuple[set[int], set[int]] = set(), set()  # of terms, of stems
         for table, into in ((terms, self.weight), (stems, self.stem)):
             for term in sorted(table):
                 errors = int(term in fuzzy)
@@ -77,6 +80,8 @@ class Lexicon:
                     node = self.next[node][c]
                     self.allow[node] = max(self.allow[node], errors)
                 into[node] = table[term]
+                if errors:
+                    self.forgiving[into is self.stem].add(node)
         self.states: list[frozenset] = []
         self.ids: dict[frozenset, int] = {}
         self.moves: list[dict[str, int]] = []
@@ -87,7 +92,9 @@ class Lexicon:
         pairs, todo = set(pairs), list(pairs)
         while todo:
             node, errors = todo.pop()
-            if node and errors < self.allow[node] and node not in self.stem:
+            if node >= 0 and self._is_stem(node, errors):
+                pairs.add((~node, errors))  # anything may follow a stem
+            if node > 0 and errors < self.allow[node]:
                 for below in self.next[node].values():
                     if errors + 1 <= self.allow[below] and (below, errors + 1) not in pairs:
                         pairs.add((below, errors + 1))
@@ -99,11 +106,15 @@ class Lexicon:
             self.moves.append({})
         return self.ids[key]
 
+    def _is_stem(self, node: int, errors: int) -> bool:
+        return node in self.stem and (not errors or node in self.forgiving[1])
+
     def _moved(self, state: int, c: str) -> int:
         out = set()
         for node, errors in self.states[state]:
-            if node in self.stem:
-                out.add((node, errors))  # anything may follow a stem
+            if node < 0:
+                out.add((node, errors))
+                continue
             below = self.next[node].get(c)
             if below is not None:
                 out.add((below, errors))
@@ -115,6 +126,10 @@ class Lexicon:
 
     def match(self, word: str) -> float:
         """The weight of the best term or stem that the word matches, 0 for none."""
+        return self.found(word)[0]
+
+    def found(self, word: str) -> tuple[float, bool]:
+        """The weight of the best term or stem that the word matches, and whether with an error."""
         state, moves = self.start, self.moves
         for c in word:
             to = moves[state].get(c)
@@ -122,20 +137,25 @@ class Lexicon:
                 if len(self.states) > 200_000:
                     self.states, self.ids, self.moves = [], {}, []
                     self.start = self._state({(0, 0)})
-                    return self.match(word)
+                    return self.found(word)
                 to = moves[state][c] = self._moved(state, c)
             if to < 0:
-                return 0.0
+                return 0.0, False
             state = to
-        best = 0.0
+        best = 0.0, False
         for node, errors in self.states[state]:
-            worth = max(self.weight.get(node, 0.0), self.stem.get(node, 0.0))
-            best = max(best, worth * (1.0 if not errors else 0.8))
+            if node < 0:
+                worth = self.stem[~node]
+            elif errors and node not in self.forgiving[0]:
+                continue
+            else:
+                worth = self.weight.get(node, 0.0)
+            best = max(best, (worth * (0.8 if errors else 1.0), bool(errors)))
         return best
 
 
 def learned_terms(sample: list[tuple[set[str], int]]) -> tuple[dict, dict, set[str]]:
-    """Terms, stems, and the terms to be matched with an error.
+    """Terms, stems, and those of both to be matched with an error: all of FUZZY_LETTERS or more.
 
     Candidates are words, and beginnings of several words, with a high log ratio for label 1.
     They are taken in the order of how many toxic texts they newly explain, so that words which
@@ -183,8 +203,7 @@ def learned_terms(sample: list[tuple[set[str], int]]) -> tuple[dict, dict, set[s
             left[i] -= 1
     terms = {w: ratio[kind, w] for kind, w in chosen if kind == "word"}
     stems = {s: ratio[kind, s] for kind, s in chosen if kind == "stem"}
-    fuzzy = {w for w in terms if len(w) >= 5 and len(holders["word", w]) >= FUZZY_SHARE * n[1]}
-    return terms, stems, fuzzy
+    return terms, stems, {w for w in terms | stems if len(w) >= FUZZY_LETTERS}
 
 
 class ToxicityModel:
@@ -194,7 +213,7 @@ class ToxicityModel:
         found = [({w for p in set(t.split()) for w in words_in(p)}, l) for t, l in sample]
         self.terms, self.stems, self.fuzzy = learned_terms(found)
         scorer = Scorer(self)
-        x = np.array([scorer.features(t) for t, _ in sample], float).reshape(-1, 4)
+        x = np.array([scorer.features(t) for t, _ in sample], float).reshape(-1, FEATURES)
         self.weights = logistic(x, np.array([l for _, l in sample], float), ridge=0.1)
 
 
@@ -202,36 +221,38 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.model = model
         self.lexicon = Lexicon(model.terms, model.stems, model.fuzzy)
-        self.known: dict[bytes, float] = {}
+        self.known: dict[bytes, tuple[float, bool]] = {}
         self.hasher = WordHasher(1 << 12)
 
-    def weight(self, piece: bytes) -> float:
+    def weight(self, piece: bytes) -> tuple[float, bool]:
+        """The weight of a piece, and whether it was matched with an error."""
         found = self.known.get(piece)
         if found is None:
             if len(self.known) > 400_000:
                 self.known.clear()
-            found = self.known[piece] = max(map(self.lexicon.match, words_in(piece.decode())),
-                                            default=0.0)
+            found = self.known[piece] = max(map(self.lexicon.found, words_in(piece.decode())),
+                                            default=(0.0, False))
         return found
 
-    def hits(self, text: str) -> list[tuple[int, float, bool]]:
-        """(piece number, weight, quoted) of each hit."""
+    def hits(self, text: str) -> list[tuple[int, float, bool, bool]]:
+        """(piece number, weight, with an error, quoted) of each hit."""
         pieces = text.encode().split()
         return self._judged(pieces, [self.weight(p) for p in pieces])
 
-    def _judged(self, pieces: list[bytes], weights: list[float]):
+    def _judged(self, pieces: list[bytes], weights: list[tuple[float, bool]]):
         out = []
         marks = [0]
         for p in pieces:
             marks.append(marks[-1] + sum(c in QUOTES for c in p.decode()))
-        for i, weight in enumerate(weights):
+        for i, (weight, misspelt) in enumerate(weights):
             if not weight:
                 continue
             own = pieces[i].decode()
             opened = marks[i] - marks[max(0, i - WINDOW)] + (own[0] in QUOTES)
             closed = marks[min(len(pieces), i + WINDOW)] - marks[i + 1] + (own[-1] in QUOTES)
             near = {plain(p.decode().lower()) for p in pieces[max(0, i - 3):i]}
-            out.append((i, weight, bool(opened % 2 and closed) or bool(near & REPORTING)))
+            out.append((i, weight, misspelt,
+                        bool(opened % 2 and closed) or bool(near & REPORTING)))
         return out
 
     def features(self, text: str) -> tuple[float, ...]:
@@ -239,27 +260,31 @@ class Scorer:
 
     @staticmethod
     def _summed(hits) -> tuple[float, ...]:
-        """Abuse, abuse at its densest window, quoted hits, and whether there is any abuse."""
-        abuse = dense = quoted = 0.0
+        """Abuse, abuse at its densest window, quoted hits, whether there is any abuse, and how
+        much of the abuse and whether all of it was matched with an error: where ordinary words
+        lie near a term, the curve learns to trust such hits less."""
+        abuse = dense = quoted = erring = 0.0
         recent: list[tuple[int, float]] = []
-        for i, weight, is_quoted in hits:
+        for i, weight, misspelt, is_quoted in hits:
             if is_quoted:
                 quoted += weight
                 continue
             abuse += weight
+            erring += weight * misspelt
             recent = [(j, w) for j, w in recent if j > i - WINDOW] + [(i, weight)]
             dense = max(dense, sum(w for _, w in recent))
-        return math.log1p(abuse), math.log1p(dense), math.log1p(quoted), float(abuse > 0)
+        return (math.log1p(abuse), math.log1p(dense), math.log1p(quoted), float(abuse > 0),
+                math.log1p(erring), float(abuse > 0 and erring == abuse))
 
     def scores(self, values: list[str]) -> np.ndarray:
         words = self.hasher.words([v.encode() for v in values])
         found, of, _ = words.distinct()
-        weights = np.array([self.weight(p) for p in found])[of] if found else np.zeros(0)
+        weights = np.array([self.weight(p)[0] for p in found])[of] if found else np.zeros(0)
         hit = np.concatenate([[0], np.cumsum(weights > 0)])[words.starts]
-        rows = [self.features(v) if b > a else (0.0,) * 4
+        rows = [self.features(v) if b > a else (0.0,) * FEATURES
                 for v, a, b in zip(values, hit[:-1], hit[1:])]
         w = self.model.weights
-        x = np.array(rows, float).reshape(-1, 4)
+        x = np.array(rows, float).reshape(-1, FEATURES)
         return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 

@@ -137,6 +137,30 @@ def test_toxicity_finds_misspelling_and_spares_quotation():
     assert toxicity.ToxicityModel([]).terms == {}
 
 
+def test_every_rare_term_forgives_an_error():
+    rng = random.Random(12)
+    plain = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    terms = ["".join(rng.choice("klmnoprstuvz") for _ in range(8)) for _ in range(40)]
+
+    def text(term=None):
+        body = rng.sample(plain, 20)
+        return " ".join(body[:10] + ([term] if term else []) + body[10:])
+
+    model = toxicity.ToxicityModel([(text(terms[i % 40]), 1) for i in range(400)]
+                                   + [(text(), 0) for _ in range(800)])
+    scorer = toxicity.Scorer(model)
+    misspelt = [t[:4] + "x" + t[5:] for t in terms]  # each term is in 2.5 percent of toxic texts
+    assert min(scorer.scores([text(t) for t in misspelt])) > 0.5
+    assert max(scorer.scores([text(t[:3] + "xxx" + t[6:]) for t in terms])) < 0.2
+
+
+def test_short_terms_and_stems_keep_their_own_budget():
+    lexicon = toxicity.Lexicon({"abcd": 2.0, "abcdefg": 1.0}, {"mnop": 3.0, "mnopqrs": 1.0},
+                               {"abcdefg", "mnopqrs"})
+    assert [lexicon.match(w) for w in ("abcd", "abxd", "abcdexg", "abxdexg")] == [2.0, 0, 0.8, 0]
+    assert [lexicon.match(w) for w in ("mnopz", "mnxpz", "mnxpqrsz")] == [3.0, 0, 0.8]
+
+
 def test_lexicon_walk_is_levenshtein():
     lexicon = toxicity.Lexicon({"abcde": 1.0, "abxde": 2.0}, {}, {"abcde", "abxde"})
 
