@@ -7,7 +7,9 @@ when first met, so a word is matched in one walk over its letters. A hit is then
 window of words around it: inside quotation marks or after a word of reporting it counts as
 quoted, otherwise as abuse; hits close together weigh more. A logistic curve turns the sums, and
 how much of them was matched with an error, into the probability of label 1. Every term and stem
-of FUZZY_LETTERS or more letters may have one error, shorter ones none.
+of FUZZY_LETTERS or more letters may have one error, shorter ones none: a letter too many,
+missing or wrong at any place, the first one too, or two neighbouring letters swapped where it has
+SWAP_LETTERS or more.
 
 Learned from at most SAMPLE_ROWS labelled rows, none held out. Defined results: null counts as
 empty; a text without hits gets the curve's score for no hits; with no usable labels the score is
@@ -30,6 +32,8 @@ from tableferry.llm.common import WordHasher, extended, labelled_sample, logisti
 SAMPLE_ROWS = 5_000
 MIN_SHARE = 0.004   # of the toxic sample that a term must newly explain
 FUZZY_LETTERS = 5   # that a term or stem must have to be matched with an error
+SWAP_LETTERS = 6    # that it must have for two swapped letters to count as one error
+EDIT, SWAP = 1, 2
 COVER = 2           # terms that a toxic text should be explained by
 STEMS = range(4, 8)
 WINDOW = 12
@@ -59,46 +63,50 @@ def words_in(piece: str) -> list[str]:
 
 
 class Lexicon:
-    """A trie of terms and stems, walked by lazily made Levenshtein states."""
+    """A trie of terms and stems, walked by lazily made Levenshtein states.
+
+    A state holds (node, error, letter owed): ``error`` is 0, EDIT for a letter too many, missing
+    or wrong, at any place, or SWAP for two neighbouring letters in the other order, of which the
+    second is owed until it is read. A negative node is ``~`` of a stem that has been read.
+    """
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float], fuzzy: set[str]):
         self.next: list[dict[str, int]] = [{}]
         self.weight: dict[int, float] = {}
         self.stem: dict[int, float] = {}
-        self.allow: list[int] = [0]  # errors that some term below the node may have
-        self.forgiving: tuple[set[int], set[int]] = set(), set()  # of terms, of stems
+        self.allow: list[int] = [0]  # errors that some term at or below the node may have
+        self.forgiving: tuple[dict[int, int], dict[int, int]] = {}, {}  # of terms, of stems
         for table, into in ((terms, self.weight), (stems, self.stem)):
             for term in sorted(table):
-                errors = int(term in fuzzy)
+                errors = 0
+                if term in fuzzy:
+                    errors = EDIT | SWAP if len(term) >= SWAP_LETTERS else EDIT
                 node = 0
-                self.allow[0] = max(self.allow[0], errors)
+                self.allow[0] |= errors
                 for c in term:
                     if c not in self.next[node]:
                         self.next[node][c] = len(self.next)
                         self.next.append({})
                         self.allow.append(0)
                     node = self.next[node][c]
-                    self.allow[node] = max(self.allow[node], errors)
+                    self.allow[node] |= errors
                 into[node] = table[term]
-                if errors:
-                    self.forgiving[into is self.stem].add(node)
+                self.forgiving[into is self.stem][node] = errors
         self.states: list[frozenset] = []
         self.ids: dict[frozenset, int] = {}
         self.moves: list[dict[str, int]] = []
-        self.start = self._state({(0, 0)})
-
-    def _state(self, pairs: set[tuple[int, int]]) -> int:
-        """The number of a state; letters of a term left out of the word are followed here."""
-        pairs, todo = set(pairs), list(pairs)
-        while todo:
-            node, errors = todo.pop()
-            if node >= 0 and self._is_stem(node, errors):
-                pairs.add((~node, errors))  # anything may follow a stem
-            if node > 0 and errors < self.allow[node]:
-                for below in self.next[node].values():
-                    if errors + 1 <= self.allow[below] and (below, errors + 1) not in pairs:
-                        pairs.add((below, errors + 1))
-                        todo.append((below, errors + 1))
+        self.start = self._state({(0, 0, "")})
+
+    def _state(self, pairs: set[tuple[int, int, str]]) -> int:
+        """The number of a state; a letter of a term left out of the word is followed here."""
+        pairs = set(pairs)
+        for node, error, owed in list(pairs):
+            if node >= 0 and not error:
+                pairs.update((below, EDIT, "") for below in self.next[node].values()
+                             if self.allow[below] & EDIT)
+        # anything may follow a stem
+        pairs.update([(~node, error, "") for node, error, owed in pairs
+                      if not owed and self._ends(node, error, 1)])
         key = frozenset(pairs)
         if key not in self.ids:
             self.ids[key] = len(self.states)
@@ -106,22 +114,34 @@ class Lexicon:
             self.moves.append({})
         return self.ids[key]
 
-    def _is_stem(self, node: int, errors: int) -> bool:
-        return node in self.stem and (not errors or node in self.forgiving[1])
+    def _ends(self, node: int, error: int, kind: int) -> bool:
+        """Whether a term (kind 0) or stem (1) ends at the node and may have the error."""
+        errors = self.forgiving[kind].get(node)
+        return errors is not None and errors & error == error
 
     def _moved(self, state: int, c: str) -> int:
         out = set()
-        for node, errors in self.states[state]:
+        for node, error, owed in self.states[state]:
             if node < 0:
-                out.add((node, errors))
+                out.add((node, error, ""))
+                continue
+            if owed:
+                if owed == c:
+                    out.add((node, error, ""))
                 continue
             below = self.next[node].get(c)
             if below is not None:
-                out.add((below, errors))
-            if node and errors < self.allow[node]:  # the first letter must be right
-                out.add((node, errors + 1))
-                out.update((b, errors + 1) for b in self.next[node].values()
-                           if errors + 1 <= self.allow[b])
+                out.add((below, error, ""))
+            if error:
+                continue
+            if self.allow[node] & EDIT:
+                out.add((node, EDIT, ""))
+            for first, b in self.next[node].items():
+                if self.allow[b] & EDIT:
+                    out.add((b, EDIT, ""))
+                second = self.next[b].get(c)
+                if second is not None and first != c and self.allow[second] & SWAP:
+                    out.add((second, SWAP, first))
         return self._state(out) if out else -1
 
     def match(self, word: str) -> float:
@@ -136,21 +156,21 @@ class Lexicon:
             if to is None:
                 if len(self.states) > 200_000:
                     self.states, self.ids, self.moves = [], {}, []
-                    self.start = self._state({(0, 0)})
+                    self.start = self._state({(0, 0, "")})
                     return self.found(word)
                 to = moves[state][c] = self._moved(state, c)
             if to < 0:
                 return 0.0, False
             state = to
         best = 0.0, False
-        for node, errors in self.states[state]:
+        for node, error, owed in self.states[state]:
             if node < 0:
                 worth = self.stem[~node]
-            elif errors and node not in self.forgiving[0]:
+            elif owed or not self._ends(node, error, 0):
                 continue
             else:
-                worth = self.weight.get(node, 0.0)
-            best = max(best, (worth * (0.8 if errors else 1.0), bool(errors)))
+                worth = self.weight[node]
+            best = max(best, (worth * (0.8 if error else 1.0), bool(error)))
         return best
 
 

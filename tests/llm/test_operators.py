@@ -182,6 +182,41 @@ def test_lexicon_walk_is_levenshtein():
         assert (lexicon.match(word) > 0) == (near <= 1)
 
 
+def test_lexicon_walk_equals_brute_force_at_any_first_letter():
+    rng = random.Random(9)
+    terms = {"grobnik": 3.0, "abcde": 2.0, "aabbcc": 2.5, "bcde": 1.0, "cabbage": 1.5, "eabcd": 1.2}
+    stems = {"acedb": 2.2, "dcba": 0.7, "bbadca": 1.7}
+    lexicon = toxicity.Lexicon(terms, stems, {t for t in terms | stems if len(t) >= 5})
+
+    def one_off(word, swaps):
+        letters = "abcdegiknorx"
+        out = {word[:i] + word[i + 1:] for i in range(len(word))}
+        out |= {word[:i] + c + word[i + k:] for i in range(len(word) + 1) for c in letters
+                for k in (0, 1)}
+        if swaps:
+            out |= {word[:i] + word[i + 1] + word[i] + word[i + 2:] for i in range(len(word) - 1)}
+        return out
+
+    near = {t: one_off(t, len(t) >= 6) if len(t) >= 5 else {t} for t in terms | stems}
+
+    def brute(word):
+        best = 0.0
+        for t, w in terms.items():
+            best = max(best, w if word == t else 0.8 * w if word in near[t] else 0.0)
+        for s, w in stems.items():
+            best = max(best, w if word.startswith(s) else
+                       0.8 * w if any(word[:k] in near[s] for k in range(len(word) + 1)) else 0.0)
+        return best
+
+    tried = {"".join(w) for n in range(6) for w in itertools.product("abcde", repeat=n)}
+    for t in sorted(terms | stems):
+        tried |= one_off(t, True) | set(rng.sample(
+            sorted(x for y in one_off(t, True) for x in one_off(y, True)), 2000))
+    assert {w: lexicon.match(w) for w in tried} == {w: brute(w) for w in tried}
+    for word in ("robnik", "xgrobnik", "probnik", "rgobnik", "grobnki"):
+        assert lexicon.match(word) == 0.8 * 3.0
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(5)
     lengths = [0, 1, 2, 5, 6, 3, 0]
