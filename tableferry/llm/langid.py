@@ -6,7 +6,7 @@ penalty for every switch, labels spans of one language. A text's language is the
 most letters in its spans.
 
 The model is learned from at most SAMPLE_ROWS rows whose language is known and which are not held
-out. Defined results: ``und`` with score 0 and no spans for texts that are null, empty or without
+out, and keeps every n-gram of their words. Defined results: ``und`` with score 0 and no spans for texts that are null, empty or without
 letters, and for every text if nothing was learned; equal letter counts go to the language whose
 name sorts first; words of an unknown script are scored by all languages alike, and join their
 neighbours; every word of a long text takes part.
@@ -25,7 +25,6 @@ from tableferry.llm.common import WordHasher, extended, held_out
 
 SAMPLE_ROWS = 2_000
 SWITCH = 6.0
-MAX_GRAMS = 60_000
 RANGE_BITS = 7  # code points are grouped by 128
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -78,9 +77,6 @@ class LanguageModel:
         counts = np.zeros((len(self.keys), n))
         for at, (known, count) in enumerate(found):
             counts[np.searchsorted(self.keys, known), at] = count
-        if len(self.keys) > MAX_GRAMS:
-            top = np.sort(np.argsort(-counts.sum(axis=1), kind="stable")[:MAX_GRAMS])
-            self.keys, counts = self.keys[top], counts[top]
         # the last row is for n-grams that were not seen
         counts = np.vstack([counts, np.zeros(n)]) + 0.5
         self.table = np.log(counts / counts.sum(axis=0)) if n else counts
