@@ -5,7 +5,9 @@ with each, piece by piece so that the dictionaries matter in long texts too; the
 two sizes, divided by the size without a dictionary and by the raw size, is calibrated by a
 logistic curve into the probability of label 1.
 
-Labels are learned from at most SAMPLE_ROWS rows, none held out. Defined results: null counts as
+Labels are learned from at most SAMPLE_ROWS rows, none held out. A dictionary is trained on at most
+DICT_PIECES pieces of a label: where texts have more, every row gives its share of them, spaced
+evenly over its text. Defined results: null counts as
 empty; the empty text has differences of 0 and gets the score of the curve there; with one label
 only, or none, the score is the rate of label 1 with add-half smoothing; every text is compressed
 to its end.
@@ -21,6 +23,7 @@ from tableferry.llm.common import extended, labelled_sample, logistic
 
 SAMPLE_ROWS = 6_000
 DICT_BYTES = 32 << 10
+DICT_PIECES = 40_000  # of one label that a dictionary is trained on
 PIECE = 2048
 LEVEL = 3
 
@@ -30,6 +33,25 @@ def pieces(text: str) -> list[bytes]:
     return [data[at:at + PIECE] for at in range(0, len(data), PIECE)]
 
 
+def training_pieces(sample: list[tuple[str, int]], label: int,
+                    limit: int = DICT_PIECES) -> list[bytes]:
+    """At most ``limit`` pieces of the texts with a label. Where there are more, the longest texts
+    give up pieces first, so that all rows take part, and each gives them from all its parts."""
+    cut = [pieces(t) for t, l in sample if l == label]
+    sizes = np.array([len(c) for c in cut], np.int64)
+    if sizes.sum() <= limit:
+        return [p for c in cut for p in c]
+    low, high = 0, int(sizes.max())  # the most that every row may give
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if np.minimum(sizes, middle).sum() <= limit else (low, middle)
+    take = np.minimum(sizes, low)
+    longer = np.flatnonzero(sizes > low)
+    rest = limit - int(take.sum())  # less than one for each longer row
+    take[longer[np.arange(rest) * len(longer) // max(1, rest)]] += 1
+    return [c[i * len(c) // n] for c, n in zip(cut, take.tolist()) for i in range(n)]
+
+
 class Sizes:
     """Compressed-size features of a text under the good and the bad dictionary."""
 
@@ -70,22 +92,21 @@ def dictionary(samples: list[bytes]) -> bytes:
 class QualityModel:
     """The two dictionaries and the calibration, as plain values that travel to tasks."""
 
-    def __init__(self, sample: list[tuple[str, int]]):
+    def __init__(self, sample: list[tuple[str, int]], dict_pieces: int = DICT_PIECES):
         # the curve is fitted on the fold that the dictionaries have not seen, for both halves
         by_label = sorted(sample, key=lambda x: x[1])
         halves = [by_label[0::2], by_label[1::2]]
         rows, y = [], []
         for train, test in (halves, halves[::-1]):
-            sizes = Sizes(*(dictionary([p for t, l in train if l == want for p in pieces(t)][:40_000])
+            sizes = Sizes(*(dictionary(training_pieces(train, want, dict_pieces))
                             for want in (1, 0)))
             rows += [sizes.features(t) for t, _ in test]
             y += [l for _, l in test]
         x = np.array(rows, float).reshape(-1, 3)
         self.spread = x.std(axis=0) + 1e-9 if len(x) else np.ones(3)
         self.weights = logistic(self._scaled(x), np.array(y, float))
-        self.good, self.bad = (
-            dictionary([p for t, l in sample if l == want for p in pieces(t)][:40_000])
-            for want in (1, 0))
+        self.good, self.bad = (dictionary(training_pieces(sample, want, dict_pieces))
+                               for want in (1, 0))
 
     def _scaled(self, x: np.ndarray) -> np.ndarray:
         return x / self.spread
@@ -97,8 +118,8 @@ class QualityModel:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality",
-           rows: int = SAMPLE_ROWS) -> QualityModel:
-    return QualityModel(labelled_sample(docs, labels, label, rows))
+           rows: int = SAMPLE_ROWS, dict_pieces: int = DICT_PIECES) -> QualityModel:
+    return QualityModel(labelled_sample(docs, labels, label, rows), dict_pieces)
 
 
 def scored(docs: DataFrame, model: QualityModel, column: str = "text",
