@@ -102,18 +102,34 @@ def fingerprints(docs: DataFrame, column: str = "text", k: int = K,
                     make, column)
 
 
+def bucket_of(starts: np.ndarray):
+    """A function of an id column: the number of the last of the sorted ``starts`` that is not
+    larger, null for null."""
+
+    @F.arrow_udf(T.LongType())
+    def bucket(ids: pa.Array) -> pa.Array:
+        at = np.searchsorted(starts, ids.fill_null(0).to_numpy(zero_copy_only=False), "right") - 1
+        return pa.array(at, pa.int64(), mask=np.asarray(ids.is_null()))
+
+    return bucket
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows ``(bucket, borrowed, doc_id, text)`` in which each document is followed by the next
     one of descending ``doc_id``: sorted within partitions, buckets whole.
 
-    A bucket is a span of ids that holds about ROWS_PER_BUCKET rows where ids are spread evenly.
-    The first document of the following bucket is borrowed as the last row of each; the last
+    A bucket is a span of ids cut from row counts, so that it holds at most about ROWS_PER_BUCKET
+    rows however ids are spread; rows of one id are never parted. The first document of the following bucket is borrowed as the last row of each; the last
     bucket borrows the first document of all. Repeated ids follow each other by text.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    span = 1 if low is None else max(1, -(-(high - low + 1) * ROWS_PER_BUCKET // n))
-    docs = docs.withColumn("bucket", blocks.block_of("doc_id", span))
+    ids = blocks.dense_order(docs.select("doc_id").where("doc_id is not null"), ["doc_id"])
+    cuts = (ids.groupBy(blocks.block_of("ord", ROWS_PER_BUCKET)).agg(F.min("doc_id").alias("low"),
+                                                                    F.max("doc_id").alias("high"))
+            .toPandas())
+    starts = np.unique(cuts["low"].to_numpy(np.int64))
+    high = int(cuts["high"].max()) if len(cuts) else None
+    docs = docs.withColumn("bucket", bucket_of(starts)("doc_id"))
     heads = docs.groupBy("bucket").agg(F.max("doc_id").alias("head"))
     heads = stored(heads.where(F.col("bucket").isNotNull()), "winnow-heads")
     lower = blocks.with_previous(heads, [], "bucket", ["head"], span=1000 * 1000)
