@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableferry.llm import (bpe, langid, mixing, neardup, quality, repeats, sharding, topk,
-                            toxicity, winnow)
+from tableferry.llm import (bpe, divergence, infill, langid, mixing, neardup, pii, quality,
+                            repeats, sharding, topk, toxicity, winnow)
 from tableferry.llm.common import held_out
 from tableferry.sources.tables import table
 
@@ -106,6 +106,33 @@ def op10_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_divergence(spark, sf_dir):
+    """Divergence of the sources of each language, and the terms that set each source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    """Every text in its new order, and rebuilt from that, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return infill.restored(infill.fill_in_middle(docs).drop("text")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query
+def op13_personal_data(spark, sf_dir):
+    """Spans of personal data in every text, the base kinds counted and digested."""
+    docs = pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(pii.BASE)))
+    return docs.select(
+        "doc_id", *[pii.count_of(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"))
+
+
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE["op2_mixing"] = rf"""
@@ -190,3 +217,61 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
        least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
        d.doc_id <= coalesce(low, d.doc_id) AS kept
 FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON id = d.doc_id"""
+
+ORACLE["op11_divergence"] = r"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz') AS text, row_number() OVER () AS row_no
+              FROM documents),
+words AS (SELECT lang, source, row_no,
+                 unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY 1, 2
+         HAVING count(DISTINCT row_no) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term)
+           GROUP BY ALL),
+vs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+grps AS (SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(c.n, 0) AS n
+         FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN vs USING (lang)
+         LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL) c
+           ON c.lang = g.lang AND c.source = g.source),
+ps AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS c,
+              1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // (g.n + g.v) AS p,
+              1 + CAST(1000000000 AS HUGEINT) * (k.n + 1) // (vs.n + vs.v) AS p_lang
+       FROM grps g JOIN kept k USING (lang) JOIN vs USING (lang)
+       LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item,
+                    sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+             FROM ps x JOIN ps y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - p_lang) * (p - p_lang) // p_lang FROM ps
+  WHERE c > 0 AND p > p_lang)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (
+         PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200"""
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+              FROM documents),
+drawn AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+                 CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                 CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+          FROM docs),
+cuts AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+                greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                          OR h3 % 100 >= 100 THEN 'plain'
+                     WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+pieces AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+                  array_to_string(u[b + 1:n], '') AS suffix FROM cuts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM pieces"""
