@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -71,16 +72,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHasher:
     """Words of many texts at once, by array operations on their bytes.
 
-    Words are what lies between the ASCII white space 0x20 and 0x09 to 0x0D. A word's hash is a
-    polynomial over its bytes mod 2^64, taken from running sums: a difference of two sums, times
-    a power, is the value of the bytes between, wherever the word stands.
+    Words are what lies between the ASCII white space 0x20 and 0x09 to 0x0D. The hash of a word of
+    up to ``LONG`` bytes is a polynomial over its bytes mod 2^64, taken from running sums: a
+    difference of two sums, times a power, is the value of the bytes between, wherever the word
+    stands. Such polynomials are equal for some longer words, whatever their base is, so those
+    are hashed one by one.
     """
 
     BASE = 0x9E3779B97F4A7C15
+    LONG = 64
 
     def __init__(self, size: int = 1 << 21):
         self._values = mixed(np.arange(1, 257, dtype=U64) * U64(self.BASE))
-        self._grow(size)
+        self._size, self._up, self._down = size, None, None
 
     def _grow(self, n: int) -> None:
         up, down = np.full(n, self.BASE, U64), np.full(n, pow(self.BASE, -1, 1 << 64), U64)
@@ -89,40 +93,54 @@ class WordHasher:
 
     def words(self, data: list[bytes]) -> Words:
         joined = b" ".join(data) + b" "
-        if len(joined) + 1 > len(self._up):
-            self._grow(2 * len(joined))
         raw = np.frombuffer(joined, np.uint8)
         space = (raw == 32) | ((raw >= 9) & (raw <= 13))
         edges = np.flatnonzero(np.diff(space, prepend=True))
         begin, end = edges[0::2], edges[1::2]
-        sums = np.zeros(len(raw) + 1, U64)
-        np.cumsum(self._values[raw] * self._down[:len(raw)], out=sums[1:])
-        hashes = mixed((sums[end] - sums[begin]) * self._up[begin] + (end - begin).astype(U64))
         offsets = np.zeros(len(data) + 1, np.int64)
         np.cumsum([len(d) + 1 for d in data], out=offsets[1:])
-        return Words(joined, begin, end, hashes, np.searchsorted(begin, offsets))
+        return Words(self, joined, space, begin, end, np.searchsorted(begin, offsets))
+
+    def hashes(self, words: Words) -> np.ndarray:
+        import xxhash
+        raw, begin, end = np.frombuffer(words.joined, np.uint8), words.begin, words.end
+        if self._up is None or len(raw) + 1 > len(self._up):
+            self._grow(max(self._size, 2 * len(raw)))
+        sums = np.zeros(len(raw) + 1, U64)
+        np.cumsum(self._values[raw] * self._down[:len(raw)], out=sums[1:])
+        out = mixed((sums[end] - sums[begin]) * self._up[begin] + (end - begin).astype(U64))
+        for i in np.flatnonzero(end - begin > self.LONG).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(words.joined[begin[i]:end[i]])
+        return out
 
 
 @dataclass
 class Words:
-    """Words of texts: the bytes, where each word begins and ends, its hash, and the number of
-    the first word of each text (one more at the end)."""
+    """Words of texts: the bytes, where each word begins and ends, and the number of the first
+    word of each text (one more at the end)."""
 
+    hasher: WordHasher
     joined: bytes
+    space: np.ndarray
     begin: np.ndarray
     end: np.ndarray
-    hashes: np.ndarray
     starts: np.ndarray
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        """The hash of each word."""
+        return self.hasher.hashes(self)
+
     def distinct(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The distinct words, the number of each word among them, and their counts."""
-        import pandas as pd
-        of, known = pd.factorize(self.hashes)
-        first = np.empty(len(known), np.int64)
-        first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
-        return ([self.joined[a:b] for a, b in zip(self.begin[first].tolist(),
-                                                  self.end[first].tolist())],
-                of, np.bincount(of, minlength=len(known)))
+        """The distinct words, the number of each word among them, and their counts. Words are
+        compared by their bytes."""
+        offsets = np.zeros(len(self.begin) + 1, np.int64)
+        np.cumsum(self.end - self.begin, out=offsets[1:])
+        data = np.frombuffer(self.joined, np.uint8)[~self.space]
+        words = pa.Array.from_buffers(pa.large_binary(), len(self.begin), [
+            None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        of = words.indices.to_numpy()
+        return words.dictionary.to_pylist(), of, np.bincount(of, minlength=len(words.dictionary))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
