@@ -21,8 +21,9 @@ anchor names it too, as short symbols alone recur in texts that have nothing els
    compared one by one;
 4. the words that windows found so cover are removed.
 
-Every window is judged on the input. Names are 64-bit, and what decides a removal is a 64-bit
-content hash within one 64-bit anchor, 128 bits together.
+Every window is judged on the input. What decides a removal is a 64-bit content hash within one
+64-bit anchor. The anchor is the name of a symbol and its neighbours, or for a window without
+one a second hash of its words, made apart from the first. Both rest on 64-bit word hashes.
 
 Defined results: null and empty texts, and texts with fewer words than a window, lose nothing; a
 window repeated within one document only is kept; rows that share a doc_id are one document to
@@ -43,6 +44,7 @@ WINDOW = 13
 ROUNDS = 2
 MOST_WINDOWS = 64
 FILTER_BITS = 26
+PART_BITS = 12
 NONE = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -63,6 +65,14 @@ def window_hashes(names: np.ndarray, window: int) -> np.ndarray:
     return mixed(own)
 
 
+def second_hashes(names: np.ndarray, window: int, at: np.ndarray) -> np.ndarray:
+    """Another hash of the windows at some places, by another polynomial of other values."""
+    out = np.zeros(len(at), U64)
+    for i in range(window):
+        out = out * U64(0xC2B2AE3D27D4EB4F) + mixed(names[at + i] ^ U64(0x165667B19E3779F9))
+    return mixed(out + U64(7))
+
+
 class Parse:
     """Symbols of concatenated texts after rounds of naming.
 
@@ -162,7 +172,9 @@ class Regions:
             np.minimum.at(best, at[ok], rank_[ok])
         own = window_hashes(places, window)
         best = best[:len(own)]
-        anchor = np.where(best == NONE, mixed(own + U64(7)), best)
+        alone = np.flatnonzero(best == NONE)
+        anchor = best
+        anchor[alone] = second_hashes(places, window, alone)
         at = np.flatnonzero(whole)
         anchor, text = anchor[at], p.text[at]
         if not len(at):
@@ -196,14 +208,25 @@ def checks(values: list[bytes]) -> np.ndarray:
 
 
 def bitmap(anchors: DataFrame) -> np.ndarray:
-    """A bit for each value of the low bits of the anchors: 8 MB whatever their number is, put
-    together from at most 2^20 words."""
+    """A bit for each value of the low bits of the anchors, 8 MB whatever their number is. Tasks
+    put together parts of 32 KB, so that the driver gets 256 rows at most."""
     low = F.col("anchor").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     words = anchors.groupBy(F.shiftright(low, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(anchor & 63 as int))")).alias("bits")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.view(U64)
+        F.bit_or(F.expr("shiftleft(1L, cast(anchor & 63 as int))")).alias("bits"))
+
+    def part(table: pa.Table) -> pa.Table:
+        word = table.column("word").to_numpy()
+        bits = np.zeros(1 << PART_BITS, np.int64)
+        bits[word & ((1 << PART_BITS) - 1)] = table.column("bits").to_numpy()
+        return pa.table({"part": pa.array([int(word[0]) >> PART_BITS], pa.int64()),
+                         "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    parts = words.groupBy(F.shiftright("word", PART_BITS)).applyInArrow(
+        part, "part long, bits binary")
+    out = np.zeros((1 << (FILTER_BITS - 6 - PART_BITS), 1 << PART_BITS), np.int64)
+    for r in parts.toLocalIterator():
+        out[r.part] = np.frombuffer(r.bits, np.int64)
+    return out.reshape(-1).view(U64)
 
 
 def regions(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
