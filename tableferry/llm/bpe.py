@@ -32,6 +32,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tableferry.llm.common import WordHasher, extended, sliced, texts
+from tableferry.session import stored
 
 LEXICON_WORDS = 131_072
 SHIFT = 20
@@ -240,7 +241,8 @@ class Transducer:
 
 def frequent_words(docs: DataFrame, merges: Merges, n: int = LEXICON_WORDS,
                    column: str = "text") -> list[str]:
-    """The ``n`` most frequent words over all texts; counts are added up in tasks first."""
+    """At most ``n`` of the most frequent words over all texts; counts are added up in tasks
+    first. Which words these are changes the cost of encoding only."""
 
     def task(batches):
         hasher, counts = WordHasher(), Counter()
@@ -264,14 +266,27 @@ def frequent_words(docs: DataFrame, merges: Merges, n: int = LEXICON_WORDS,
 
     counted = docs.select(column).mapInArrow(task, "word string, n long")
     # pieces between white space; one so long that it is no entry is merged where it occurs
-    top = (counted.where(F.length("word") <= 64).groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(n))
+    added = stored(counted.where(F.length("word") <= 64).groupBy("word").agg(
+        F.sum("n").alias("n")), "bpe-words")
+    # the least count in steps of a tenth that leaves no more than n words, from a table of some
+    # hundred steps, so that tasks send the chosen words only
+    step = F.floor(F.log("n") * 10)
+    steps = {r.step: r.words for r in added.groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("words")).collect()}
+    room, least = n, None
+    for at in sorted(steps, reverse=True):
+        room -= steps[at]
+        if room < 0:
+            break
+        least = at
+    if least is None:
+        return []
     words, totals = words_of(merges.pattern, merges.special), Counter()
-    for r in top.collect():
+    for r in added.where(step >= least).toLocalIterator():
         for word in words(r.word):
             if isinstance(word, str):
                 totals[word] += r.n
-    return [w for w, _ in totals.most_common(n)]
+    return sorted(totals, key=lambda w: (-totals[w], w))[:n]
 
 
 def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "ids",
