@@ -38,6 +38,7 @@ COVER = 2           # terms that a toxic text should be explained by
 STEMS = range(4, 8)
 WINDOW = 12
 FEATURES = 6
+STATES, PIECES_KNOWN = 50_000, 100_000  # that a task keeps before it starts anew
 PIECES = re.compile(r"[\s,;:/|()\[\]{}<>\"“”„«»‘’…]+|(?<=[^\W\d_]{4})[.!?&#%+=~-]+")
 QUOTES = "\"“”„«»‘’"
 # fixed values: look-alikes of letters, and words that report what others said
@@ -154,7 +155,7 @@ class Lexicon:
         for c in word:
             to = moves[state].get(c)
             if to is None:
-                if len(self.states) > 200_000:
+                if len(self.states) > STATES:
                     self.states, self.ids, self.moves = [], {}, []
                     self.start = self._state({(0, 0, "")})
                     return self.found(word)
@@ -248,7 +249,7 @@ class Scorer:
         """The weight of a piece, and whether it was matched with an error."""
         found = self.known.get(piece)
         if found is None:
-            if len(self.known) > 400_000:
+            if len(self.known) > PIECES_KNOWN:
                 self.known.clear()
             found = self.known[piece] = max(map(self.lexicon.found, words_in(piece.decode())),
                                             default=(0.0, False))
