@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -62,20 +63,66 @@ def json_array(rows: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]"))
 
 
+def _listed(data: Column) -> tuple[Column, Column]:
+    """A payload as an array, and whether it was a single object."""
+    single = F.ltrim(data, F.lit(" \t\r\n")).startswith("{")
+    return F.when(single, F.concat(F.lit("["), data, F.lit("]"))).otherwise(data), single
+
+
+def _mark(data: Column) -> Column:
+    """What is put behind a payload before it is read. Only a reader that gets to the end of the
+    text finds it, and a text that holds the hash of itself cannot be written."""
+    return F.xxhash64(data).cast("string")
+
+
 def parsed(data: Column, names: Sequence[str]) -> Column:
     """Payload to a list of all-string structs; null when the text cannot be read.
 
     The payload is one array of objects, or one object. Text behind it and null elements make it
     unreadable: the reader alone would pass them.
     """
-    schema = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    names = list(names)
+    row = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    listed, single = _listed(data)
+    text = F.concat(F.lit("["), listed, F.lit(f",[{{{json.dumps(names[0])}:\""), _mark(data),
+                    F.lit('"}]]'))
+
+    def whole(read: Column) -> Column:
+        rows, mark = F.get(read, F.lit(0)), F.get(F.get(read, F.lit(1)), F.lit(0))[names[0]]
+        return F.when((F.size(read) == 2) & (mark == _mark(data))
+                      & (~single | (F.size(rows) == 1)) & ~F.exists(rows, lambda r: r.isNull()),
+                      rows)
+
     # bound to a name, so that it is evaluated once
-    rows = F.get(F.transform(F.array(F.from_json(data, schema)), lambda read: F.when(
-        ~F.exists(read, lambda r: r.isNull()), read)), F.lit(0))
-    text = F.trim(data)
-    closed = ((text.startswith("[") & text.endswith("]"))
-              | (text.startswith("{") & text.endswith("}")))
-    return F.when(closed, rows)
+    return F.get(F.transform(F.array(F.from_json(text, T.ArrayType(T.ArrayType(row)))), whole),
+                 F.lit(0))
+
+
+def with_records(messages: DataFrame, data: str = "data", out: str = "rows") -> DataFrame:
+    """Messages with their payload as ``array<map<string,variant>>``, null when it cannot be
+    read, by the rules of :func:`parsed`. No schema is needed: one pass over the text serves
+    records of any table. A record that names a column twice is unreadable."""
+    listed, single = _listed(F.col(data))
+    text = F.concat(F.lit("["), listed, F.lit(',"'), _mark(F.col(data)), F.lit('"]'))
+    read = messages.withColumn("_payload", F.try_parse_json(text))
+    whole = (F.try_variant_get("_payload", "$[1]", "string").eqNullSafe(_mark(F.col(data)))
+             & F.try_variant_get("_payload", "$[2]", "variant").isNull())
+    found = read.withColumn("_records", F.when(whole, F.try_variant_get(
+        "_payload", "$[0]", "array<map<string,variant>>"))).drop("_payload")
+    sound = (~single | (F.size("_records") == 1)) & ~F.exists("_records", lambda r: r.isNull())
+    return found.withColumn(out, F.when(sound, F.col("_records"))).drop("_records")
+
+
+def named_fields(records: Column, names: Sequence[str], partial: bool = False) -> Column:
+    """Records of :func:`with_records` as all-string structs of one table's columns, as
+    :func:`parsed` gives them. With ``partial`` each says which columns it carries."""
+    def struct(record: Column) -> Column:
+        fields = [F.try_variant_get(record[n], "$", "string").alias(n) for n in names]
+        if partial:
+            fields.append(F.map_keys(record).alias(FIELDS))
+        return F.struct(*fields)
+
+    return F.transform(records, struct)
 
 
 def decode_rows(messages: DataFrame, names: Sequence[str], data: str = "data",

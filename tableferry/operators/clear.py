@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tableferry.functions.literals import partition_values
-from tableferry.operators.blocks import SPAN, numbered, with_previous
+from tableferry.operators.blocks import SPAN, block_of, numbered, with_previous
 from tableferry.session import stored
 
 KEYS = ("clear_table", "partition")
@@ -43,6 +43,57 @@ def last_clears(starts: DataFrame, keys: Sequence[str] = KEYS,
     return starts.groupBy(*keys).agg(F.max(order).alias("cleared_at"))
 
 
+def as_runs(messages: DataFrame, keys: Sequence[str] = KEYS, order: str = "msg_id",
+            batch: str = "batch_id") -> DataFrame:
+    """Messages that clear as intervals of one id: ``(*keys, batch, first, last)``."""
+    return messages.where((F.col(keys[0]) != "") & (F.col(batch) != "")).select(
+        *keys, batch, F.col(order).alias("first"), F.col(order).alias("last"))
+
+
+def _last_batches(runs: DataFrame, keys: Sequence[str], batch: str) -> DataFrame:
+    """Per key the batch of its last message, and the last message of any other batch."""
+    tops = runs.groupBy(*keys, batch).agg(F.max("last").alias("last"))
+    tops = stored(tops, "batch-ends")
+    newest = tops.groupBy(*keys).agg(F.max_by(batch, "last").alias("_batch"))
+    other = F.when(F.col(batch) != F.col("_batch"), F.col("last"))
+    return stored(tops.join(newest, list(keys)).groupBy(*keys, "_batch").agg(
+        F.max(other).alias("_other")), "last-batches")
+
+
+def last_clears_of_runs(runs: DataFrame, keys: Sequence[str] = KEYS,
+                        batch: str = "batch_id") -> DataFrame:
+    """What :func:`last_clears` gives for the run starts of all messages: the first message
+    behind the last one that is of another batch than the newest."""
+    ends = _last_batches(runs, keys, batch)
+    behind = F.coalesce(F.col("_other") + 1, F.lit(-2**63))
+    newest = runs.join(ends, list(keys)).where(
+        (F.col(batch) == F.col("_batch")) & (F.col("last") >= behind))
+    return newest.groupBy(*keys).agg(F.min(F.greatest("first", behind)).alias("cleared_at"))
+
+
+def open_runs(runs: DataFrame, keys: Sequence[str] = KEYS, batch: str = "batch_id",
+              span: int = SPAN) -> DataFrame:
+    """The intervals that later messages, also late ones, can still matter to: a fold, as
+    ``open(a + b) = open(open(a) + open(b))``.
+
+    Nothing in front of the last message of another batch can ever count again: that message only
+    moves forward. Of what is behind it, neighbouring ids are one interval, as no message can come
+    to lie between them; intervals end at multiples of ``span``, so that no task gets a whole key.
+    """
+    ends = _last_batches(runs, keys, batch)
+    from_here = F.coalesce("_other", F.lit(-2**63))
+    kept = runs.join(ends, list(keys)).where(F.col("last") >= from_here).select(
+        *keys, batch, F.when(F.col(batch) == F.col("_batch"), F.col("first")).otherwise(
+            F.col("last")).alias("first"), "last").distinct()
+    inside = Window.partitionBy(*keys, batch, block_of("first", span)).orderBy("first", "last")
+    before = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("first") <= before + 1, 0).otherwise(1)
+    return (kept.withColumn("_begins", begins).withColumn("_no", F.sum("_begins").over(inside))
+            .groupBy(*keys, batch, block_of("first", span).alias("_block"), "_no")
+            .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+            .select(*keys, batch, "first", "last"))
+
+
 def surviving(rows: DataFrame, last: DataFrame, table: str,
               partition: str | Sequence[str] | None = None,
               order: str = "msg_id", keys: Sequence[str] = KEYS) -> DataFrame:

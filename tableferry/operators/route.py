@@ -6,11 +6,12 @@ split good from bad.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableferry.functions.codec import from_wire, parsed, with_fields
+from tableferry.functions.codec import (from_wire, named_fields, parsed, with_fields,
+                                        with_records)
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
 from tableferry.functions.literals import normalise_target
 
@@ -43,6 +44,29 @@ def triaged(messages: DataFrame, fields: Sequence[str],
     and uneven, so messages are not to be shuffled by them. With ``partial``, each record says
     which columns it carries.
     """
+    def decoded(checked: DataFrame) -> DataFrame:
+        return checked.withColumn("rows", parsed(F.col("data"), fields))
+
+    out = _judged(messages, known, sinks, (KEYED_TYPE,), decoded)
+    return out.withColumn("rows", with_fields(F.col("rows"), F.col("data"))) if partial else out
+
+
+def triaged_records(messages: DataFrame, known: DataFrame | Sequence[str],
+                    sinks: Sequence[str] = SINKS) -> DataFrame:
+    """As :func:`triaged` for a topic of many tables: ``rows`` holds the records whatever their
+    columns are, and a target that is not ``known`` is an unknown one on every route."""
+    return _judged(messages, known, sinks, tuple(sinks), with_records)
+
+
+def for_target(checked: DataFrame, target: str, fields: Sequence[str],
+               partial: bool = False) -> DataFrame:
+    """The messages of :func:`triaged_records` for one target, with records in its columns."""
+    return checked.where(F.col("target") == target).withColumn(
+        "rows", named_fields(F.col("rows"), fields, partial))
+
+
+def _judged(messages: DataFrame, known: DataFrame | Sequence[str] | None, sinks: Sequence[str],
+            listed: Sequence[str], decoded: Callable[[DataFrame], DataFrame]) -> DataFrame:
     checked = messages.select(
         "*", route_of(F.col("db_type")).alias("route"),
         F.nullif(normalise_target(F.col("target_table")), F.lit("")).alias("target"))
@@ -53,16 +77,14 @@ def triaged(messages: DataFrame, fields: Sequence[str],
     else:
         marks = known.select("target").distinct().withColumn("_known", F.lit(True))
         checked = checked.join(marks, "target", "left").select(*checked.columns, "_known")
-    rows = parsed(F.col("data"), fields)
     reason = (
         F.when(F.col("route") == "default", "no_db_type")
         .when(~F.col("route").isin(list(sinks)), "unroutable")
         .when(F.col("target").isNull(), "missing_target")
-        .when((F.col("route") == KEYED_TYPE) & F.col("_known").isNull(), "unknown_target")
+        .when(F.col("route").isin(list(listed)) & F.col("_known").isNull(), "unknown_target")
         .when(F.col("rows").isNull(), "undecodable")
     )
-    out = checked.withColumn("rows", rows).withColumn("reason", reason).drop("_known")
-    return out.withColumn("rows", with_fields(F.col("rows"), F.col("data"))) if partial else out
+    return decoded(checked).withColumn("reason", reason).drop("_known")
 
 
 def bad_messages(triaged_messages: DataFrame) -> DataFrame:

@@ -432,6 +432,24 @@ SELECT f.lane, f.ord AS msg_id, f.grp AS insert_no, CAST(u.pos AS INTEGER) AS ro
        TRY_CAST(json_extract_string(u.item, '$.k') AS INTEGER) AS k
 FROM f JOIN (SELECT lane, ord, item, unnest(range(w)) AS pos FROM numbered) u USING (lane, ord)
 WHERE TRY_CAST(json_extract_string(u.item, '$.k') AS INTEGER) IS NOT NULL""",
+    "sync_many_tables": f"""
+SELECT 'tmp.orders' AS target, o_orderkey AS id, concat_ws('|', o_orderkey, o_custkey,
+       coalesce(o_orderstatus, '-'), o_orderday, CAST(round(o_totalprice * 100) AS BIGINT)) AS content
+FROM ({ORDERS}) o
+UNION ALL SELECT 'tmp.customers', c_custkey, concat_ws('|', c_custkey, c_name,
+       CAST(round(c_acctbal * 100) AS BIGINT)) FROM customer
+UNION ALL SELECT 'tmp.events', event_id, concat_ws('|', event_id, event_type, CAST(ts AS DATE),
+       CAST(round(value * 100) AS BIGINT)) FROM events
+UNION ALL SELECT 'audit', 0, 'unknown_target'""",
+    "stream_compact_clears": f"""
+WITH m AS (SELECT msg_id, clear_table, part,
+                  CASE WHEN msg_id % 1000 < 300 THEN 'again' ELSE batch_id END AS batch_id
+           FROM ({fx.CLEAR}) c),
+starts AS (SELECT *, lag(batch_id) OVER (PARTITION BY clear_table ORDER BY msg_id) AS before FROM m),
+last AS (SELECT clear_table, max(msg_id) AS cleared_at FROM starts
+         WHERE before IS DISTINCT FROM batch_id GROUP BY 1)
+SELECT clear_table AS target, msg_id, part FROM m JOIN last USING (clear_table)
+WHERE msg_id >= cleared_at""",
 }
 
 # the same results over many blocks

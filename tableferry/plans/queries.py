@@ -881,3 +881,77 @@ def pack_messages_blocks(spark, sf_dir):
 def clear_events_blocks(spark, sf_dir):
     """Clears over many blocks of message ids."""
     return _clear_events(spark, sf_dir, span=300)
+
+
+def _many_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Three tables of different columns."""
+    customers = table(spark, sf_dir, "customer")
+    return {"tmp.orders": _orders(spark, sf_dir),
+            "tmp.customers": customers.select("c_custkey", "c_name", "c_acctbal"),
+            "tmp.events": table(spark, sf_dir, "events").select(
+                "event_id", "event_type", F.to_date("ts").alias("day"), "value")}
+
+
+@query
+def sync_many_tables(spark, sf_dir):
+    """Orders, customers and events on one topic, and a table that nobody takes: one receiver
+    loads each into its own target. Customers are keyed, and come twice."""
+    rows = _many_tables(spark, sf_dir)
+    path, out = scratch(spark, "topic"), scratch(spark, "many")
+    keys = {"tmp.orders": "o_orderkey", "tmp.customers": "c_custkey", "tmp.events": "event_id",
+            "tmp.stray": "c_custkey"}
+    older = rows["tmp.customers"].withColumn("c_name", F.lit("OLD"))
+    for target, df in (("tmp.customers", older), *rows.items(), ("tmp.stray", older)):
+        header = (headers.keyed_header(f"impala::{target}", batch_id="run-1")
+                  if keys[target] == "c_custkey" else
+                  headers.append_header(target, batch_id="run-1", clear_table=target))
+        topics.publish(sync.send(df, F.col(keys[target]) % N_LANES, F.col(keys[target]), header,
+                                 "all", F.lit("2024-01-01 00:00:00"), N_LANES), path)
+    targets = {
+        name: (sinks.KeyedSink(spark, f"{out}/{name}", df.schema, [keys[name]])
+               if name == "tmp.customers" else sinks.AppendSink(spark, f"{out}/{name}", df.schema))
+        for name, df in rows.items()}
+    sink = sinks.CatalogSink(spark, f"{out}/audit", targets)
+    receiver.start_many(topics.stream_topic(spark, path), sink, f"{out}/cursor",
+                        once=True).awaitTermination()
+    shown = [sink.audited().groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("audit").alias("target"), F.lit(0).cast("long").alias("id"),
+        F.col("reason").alias("content")).distinct()]
+    for name, target in targets.items():
+        fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("-")) for f in target.schema
+                  if not isinstance(f.dataType, T.DoubleType)]
+        numbers = [F.round(F.col(f.name) * 100).cast("long").cast("string") for f in target.schema
+                   if isinstance(f.dataType, T.DoubleType)]
+        shown.append(target.read().select("target", F.col(keys[name]).alias("id"),
+                                          F.concat_ws("|", *fields, *numbers).alias("content")))
+    result = shown[0]
+    for df in shown[1:]:
+        result = result.unionByName(df)
+    return result
+
+
+@query
+def stream_compact_clears(spark, sf_dir):
+    """Batches that clear their table, received in three parts that are mixed in the order of
+    ids, with all epochs folded and deleted after each part."""
+    path, out = scratch(spark, "topic"), scratch(spark, "compacted")
+    msgs = fx.clears(spark, sf_dir)
+    # batches come back: a run of each third batch id interrupts its neighbours
+    batch = F.when(F.col("msg_id") % 1000 < 300, "again").otherwise(F.col("batch_id"))
+    header = headers.header_map({
+        "db_type": headers.APPEND_TYPE, "target_table": F.col("clear_table"),
+        "clear_table": F.col("clear_table"), "partition": "", "batch_id": batch})
+    topic = stored(msgs.select(
+        F.lit(0).cast("long").alias("lane"), "msg_id", F.lit("clears").alias("topic"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("publish_time"),
+        header.alias("properties"),
+        F.concat(F.lit('[{"part":"'), "part", F.lit('"}]')).alias("data")), "messages")
+    schema = T.StructType([T.StructField("part", T.StringType())])
+    sink = sinks.AppendSink(spark, f"{out}/rows", schema)
+    for part in range(3):
+        topics.publish(topic.where((F.col("msg_id") + F.lit(part)) % 3 == 0), path, own_ids=True)
+        receiver.start(topics.stream_topic(spark, path), schema, [sink], f"{out}/cursor",
+                       once=True).awaitTermination()
+        sink.compact()
+        sink.vacuum()
+    return sink.read().select("target", "msg_id", "part")

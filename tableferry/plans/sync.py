@@ -15,8 +15,8 @@ from tableferry.operators.fold import sequential_groups
 from tableferry.operators.pack import MESSAGE_BYTES, oversize, pack_messages, to_topic
 from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ranges,
                                          unread_ranges)
-from tableferry.operators.route import (BAD_MSG, DIRTY, audit, good_rows, triaged, typed,
-                                        with_header)
+from tableferry.operators.route import (BAD_MSG, DIRTY, audit, good_rows, triaged,
+                                        triaged_records, typed, with_header)
 from tableferry.operators.upsert import cell_values, cells, merged_cells, upsert
 
 HEADERS = ("db_type", "target_table", "clear_table", "partition", "batch_id", "range_partition")
@@ -79,6 +79,12 @@ def receive(topic: DataFrame, schema: T.StructType,
     return triaged(with_header(topic, *HEADERS), schema.names, known, partial=partial)
 
 
+def receive_many(topic: DataFrame, known: DataFrame | Sequence[str]) -> DataFrame:
+    """As :func:`receive` for a topic that many tables share: every message is parsed once, and
+    :func:`tableferry.operators.route.for_target` gives the records of one target its columns."""
+    return triaged_records(with_header(topic, *HEADERS), known)
+
+
 def with_aliases(messages: DataFrame, aliases: dict[str, str] | None) -> DataFrame:
     """``clear_table`` by the name of its target, where headers name the table behind it."""
     for physical, logical in (aliases or {}).items():
@@ -156,8 +162,9 @@ def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,
     """Records of a bounded set of messages with the number of the insert they belong to.
     Messages that cannot be read give none; :func:`unreadable` audits them."""
     rows = parsed(F.col("data"), schema.names)
-    sized = messages.withColumn("rows", rows).where("rows is not null").withColumn(
-        "_n", F.size("rows").cast("long"))
+    # not filtered: a filter would move below the parse and take a second one along
+    sized = messages.withColumn("rows", rows).withColumn(
+        "_n", F.coalesce(F.size("rows"), F.lit(0)).cast("long"))
     grouped = sequential_groups(sized, lane, order, "_n", batch_rows, "before", out="insert_no",
                                 span=span)
     records = grouped.select(lane, order, "insert_no", F.posexplode("rows").alias("row_pos", "r"))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tableferry.plans.sync import receive
+from tableferry.plans.sync import receive, receive_many
 from tableferry.sources.topics import Subscription, stream_topic
-from tableferry.streaming.sinks import AuditSink, Sink
+from tableferry.streaming.sinks import AuditSink, CatalogSink, Sink
 
 # Fixed value: seconds between flushes.
 FLUSH_SECONDS = 60
@@ -26,23 +26,39 @@ def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], chec
           known: DataFrame | Sequence[str] | None = None, once: bool = False,
           seconds: int = FLUSH_SECONDS,
           callback: Callable[[DataFrame, int], None] | None = None,
-          partial: bool = False) -> StreamingQuery:
+          partial: bool = False, wal: bool = False) -> StreamingQuery:
     """Run a subscription: ``checkpoint`` is its cursor, and the trigger its flush rule.
 
     Offsets are committed after every sink has written the epoch. ``once`` reads what is there
     and ends, which also flushes everything. ``callback`` sees each micro-batch first. Sinks may
-    be shared by several subscriptions. If there is no audit among them, bad messages and dirty
-    rows go to one at ``{checkpoint}-audit``.
+    be shared by several subscriptions. Audits are written ahead of the others. If there is none
+    among them, bad messages and dirty rows, and with ``wal`` all decoded rows, go to one at
+    ``{checkpoint}-audit``.
     """
-    sinks = list(sinks)
+    sinks = sorted(sinks, key=lambda s: not isinstance(s, AuditSink))
     if not any(isinstance(s, AuditSink) for s in sinks):
-        sinks.append(AuditSink(messages.sparkSession, f"{checkpoint}-audit", schema, wal=False))
+        sinks.insert(0, AuditSink(messages.sparkSession, f"{checkpoint}-audit", schema, wal))
+    return _run(messages, lambda batch: receive(batch, schema, known, partial), sinks, checkpoint,
+                once, seconds, callback)
 
+
+def start_many(messages: DataFrame, sink: CatalogSink, checkpoint: str, once: bool = False,
+               seconds: int = FLUSH_SECONDS,
+               callback: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Run a subscription to a topic of many tables: each message is parsed once and loaded into
+    its target by that target's columns. Other options as in :func:`start`."""
+    return _run(messages, lambda batch: receive_many(batch, list(sink.targets)), [sink],
+                checkpoint, once, seconds, callback)
+
+
+def _run(messages: DataFrame, received: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink],
+         checkpoint: str, once: bool, seconds: int,
+         callback: Callable[[DataFrame, int], None] | None) -> StreamingQuery:
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if callback is not None:
             callback(batch, epoch_id)
         cursor = cursor_of(batch)
-        checked = receive(batch, schema, known, partial).persist()
+        checked = received(batch).persist()
         try:
             for sink in sinks:
                 sink.write(checked, epoch_id, cursor)
@@ -71,12 +87,14 @@ def start_files(chunks: DataFrame, sink: Sink, checkpoint: str, once: bool = Fal
 def start_all(spark: SparkSession, subscriptions: Sequence[Subscription], schema: T.StructType,
               sinks: Sequence[Sink], checkpoints: str,
               opened: Callable[[SparkSession, Subscription], DataFrame] | None = None,
+              files_per_trigger: int | None = None, bytes_per_trigger: str | None = None,
               **options) -> list[StreamingQuery]:
     """Run several subscriptions into the same sinks, each with a cursor of its own below
     ``checkpoints``. ``opened`` makes the stream of a subscription; by default its url is the
-    folder that holds its topic. ``options`` are those of :func:`start`."""
+    folder that holds its topic, of which a micro-batch takes as many files or bytes as the limits
+    say. ``options`` are those of :func:`start`."""
     def folder(spark: SparkSession, s: Subscription) -> DataFrame:
-        return stream_topic(spark, f"{s.url}/{s.topic}")
+        return stream_topic(spark, f"{s.url}/{s.topic}", files_per_trigger, bytes_per_trigger)
 
     names = [f"{s.name}-{s.topic}" for s in subscriptions]
     if len(set(names)) != len(names):

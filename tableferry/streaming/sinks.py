@@ -9,7 +9,7 @@ base so that readers do not pay for them again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
@@ -18,16 +18,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tableferry.functions.codec import FIELDS
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
 from tableferry.operators.chunks import PART_BYTES, checksum_ok, incomplete
-from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
-from tableferry.operators.ranges import add_ranges, assign_ranges, requested_ranges
-from tableferry.operators.route import BAD_MSG, DIRTY, WAL, audit, good_rows, typed
+from tableferry.operators.clear import (KEYS, as_runs, last_clears_of_runs, open_runs,
+                                        surviving)
+from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ranges,
+                                         unread_ranges)
+from tableferry.operators.route import (BAD_MSG, DIRTY, WAL, audit, for_target, good_rows,
+                                        typed)
 from tableferry.operators.upsert import cell_values, cells, last_wins, merged_cells
 from tableferry.plans.sync import load_files, with_aliases
 from tableferry.schemas import AUDIT, CHUNK, RANGES
+from tableferry.session import stored
 
 HEAD = T.StructType([
     T.StructField("clear_table", T.StringType()), T.StructField("partition", T.StringType()),
     T.StructField("batch_id", T.StringType()), T.StructField("msg_id", T.LongType())])
+RUNS = T.StructType([*HEAD.fields[:3], T.StructField("first", T.LongType()),
+                     T.StructField("last", T.LongType())])
 NOTE = T.StructType([T.StructField("version", T.LongType()),
                      T.StructField("cursor", T.StringType()), T.StructField("upto", T.LongType())])
 
@@ -70,8 +76,10 @@ class EpochLog:
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField("_cursor", T.StringType()),
                              T.StructField("_epoch", T.LongType())])
-        return (self.spark.read.schema(full).parquet(f"{self.path}/{name}")
-                .where(wanted).select(*schema.names))
+        # a table that no epoch has written yet, or of which a base holds all, has no folder
+        there = self._noted(name, full)
+        return (self.spark.createDataFrame([], schema) if there is None
+                else there.where(wanted).select(*schema.names))
 
     def commit(self, epoch_id: int, cursor: str = BY_HAND) -> None:
         """Everything of this epoch is written. Subscriptions write their notes to folders of
@@ -80,28 +88,67 @@ class EpochLog:
 
     def finished(self) -> Upto:
         """The last finished epoch of each cursor. Epochs of a cursor come one after the other,
-        so all before it are finished as well."""
+        so all before it are finished as well. Those that a base holds may have no note left."""
+        out = self._included(self._version())
         noted = self._noted("commits", "id long, _cursor string, _epoch long")
-        return {} if noted is None else {
-            r.cursor: r.upto for r in noted.groupBy(F.col("_cursor").alias("cursor")).agg(
-                F.max("_epoch").alias("upto")).collect()}
-
-    def put_base(self, df: DataFrame, upto: Upto) -> None:
-        """A new base that holds the epochs up to ``upto``. It counts once its note is written,
-        which is one file; a lost attempt leaves a folder that nobody reads."""
+        if noted is not None:
+            for r in noted.groupBy(F.col("_cursor").alias("cursor")).agg(
+                    F.max("_epoch").alias("upto")).collect():
+                out[r.cursor] = max(r.upto, out.get(r.cursor, -1))
+        return out
+
+    def put_base(self, df: DataFrame, upto: Upto, **more: DataFrame) -> None:
+        """A new base that holds the epochs up to ``upto``, with further tables beside its rows.
+        It counts once its note is written, which is one file; a lost attempt leaves folders that
+        nobody reads."""
         version = self._version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/base/version={version}")
+        for name, table in {"base": df, **{f"base-{n}": t for n, t in more.items()}}.items():
+            table.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
         notes = self.spark.createDataFrame([(version, c, n) for c, n in upto.items()], NOTE)
         notes.coalesce(1).write.mode("append").parquet(f"{self.path}/bases")
 
-    def base(self, schema: T.StructType) -> tuple[DataFrame, Upto]:
-        """The newest base and the last epoch of each cursor that it includes."""
+    def base(self, schema: T.StructType, name: str = "base") -> tuple[DataFrame, Upto]:
+        """The newest base, or a table beside it (``base-...``), and the last epoch of each cursor
+        that it includes."""
         version = self._version()
         if version < 0:
             return self.spark.createDataFrame([], schema), {}
-        noted = self._noted("bases", NOTE).where(F.col("version") == version).collect()
-        return (self.spark.read.schema(schema).parquet(f"{self.path}/base/version={version}"),
-                {r.cursor: r.upto for r in noted})
+        return (self.spark.read.schema(schema).parquet(f"{self.path}/{name}/version={version}"),
+                self._included(version))
+
+    def _included(self, version: int) -> Upto:
+        if version < 0:
+            return {}
+        return {r.cursor: r.upto for r in self._noted("bases", NOTE).where(
+            F.col("version") == version).collect()}
+
+    def vacuum(self, keep: Sequence[str] = ()) -> None:
+        """Delete what the newest base holds: its epochs, their notes and older bases. Tables
+        named in ``keep`` stay whole. A reader that began before the last compaction needs these
+        files, so leave time between :meth:`put_base` and this."""
+        version = self._version()
+        included = self._included(version)
+        top = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = top.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+        def below(path, prefix: str):
+            if fs.exists(path):
+                for status in fs.listStatus(path):
+                    name = status.getPath().getName()
+                    if name.startswith(prefix):
+                        yield name.removeprefix(prefix), status.getPath()
+
+        for name, table in list(below(top, "")):
+            if name in keep:
+                continue
+            if name.startswith("base"):
+                for number, folder in below(table, "version="):
+                    if int(number) < version:
+                        fs.delete(folder, True)
+            for cursor, epochs in below(table, "_cursor="):
+                for number, folder in below(epochs, "_epoch="):
+                    if int(number) <= included.get(cursor, -1):
+                        fs.delete(folder, True)
 
     def _version(self) -> int:
         noted = self._noted("bases", NOTE)
@@ -150,21 +197,32 @@ class AppendSink:
                      epoch_id, cursor)
         self.log.commit(epoch_id, cursor)
 
-    def _at(self, upto: Upto) -> DataFrame:
+    def _runs(self, upto: Upto) -> DataFrame:
+        """Runs of batches: those that the base has kept, and the headers of later epochs."""
+        base, included = self.log.base(RUNS, "base-runs")
+        return base.unionByName(as_runs(self.log.get("heads", HEAD, upto, included)))
+
+    def _at(self, upto: Upto, runs: DataFrame) -> DataFrame:
         base, included = self.log.base(self.row_schema)
         rows = base.unionByName(self.log.get("rows", self.row_schema, upto, included))
-        clears = last_clears(run_starts(self.log.get("heads", HEAD, upto), KEYS))
-        return surviving(rows, clears, "target", self.partition)
+        return surviving(rows, last_clears_of_runs(runs, KEYS), "target", self.partition)
 
     def read(self) -> DataFrame:
-        return self._at(self.log.finished())
+        upto = self.log.finished()
+        return self._at(upto, self._runs(upto))
 
     def compact(self) -> None:
-        """Fold all finished epochs into a new base. Headers stay: they are small beside the
-        messages, and keep the order of batches exact for messages that arrive late."""
+        """Fold all finished epochs into a new base. Of the headers it keeps the runs that later
+        messages can still matter to, so what a reader pays does not grow with the epochs, and
+        messages that arrive late are judged as exactly as before."""
         upto = self.log.finished()
         if upto != self.log.base(self.row_schema)[1]:
-            self.log.put_base(self._at(upto), upto)
+            runs = stored(open_runs(self._runs(upto)), "runs")
+            self.log.put_base(self._at(upto, runs), upto, runs=runs)
+
+    def vacuum(self) -> None:
+        """Delete what the newest base has folded; see :meth:`EpochLog.vacuum`."""
+        self.log.vacuum()
 
 
 class KeyedSink:
@@ -233,6 +291,25 @@ class KeyedSink:
             self.log.put_base(self._at(upto), upto)
 
 
+def bad_entries(checked: DataFrame) -> DataFrame:
+    """Audit entries of bad messages, and of range requests that are none."""
+    bad = audit(BAD_MSG, checked.where("reason is not null"), F.col("reason"), F.col("data"))
+    if "range_partition" not in checked.columns:
+        return bad
+    asked = unread_ranges(checked.where(F.col("route") == KEYED_TYPE))
+    return bad.unionByName(audit(BAD_MSG, asked, F.lit("bad_range"), F.col("asked")))
+
+
+def row_entries(checked: DataFrame, schema: T.StructType, wal: bool) -> DataFrame:
+    """Audit entries of dirty rows, and with ``wal`` of every decoded row."""
+    texts = good_rows(checked, schema.names, ["topic", "msg_id", "target_table"])
+    shown = F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"})
+    rows = typed(texts.withColumn("_text", shown), schema).where("dirty_fields is not null")
+    out = audit(DIRTY, rows, F.concat(F.lit("type_mismatch:"), F.col("dirty_fields")),
+                F.col("_text"))
+    return audit(WAL, texts, F.lit("decoded"), shown).unionByName(out) if wal else out
+
+
 class AuditSink:
     """Bad messages, dirty rows and the write-ahead copy, in one table by channel."""
 
@@ -240,17 +317,7 @@ class AuditSink:
         self.log, self.schema, self.wal = EpochLog(spark, path), schema, wal
 
     def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
-        bad = audit(BAD_MSG, checked.where("reason is not null"), F.col("reason"), F.col("data"))
-        texts = good_rows(checked, self.schema.names, ["topic", "msg_id", "target_table"])
-        shown = F.to_json(F.struct(*self.schema.names), {"ignoreNullFields": "false"})
-        out = bad
-        if self.wal:
-            out = out.unionByName(audit(WAL, texts, F.lit("decoded"), shown))
-        rows = typed(texts.withColumn("_text", shown), self.schema).where(
-            "dirty_fields is not null")
-        out = out.unionByName(audit(DIRTY, rows, F.concat(F.lit("type_mismatch:"),
-                                                          F.col("dirty_fields")),
-                                    F.col("_text")))
+        out = bad_entries(checked).unionByName(row_entries(checked, self.schema, self.wal))
         self.log.put("audit", out.select(*AUDIT.names), epoch_id, cursor, ["channel"])
         self.log.commit(epoch_id, cursor)
 
@@ -258,6 +325,36 @@ class AuditSink:
         return self.log.get("audit", AUDIT, self.log.finished())
 
 
+class CatalogSink:
+    """The targets of a topic that many tables share, each a sink with a schema of its own.
+
+    Takes the messages of :func:`tableferry.plans.sync.receive_many`. The audit, of all targets
+    together, is written first. Only targets that a micro-batch has messages for are written.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, targets: Mapping[str, AppendSink | KeyedSink],
+                 wal: bool = False):
+        self.targets, self.wal = dict(targets), wal
+        self.log = EpochLog(spark, path)
+
+    def write(self, checked: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
+        # at most one row for each target of the catalog
+        present = sorted(r.target for r in checked.where(
+            F.col("target").isin(list(self.targets))).select("target").distinct().collect())
+        mine = {name: for_target(checked, name, self.targets[name].schema.names,
+                                 getattr(self.targets[name], "partial", False)) for name in present}
+        entries = bad_entries(checked)
+        for name, messages in mine.items():
+            entries = entries.unionByName(row_entries(messages, self.targets[name].schema, self.wal))
+        self.log.put("audit", entries.select(*AUDIT.names), epoch_id, cursor, ["channel"])
+        self.log.commit(epoch_id, cursor)
+        for name, messages in mine.items():
+            self.targets[name].write(messages, epoch_id, cursor)
+
+    def audited(self) -> DataFrame:
+        return self.log.get("audit", AUDIT, self.log.finished())
+
+
 class FileSink:
     """Chunk messages of files, kept until all parts of a file are here. Chunks whose content is
     not what their header says are kept apart, in ``bad``."""
