@@ -151,10 +151,14 @@ def send_files(parts: DataFrame, table: str, partition: Column,
         F.lit(name).alias("transfer"), "data")
 
 
-def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES) -> DataFrame:
+#: What a segment keeps of the headers of its chunks.
+LOADED = ("file", "table", "partition", "is_overwrite")
+
+
+def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES,
+               verified: bool = False) -> DataFrame:
     """Finished files of a chunk topic as segments with their target table and partition."""
-    return ch.segments(ch.complete_parts(chunks), part_bytes,
-                       keep=("file", "table", "partition", "is_overwrite"))
+    return ch.segments(ch.complete_parts(chunks, verified=verified), part_bytes, keep=LOADED)
 
 
 def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,

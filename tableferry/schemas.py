@@ -34,6 +34,14 @@ CHUNK = T.StructType([
     T.StructField("data", T.BinaryType()),
 ])
 
+#: What is reported of file transfers.
+EVENTS = T.StructType([
+    T.StructField("sync_id", T.StringType()), T.StructField("transfer", T.StringType()),
+    T.StructField("file", T.StringType()), T.StructField("event", T.StringType()),
+    T.StructField("n_parts", T.IntegerType()), T.StructField("total_parts", T.IntegerType()),
+    T.StructField("last_msg", T.LongType()),
+])
+
 RANGES = T.StructType([
     T.StructField("target_table", T.StringType()),
     T.StructField("lower", T.LongType()),

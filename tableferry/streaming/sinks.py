@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableferry.functions.codec import FIELDS
 from tableferry.functions.headers import APPEND_TYPE, KEYED_TYPE
-from tableferry.operators.chunks import PART_BYTES, checksum_ok, incomplete
+from tableferry.operators.chunks import PART_BYTES, checksum_ok, incomplete, segments
 from tableferry.operators.clear import (KEYS, as_runs, last_clears_of_runs, open_runs,
                                         surviving)
 from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ranges,
@@ -25,8 +25,8 @@ from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ra
 from tableferry.operators.route import (BAD_MSG, DIRTY, WAL, audit, for_target, good_rows,
                                         typed)
 from tableferry.operators.upsert import cell_values, cells, last_wins, merged_cells
-from tableferry.plans.sync import load_files, with_aliases
-from tableferry.schemas import AUDIT, CHUNK, RANGES
+from tableferry.plans.sync import LOADED, load_files, with_aliases
+from tableferry.schemas import AUDIT, CHUNK, EVENTS, RANGES
 from tableferry.session import stored
 
 HEAD = T.StructType([
@@ -34,6 +34,9 @@ HEAD = T.StructType([
     T.StructField("batch_id", T.StringType()), T.StructField("msg_id", T.LongType())])
 RUNS = T.StructType([*HEAD.fields[:3], T.StructField("first", T.LongType()),
                      T.StructField("last", T.LongType())])
+#: Chunks as a log stores them, with the folders that it puts them in.
+EPOCH_CHUNK = T.StructType([*CHUNK.fields, T.StructField("_cursor", T.StringType()),
+                            T.StructField("_epoch", T.LongType())])
 NOTE = T.StructType([T.StructField("version", T.LongType()),
                      T.StructField("cursor", T.StringType()), T.StructField("upto", T.LongType())])
 
@@ -361,6 +364,7 @@ class FileSink:
 
     def __init__(self, spark: SparkSession, path: str, part_bytes: int = PART_BYTES):
         self.log, self.part_bytes = EpochLog(spark, path), part_bytes
+        self.noted = EpochLog(spark, f"{path}-transfers")
 
     def write(self, chunks: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
         checked = checksum_ok(chunks.select(*CHUNK.names))
@@ -373,12 +377,30 @@ class FileSink:
                      cursor)
         self.log.commit(epoch_id, cursor)
 
+    def note(self, events: DataFrame, epoch_id: int, cursor: str = BY_HAND) -> None:
+        """Store what :mod:`tableferry.streaming.transfers` reports."""
+        self.noted.put("events", events, epoch_id, cursor)
+        self.noted.commit(epoch_id, cursor)
+
+    def events(self) -> DataFrame:
+        """Reported transfers, complete and stalled ones."""
+        return self.noted.get("events", EVENTS, self.noted.finished())
+
     def _chunks(self) -> DataFrame:
         return self.log.get("chunks", CHUNK, self.log.finished())
 
     def read(self) -> DataFrame:
         """Finished files as segments."""
-        return load_files(self._chunks(), self.part_bytes)
+        return load_files(self._chunks(), self.part_bytes, verified=True)
+
+    def read_reported(self) -> DataFrame:
+        """As :meth:`read` for the files that are reported as complete: the latest transfer of
+        each. Only their chunks are read on; nothing is counted or checked again."""
+        done = self.events().where("event = 'complete'").groupBy("sync_id").agg(
+            F.max_by("transfer", "last_msg").alias("transfer"))
+        mine = self._chunks().withColumn("transfer", F.coalesce("transfer", F.lit("")))
+        kept = mine.join(stored(done, "transfers"), ["sync_id", "transfer"], "left_semi")
+        return segments(kept.select(*CHUNK.names), self.part_bytes, keep=LOADED)
 
     def bad(self) -> DataFrame:
         """Audit entries of the chunks that arrived broken."""
@@ -386,4 +408,4 @@ class FileSink:
 
     def pending(self) -> DataFrame:
         """Files that still wait for parts."""
-        return incomplete(self._chunks())
+        return incomplete(self._chunks(), verified=True)
