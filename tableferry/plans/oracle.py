@@ -417,8 +417,24 @@ k AS (SELECT *, max(batch) OVER (PARTITION BY event_type) AS one,
              max(batch) OVER (PARTITION BY part, event_type) AS two FROM e)
 SELECT 'one' AS keyed_by, msg_id, event_type, part FROM k WHERE batch = one
 UNION ALL SELECT 'two', msg_id, event_type, part FROM k WHERE batch = two""",
-    "sync_files": f"SELECT n_bytes, md5(content) AS data_md5, CAST(bucket AS STRING) AS bucket"
-                  f" FROM ({TEXT_BUCKETS}) b",
+    "sync_files": """
+SELECT md5(unnest(string_split(text, chr(10)))) AS line_md5,
+       CAST(CAST(floor(doc_id / 250.0) AS BIGINT) AS STRING) AS bucket FROM documents""",
+    "sync_file_rows": f"""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderday, o_orderstatus FROM ({ORDERS}) o
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice, 'older', o_orderstatus FROM ({ORDERS}) o
+WHERE o_orderkey % 100 = 0 AND o_orderstatus = 'P'""",
+    "stream_files": """
+SELECT concat('doc_', doc_id, '.txt') AS file,
+       CAST(greatest(ceil(strlen(text) / 1024.0), 1) AS BIGINT) AS n_parts,
+       CAST(1 AS BIGINT) AS n_reports, md5(text) AS data_md5
+FROM documents WHERE doc_id % 9 <> 0""",
+    "stream_until_end": f"""WITH {SENTINEL}
+SELECT msg_id, CAST(pos AS INTEGER) AS row_pos,
+       TRY_CAST(json_extract_string(item, '$.k') AS INTEGER) AS k
+FROM (SELECT *, unnest(range(n_rows)) AS pos FROM bounded WHERE json_valid(data)) x
+WHERE TRY_CAST(json_extract_string(item, '$.k') AS INTEGER) IS NOT NULL""",
     "sync_files_twice": """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS content FROM documents),
 v AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 9 <> 0

@@ -12,9 +12,9 @@ from tableferry.operators import (blocks, chunks as ch, clear, flush, mapper, pa
 from tableferry.plans import fixtures as fx, sync
 from tableferry.schemas import CHUNK
 from tableferry.session import scratch, stored
-from tableferry.sources import files, tables, topics
+from tableferry.sources import files, landed, tables, topics
 from tableferry.sources.tables import table
-from tableferry.streaming import receiver, sinks
+from tableferry.streaming import receiver, sinks, transfers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -733,22 +733,80 @@ def sync_upsert(spark, sf_dir):
 
 @query
 def sync_files(spark, sf_dir):
-    """Text files read in parts, sent as chunks, put together and loaded as lines."""
+    """Text files read in parts, sent as chunks, put together and loaded as lines, whatever the
+    size of the segments that a file is put together in."""
     listed = files.list_files(spark, _text_files(spark, sf_dir), ".txt")
     parts = files.file_parts(listed, 64 * 1024)
-    sent = sync.send_files(parts, "tmp.texts", F.create_map(
-        F.lit("bucket"), _bucket("file").cast("string")))
-    whole = sync.load_files(stored(sent, "chunks"), 64 * 1024)
     name = tables.fresh_name("files")
-    tables.create_target(spark, name, "n_bytes BIGINT, data_md5 STRING, bucket STRING",
-                         scratch(spark, name), ["bucket"])
-    loaded = whole.select(F.octet_length("data").cast("long").alias("n_bytes"),
-                          F.md5("data").alias("data_md5"),
-                          F.col("partition")["bucket"].alias("bucket"))
-    tables.append_by_name(loaded, name)
+    sent = sync.send_files(parts, name, F.create_map(
+        F.lit("bucket"), _bucket("file").cast("string")))
+    whole = sync.load_files(stored(sent, "chunks"), 64 * 1024, segment_bytes=256 * 1024)
+    tables.create_target(spark, name, "line STRING, bucket STRING", scratch(spark, name),
+                         ["bucket"])
+    landed.load_rows(spark, whole, format="text")
+    return spark.table(name).select(F.md5("line").alias("line_md5"), "bucket")
+
+
+@query
+def sync_file_rows(spark, sf_dir):
+    """Orders exported to parquet files by status, sent as chunks and loaded into partitions that
+    hold older rows: two are replaced, the third is added to."""
+    path, name = scratch(spark, "export"), tables.fresh_name("loaded_files")
+    orders = _orders(spark, sf_dir)
+    orders.write.option("maxRecordsPerFile", 4000).partitionBy("o_orderstatus").parquet(path)
+    tables.create_target(spark, name, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE,"
+                         " o_orderday STRING, o_orderstatus STRING", scratch(spark, name),
+                         ["o_orderstatus"])
+    tables.append_by_name(orders.where("o_orderkey % 100 = 0").withColumn(
+        "o_orderday", F.lit("older")), name)
+    parts = files.file_parts(files.list_files(spark, path, ".parquet"), 32 * 1024)
+    status = F.regexp_extract("file", "o_orderstatus=([A-Z])/", 1)
+    sent = stored(sync.send_files(parts, name, F.create_map(F.lit("o_orderstatus"), status))
+                  .withColumn("is_overwrite", status != "P"), "chunks")
+    landed.load_rows(spark, sync.load_files(sent, 32 * 1024, segment_bytes=64 * 1024))
     return spark.table(name)
 
 
+@query
+def stream_files(spark, sf_dir):
+    """Documents sent as files in two waves, with a stop between them: every file is reported once
+    all its parts are here. Each ninth file lacks its last part."""
+    path, out = scratch(spark, "chunks"), scratch(spark, "files")
+    parts = ch.cut(_document_files(spark, sf_dir), "content", "file", PART)
+    parts = parts.where("doc_id % 9 <> 0 or cur_part < total_parts")
+    sink = sinks.FileSink(spark, f"{out}/store", PART)
+    for wave in ("cur_part % 3 = 1", "cur_part % 3 <> 1"):
+        sent = sync.send_files(parts.where(wave), "tmp.texts", F.create_map(
+            F.lit("day"), F.lit("1")), transfer="first")
+        topics.publish(sent, path, schema=CHUNK)
+        receiver.start_files(spark.readStream.schema(CHUNK).parquet(path), sink, f"{out}/chunks",
+                             once=True).awaitTermination()
+        transfers.start_transfers(spark, sink, f"{out}/transfers", once=True).awaitTermination()
+    times = sink.events().where("event = 'complete'").groupBy("sync_id").agg(
+        F.count(F.lit(1)).alias("n_reports"))
+    return sink.read_reported().join(times, "sync_id").select(
+        "file", "n_parts", "n_reports", F.md5("data").alias("data_md5"))
+
+
+@query
+def stream_until_end(spark, sf_dir):
+    """A subscription of three waves of messages whose lanes end in different ones."""
+    path, out = scratch(spark, "topic"), scratch(spark, "until-end")
+    header = headers.append_header("tmp.all", batch_id="run-1")
+    topic = stored(fx.messages(spark, sf_dir).select(
+        "lane", "msg_id", F.lit("all").alias("topic"),
+        F.col("publish_time").cast("timestamp").alias("publish_time"), header.alias("properties"),
+        F.when(F.col("msg_id") % 997 == 996, pack.END_SIGN).otherwise(F.col("data")).alias("data")),
+        "messages")
+    waves = F.when(F.col("msg_id") < 1500, 0).when(F.col("msg_id") < 3000, 1).otherwise(2)
+    sink = sinks.AppendSink(spark, f"{out}/rows", K)
+    for wave in range(3):
+        topics.publish(topic.where(waves == wave), path, own_ids=True)
+        receiver.start(topics.stream_topic(spark, path), K, [sink], f"{out}/cursor", once=True,
+                       until_end=True).awaitTermination()
+    return sink.read().select("msg_id", "row_pos", "k")
+
+
 @query
 def sync_files_twice(spark, sf_dir):
     """Every document as a file, then a shorter version of each third again on the same topic, of

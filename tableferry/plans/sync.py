@@ -156,9 +156,11 @@ LOADED = ("file", "table", "partition", "is_overwrite")
 
 
 def load_files(chunks: DataFrame, part_bytes: int = ch.PART_BYTES,
-               verified: bool = False) -> DataFrame:
-    """Finished files of a chunk topic as segments with their target table and partition."""
-    return ch.segments(ch.complete_parts(chunks, verified=verified), part_bytes, keep=LOADED)
+               verified: bool = False, segment_bytes: int = ch.SEGMENT_BYTES) -> DataFrame:
+    """Finished files of a chunk topic as segments with their target table and partition;
+    :func:`tableferry.sources.landed.load_rows` loads their rows."""
+    return ch.segments(ch.complete_parts(chunks, verified=verified), part_bytes, segment_bytes,
+                       keep=LOADED)
 
 
 def bounded_load(messages: DataFrame, schema: T.StructType, batch_rows: int,

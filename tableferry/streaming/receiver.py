@@ -4,18 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tableferry.operators.pack import END_SIGN
 from tableferry.plans.sync import receive, receive_many
+from tableferry.session import stored
 from tableferry.sources.topics import Subscription, stream_topic
-from tableferry.streaming.sinks import AuditSink, CatalogSink, Sink
+from tableferry.streaming.sinks import AuditSink, CatalogSink, EpochLog, Sink
 
+ENDS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("lane", T.LongType()),
+                     T.StructField("end", T.LongType())])
 # Fixed value: seconds between flushes.
 FLUSH_SECONDS = 60
 
 
+class EndMarks:
+    """Where the lanes of a subscription have ended: the first end mark of each lane.
+
+    The state is one row for each lane that has ended, kept by epoch as the sinks keep theirs, so
+    that a retried micro-batch finds what it has written itself. A micro-batch drops the marks and
+    what is behind them before anything is decoded. Ids of a lane that come in later micro-batches
+    are expected to be larger; whatever comes late from in front of a mark is still loaded.
+    """
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.log = EpochLog(spark, f"{checkpoint}-ends")
+
+    def cut(self, batch: DataFrame, epoch_id: int, cursor: str) -> DataFrame:
+        found = stored(batch.where(F.col("data") == END_SIGN).groupBy("topic", "lane").agg(
+            F.min("msg_id").alias("end")), "ends")
+        if not found.isEmpty():
+            self.log.put("ends", found, epoch_id, cursor)
+        ends = stored(self._ends({cursor: epoch_id}), "ends")
+        return (batch.join(ends.select(F.col("topic").alias("_topic"), F.col("lane").alias("_lane"), "end"),
+                           F.col("topic").eqNullSafe(F.col("_topic"))
+                           & F.col("lane").eqNullSafe(F.col("_lane")), "left")
+                .where(F.col("end").isNull() | (F.col("msg_id") < F.col("end")))
+                .select(*batch.columns))
+
+    def _ends(self, upto: dict[str, int]) -> DataFrame:
+        return self.log.get("ends", ENDS, upto).groupBy("topic", "lane").agg(
+            F.min("end").alias("end"))
+
+    def ended(self, query: StreamingQuery) -> int:
+        """How many lanes have ended."""
+        last = query.lastProgress
+        return 0 if last is None else self._ends({str(query.id): last["batchId"]}).count()
+
+
+def await_end(query: StreamingQuery, checkpoint: str, lanes: int, poll: float = 1.0) -> None:
+    """Let a query run until ``lanes`` lanes have ended, then stop it."""
+    marks = EndMarks(SparkSession.active(), checkpoint)
+    while query.isActive and marks.ended(query) < lanes:
+        query.awaitTermination(poll)
+    query.stop()
+
+
 def cursor_of(batch: DataFrame) -> str:
     """The id that a checkpoint gives to its query for good. A new or lost checkpoint has
     another, so it never overwrites what an earlier one has written."""
@@ -26,20 +72,23 @@ def start(messages: DataFrame, schema: T.StructType, sinks: Sequence[Sink], chec
           known: DataFrame | Sequence[str] | None = None, once: bool = False,
           seconds: int = FLUSH_SECONDS,
           callback: Callable[[DataFrame, int], None] | None = None,
-          partial: bool = False, wal: bool = False) -> StreamingQuery:
+          partial: bool = False, wal: bool = False,
+          until_end: bool = False) -> StreamingQuery:
     """Run a subscription: ``checkpoint`` is its cursor, and the trigger its flush rule.
 
     Offsets are committed after every sink has written the epoch. ``once`` reads what is there
     and ends, which also flushes everything. ``callback`` sees each micro-batch first. Sinks may
     be shared by several subscriptions. Audits are written ahead of the others. If there is none
     among them, bad messages and dirty rows, and with ``wal`` all decoded rows, go to one at
-    ``{checkpoint}-audit``.
+    ``{checkpoint}-audit``. With ``until_end`` a lane is read up to its first end mark, see
+    :class:`EndMarks`.
     """
     sinks = sorted(sinks, key=lambda s: not isinstance(s, AuditSink))
     if not any(isinstance(s, AuditSink) for s in sinks):
         sinks.insert(0, AuditSink(messages.sparkSession, f"{checkpoint}-audit", schema, wal))
+    marks = EndMarks(messages.sparkSession, checkpoint) if until_end else None
     return _run(messages, lambda batch: receive(batch, schema, known, partial), sinks, checkpoint,
-                once, seconds, callback)
+                once, seconds, callback, marks)
 
 
 def start_many(messages: DataFrame, sink: CatalogSink, checkpoint: str, once: bool = False,
@@ -53,11 +102,14 @@ def start_many(messages: DataFrame, sink: CatalogSink, checkpoint: str, once: bo
 
 def _run(messages: DataFrame, received: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink],
          checkpoint: str, once: bool, seconds: int,
-         callback: Callable[[DataFrame, int], None] | None) -> StreamingQuery:
+         callback: Callable[[DataFrame, int], None] | None,
+         marks: EndMarks | None = None) -> StreamingQuery:
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if callback is not None:
             callback(batch, epoch_id)
         cursor = cursor_of(batch)
+        if marks is not None:
+            batch = marks.cut(batch, epoch_id, cursor)
         checked = received(batch).persist()
         try:
             for sink in sinks:

@@ -83,3 +83,56 @@ def test_a_broken_chunk_counts_for_nothing_and_a_later_transfer_wins(spark, sent
     run(spark, path, sink, out)
     assert reported(sink) == [("f2", 2, 2), ("f2", 3, 3)]
     assert [bytes(r.data) for r in sink.read_reported().collect()] == [b"new" * 5]
+
+
+def test_rows_of_files_do_not_depend_on_segments(spark):
+    """Files of many segments and of one; a partition is replaced first, then added to."""
+    from tableferry.sources import files, landed, tables
+    root = scratch(spark, "source")
+    rows = spark.range(3000).selectExpr("id", "concat('n', id) as name", "id % 2 as day")
+    rows.write.option("maxRecordsPerFile", 400).partitionBy("day").parquet(root)
+    parts = files.file_parts(files.list_files(spark, root, ".parquet"), 1000)
+    results = []
+    for segment_bytes in (1000, 3000, 1 << 20):
+        name = tables.fresh_name("landing")
+        tables.create_target(spark, name, "id BIGINT, name STRING, day INT", scratch(spark, name), ["day"])
+        spark.sql(f"INSERT INTO {name} VALUES (-1, 'old', 0), (-2, 'old', 1), (-3, 'old', 2)")
+        day = F.regexp_extract("file", r"day=(\d)/", 1)
+        sent = sync.send_files(parts, "t", F.create_map(F.lit("day"), day)).withColumn(
+            "is_overwrite", day == "0")
+        whole = sync.load_files(sent, 1000, segment_bytes=segment_bytes)
+        listed = landed.load_rows(spark, whole, {"t": name})
+        assert listed.count() == 8 and listed.where("n_bytes <= 0").count() == 0
+        results.append(sorted((r.id, r.name, r.day) for r in spark.table(name).collect()))
+    want = sorted([(i, f"n{i}", i % 2) for i in range(3000)] + [(-2, "old", 1), (-3, "old", 2)])
+    assert results == [want] * 3
+
+
+def test_lanes_end_at_their_first_mark(spark):
+    from pyspark.sql import types as T
+    from tableferry.functions.headers import append_header
+    from tableferry.operators.pack import END_SIGN
+    from tableferry.schemas import TOPIC
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    # lane 0 ends in the first wave, lane 1 in the second, lane 2 twice, lane 3 never
+    ends = {(0, 8), (1, 21), (2, 18), (2, 26)}
+    rows = [(i % 4, i, END_SIGN if (i % 4, i) in ends else '[{"k":%d}]' % i) for i in range(40)]
+    messages = spark.createDataFrame(rows, "lane long, msg_id long, data string").select(
+        "lane", "msg_id", F.lit("t").alias("topic"), F.timestamp_seconds("msg_id").alias("publish_time"),
+        append_header("t", batch_id="b").alias("properties"), "data").select(*TOPIC.names)
+    path, out = scratch(spark, "topic"), scratch(spark, "ends")
+    sink = sinks.AppendSink(spark, f"{out}/rows", schema)
+    for low, high in ((0, 15), (15, 30), (30, 40)):
+        topics.publish(messages.where(f"msg_id >= {low} and msg_id < {high}"), path, own_ids=True)
+        query = receiver.start(topics.stream_topic(spark, path), schema, [sink], f"{out}/cursor",
+                               once=True, until_end=True)
+        query.awaitTermination()
+    want = {r.msg_id for r in topics.until_end(messages).collect()}
+    assert {r.msg_id for r in sink.read().collect()} == want
+    audit = sinks.AuditSink(spark, f"{out}/cursor-audit", schema)
+    assert audit.read().count() == 0
+    # a query that runs on is stopped once its lanes have ended
+    query = receiver.start(topics.stream_topic(spark, path), schema, [], f"{out}/again", seconds=1,
+                           until_end=True)
+    receiver.await_end(query, f"{out}/again", 3, 0.2)
+    assert not query.isActive
