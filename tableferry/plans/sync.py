@@ -13,8 +13,8 @@ from tableferry.operators import chunks as ch
 from tableferry.operators.clear import KEYS, last_clears, run_starts, surviving
 from tableferry.operators.fold import sequential_groups
 from tableferry.operators.pack import MESSAGE_BYTES, oversize, pack_messages, to_topic
-from tableferry.operators.ranges import (add_ranges, assign_ranges, requested_ranges,
-                                         unread_ranges)
+from tableferry.operators.ranges import (add_ranges, assign_ranges, overlapping,
+                                         requested_ranges, unread_ranges)
 from tableferry.operators.route import (BAD_MSG, DIRTY, audit, good_rows, triaged,
                                         triaged_records, typed, with_header)
 from tableferry.operators.upsert import cell_values, cells, merged_cells, upsert
@@ -56,7 +56,8 @@ def unreadable(messages: DataFrame, schema: T.StructType) -> DataFrame:
 def left_out(checked: DataFrame, schema: T.StructType, registry: DataFrame | None = None,
              range_key: str | None = None, route: str = KEYED_TYPE) -> DataFrame:
     """Audit entries of decoded rows that are not applied: those with a field that does not fit,
-    and those outside every range of their target; and of range requests that are none."""
+    and those outside every range of their target; and of range requests that are none, and of ranges
+    that overlap one in front of them."""
     mine = checked.where(F.col("route") == route)
     rows = typed(good_rows(mine, schema.names, ["target", "msg_id"]), schema).withColumn(
         "target_table", F.col("target"))
@@ -69,6 +70,8 @@ def left_out(checked: DataFrame, schema: T.StructType, registry: DataFrame | Non
                                     payload))
         out = out.unionByName(audit(BAD_MSG, unread_ranges(mine), F.lit("bad_range"),
                                     F.col("asked")))
+        out = out.unionByName(audit(BAD_MSG, overlapping(ranges), F.lit("overlapping_range"),
+                                    F.concat_ws("<=VALUES<", "lower", "upper")))
     return out
 
 

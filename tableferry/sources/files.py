@@ -20,16 +20,43 @@ def _opened(path: str):
     return fs.open_input_file(name)
 
 
+def _listing(suffix: str, recursive: bool):
+    """Entries below folders, one batch for each folder given: files, and where the listing is not
+    recursive also folders, whose length is -1."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                local = path.startswith("file:") or "://" not in path
+                if local:
+                    fs, top = pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+                else:
+                    fs, top = pafs.FileSystem.from_uri(quote(path, safe=":/?=%"))
+                head = "file:" if local else path[:len(path) - len(top.lstrip("/"))].rstrip("/")
+                found = [(f"{head}/{e.path.lstrip('/')}",
+                          e.size if e.type == pafs.FileType.File else -1)
+                         for e in fs.get_file_info(pafs.FileSelector(top, recursive=recursive))
+                         if "/_temporary/" not in f"{e.path}/"
+                         and (e.path.endswith(suffix) if e.type == pafs.FileType.File
+                              else not recursive)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _ in found], pa.string()),
+                     pa.array([n for _, n in found], pa.int64())], ["path", "length"])
+    return task
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = ".parquet",
                recursive: bool = True) -> DataFrame:
-    """Path and size of the files with a suffix; their content is not read. Empty files are
-    not listed: the reader skips them, and there is nothing of them to send."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path).select("path", "length")
-    )
+    """Path and size of the files with a suffix, empty ones and those that other readers take for
+    hidden too; only folders that a running job writes to (``_temporary``) are passed over. The
+    folders of the first level are listed in tasks of their own."""
+    columns = "path string, length long"
+    top = spark.createDataFrame([(path,)], "path string").mapInArrow(_listing(suffix, False), columns)
+    files = top.where("length >= 0")
+    if not recursive:
+        return files
+    below = (top.where("length < 0").select("path").repartition("path")
+             .mapInArrow(_listing(suffix, True), columns))
+    return files.unionByName(below)
 
 
 def file_parts(files: DataFrame, part_bytes: int = PART_BYTES,

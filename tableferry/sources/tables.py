@@ -8,6 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tableferry.session import scratch
+from tableferry.sources.files import list_files
+
 # Fixed value: rows per fetch of the source.
 FETCH_ROWS = 100_000
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -232,3 +235,29 @@ def write_layout(df: DataFrame, path: str, partition_by: Sequence[str],
 
 def export_parquet(df: DataFrame, path: str, rows_per_file: int) -> None:
     df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+# Fixed value: size of an exported file in bytes.
+EXPORT_BYTES = 100 * 1024 * 1024
+
+
+def export_sized(df: DataFrame, path: str, file_bytes: int = EXPORT_BYTES,
+                 one_in: int = 64) -> int:
+    """Write files of about ``file_bytes`` each and return how many were planned.
+
+    What a row takes on disk is measured first: one row in ``one_in`` (all of a table that has
+    few) is written to the shared folder in a single run of the same writer. All rows are then
+    dealt evenly over as many files as that gives.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn("_at", F.monotonically_increasing_id())
+    rows = df.count()
+    step = one_in if rows >= 1000 * one_in else 1
+    trial = scratch(spark, "export-trial")
+    sample = keyed.where(F.col("_at") % step == 0).drop("_at")
+    # in one file, as pages and dictionaries of many small ones would take more for a row
+    sample.coalesce(1).write.parquet(trial)
+    written = list_files(spark, trial).agg(F.sum("length")).first()[0] or 0
+    n_files = max(1, round(written * step / file_bytes))
+    df.repartition(n_files).write.parquet(path)
+    return n_files
