@@ -139,8 +139,12 @@ class Words:
         data = np.frombuffer(self.joined, np.uint8)[~self.space]
         words = pa.Array.from_buffers(pa.large_binary(), len(self.begin), [
             None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        of = words.indices.to_numpy()
-        return words.dictionary.to_pylist(), of, np.bincount(of, minlength=len(words.dictionary))
+        of, known = words.indices.to_numpy(), words.dictionary
+        _, ends, data = known.buffers()
+        at = np.frombuffer(ends, np.int64)[:len(known) + 1].tolist() if len(known) else []
+        data = data.to_pybytes() if len(known) else b""
+        return ([data[a:b] for a, b in zip(at, at[1:])], of,
+                np.bincount(of, minlength=len(known)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
