@@ -36,6 +36,7 @@ from tableferry.session import stored
 
 LEXICON_WORDS = 131_072
 SHIFT = 20
+PIECES_KNOWN, WORDS_KNOWN = 400_000, 200_000  # that a task keeps before it starts anew
 
 
 def byte_chars() -> list[str]:
@@ -302,20 +303,33 @@ def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "id
     def make():
         words, lexicon = words_of(merges.pattern, merges.special), Transducer(blob)
 
+        class Looked(dict):
+            """Words looked up: pieces differ by their marks more than by their words."""
+
+            def __missing__(self, word):
+                if len(self) > WORDS_KNOWN:
+                    self.clear()
+                ids = self[word] = array("i", lexicon.get(word) or merges.merge(word))
+                return ids
+
         class Known(dict):
             def __missing__(self, piece):
-                if len(self) > 400_000:
+                if len(self) > PIECES_KNOWN:
                     self.clear()
-                ids = array("i")
-                for word in words(piece.decode()):
-                    if isinstance(word, int):
-                        ids.append(word)
-                    else:
-                        ids.extend(lexicon.get(word) or merges.merge(word))
+                found = words(piece.decode())
+                if len(found) == 1 and found[0].__class__ is str:
+                    ids = looked[found[0]]
+                else:
+                    ids = array("i")
+                    for word in found:
+                        if word.__class__ is int:
+                            ids.append(word)
+                        else:
+                            ids += looked[word]
                 self[piece] = ids
                 return ids
 
-        known, hasher = Known(), WordHasher()
+        looked, known, hasher = Looked(), Known(), WordHasher()
 
         def work(values):
             pieces = hasher.words([v.encode() for v in values])
