@@ -36,7 +36,6 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 MARGIN = 0.22      # four to six standard deviations of an estimate
 SMALL_SET = 64    # estimates of smaller sets are not used
-BIN_BITS = 16
 HUB_ROUNDS = 2
 
 
@@ -174,56 +173,61 @@ def confirmed(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
         task, "a long, b long")
 
 
-def rarest(chosen: DataFrame, bins: list[int]) -> DataFrame:
-    """``(shingle, doc_id, n, rest)``: the prefix of each set in an order of all shingles, with
-    the number of shingles in the set and from this one on.
-
-    Two sets of the wanted similarity share a shingle among the first ``n - ceil(0.75 n) + 1`` of
-    each, whatever the order is, as long as it is one for all. Here rare bins come first, so that
-    passages which many documents share are met last.
-    """
-    num, den = THRESHOLD
-    counts = np.array(bins, np.int64)
+def shingled(chosen: DataFrame) -> DataFrame:
+    """``(shingle, node, component, n)``: every distinct shingle of each row of ``chosen``, and
+    how many the row has."""
 
     def task(batches):
         hasher = WordHasher()
         for batch in sliced(batches, "text"):
             sets = shingle_hashes([t.encode() for t in texts(batch, "text")], hasher)
-            first = []
-            for s in sets:
-                keep = len(s) - -(-num * len(s) // den) + 1
-                first.append(s[np.lexsort((s, counts[(s >> U64(64 - BIN_BITS)).astype(np.int64)]))]
-                             [:keep])
-            size = np.array([len(f) for f in first], np.int64)
-            ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-            flat = np.concatenate(first) if first else np.zeros(0, U64)
-            n = np.repeat(np.array([len(s) for s in sets], np.int64), size)
-            place = np.arange(len(n)) - np.repeat(np.cumsum(size) - size, size)
+            size = np.array([len(s) for s in sets], np.int64)
+            flat = np.concatenate(sets) if sets else np.zeros(0, U64)
+            each = [batch.column("node").to_numpy(), batch.column("component").to_numpy(), size]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, size)), pa.array(n),
-                 pa.array(n - place)], names=["shingle", "doc_id", "n", "rest"])
+                [pa.array(flat.view(np.int64)), *(pa.array(np.repeat(c, size)) for c in each)],
+                names=["shingle", "node", "component", "n"])
 
-    return chosen.select("doc_id", "text").mapInArrow(
-        task, "shingle long, doc_id long, n long, rest long")
+    return chosen.select("node", "component", "text").mapInArrow(
+        task, "shingle long, node long, component long, n long")
 
 
-def binned(chosen: DataFrame) -> list[int]:
-    """How many shingles of all sets fall in each of 2^BIN_BITS bins; a table of fixed size."""
+def narrowed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of shingles that several components hold, of the nodes that can still have a
+    partner in another one: at least 75 percent of such a set are shingles of this kind.
 
-    def task(batches):
-        hasher, counts = WordHasher(), np.zeros(1 << BIN_BITS, np.int64)
-        for batch in sliced(batches, "text"):
-            for s in shingle_hashes([t.encode() for t in texts(batch, "text")], hasher):
-                np.add.at(counts, (s >> U64(64 - BIN_BITS)).astype(np.int64), 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])],
-                                         names=["bin", "n"])
-
-    out = [0] * (1 << BIN_BITS)
-    for r in (chosen.select("text").mapInArrow(task, "bin long, n long")
-              .groupBy("bin").agg(F.sum("n").alias("n")).collect()):
-        out[r.bin] = r.n
-    return out
+    ``place`` is the shingle's place in its set, ``n`` the size of the set. The order is by the
+    number of sets that hold a shingle, so shingles of one component come first; they need no row.
+    """
+    num, den = THRESHOLD
+    held = stored(rows.groupBy("shingle").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.count(F.lit(1)).alias("sets")).where("lo <> hi").select("shingle", "sets"), "near-held")
+    own = Window.partitionBy("node")
+    shared = (rows.select("shingle", "node", "n").join(held, "shingle")
+              .withColumn("_shared", F.count(F.lit(1)).over(own))
+              .withColumn("_rank", F.row_number().over(own.orderBy("sets", "shingle"))))
+    return shared.where(F.col("_shared") * den >= F.col("n") * num).join(nodes, "node").select(
+        "shingle", "node", "component", "doc_id", "n",
+        (F.col("n") - F.col("_shared") + F.col("_rank")).alias("place"))
+
+
+def rarest(chosen: DataFrame) -> DataFrame:
+    """``(shingle, doc_id, component, n, rest)``: the prefix of each set in an order of all
+    shingles, with the number of shingles in the set and from this one on.
+
+    Two sets of the wanted similarity share a shingle among the first ``n - ceil(0.75 n) + 1`` of
+    each, whatever the order is, as long as it is one for all. Here the shingles of fewest sets
+    come first, so that passages which many documents share are met last. Narrowing once takes
+    away sets that only share passages; those left make a smaller table, which is narrowed again
+    as their partners may be gone.
+    """
+    num, den = THRESHOLD
+    nodes = chosen.select("node", "doc_id", "component")
+    rows = stored(narrowed(shingled(chosen), nodes), "near-narrow")
+    rows = stored(narrowed(rows, nodes), "near-narrow")
+    return rows.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).select(
+        "shingle", "doc_id", "component", "n", (F.col("n") - F.col("place") + 1).alias("rest"))
 
 
 def still_open(met: DataFrame, comps: DataFrame, *more) -> tuple[DataFrame, DataFrame]:
@@ -264,12 +268,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     open_, keys = still_open(met, comps)
     left = stored(open_.join(keys.select("key"), "key").select("doc_id", "component")
                   .distinct(), "near-left")
-    texts_left = stored(chosen.join(left.select("doc_id"), "doc_id", "left_semi"), "near-rest")
-    first = rarest(texts_left, binned(texts_left)).join(left, "doc_id")
-    first = stored(first, "near-prefixes")
-    shared = first.groupBy("shingle").agg(F.min("component").alias("lo"),
-                                          F.max("component").alias("hi")).where("lo <> hi")
-    first = stored(first.join(shared.select("shingle"), "shingle"), "near-shared")
+    texts_left = stored(chosen.join(left, "doc_id").withColumn(
+        "node", F.monotonically_increasing_id()), "near-rest")
+    first = stored(rarest(texts_left), "near-shared")
     # of n tokens in order, those from the shared one on must be enough for the overlap
     other = first.select("shingle", F.col("doc_id").alias("b"), F.col("n").alias("_n"),
                          F.col("rest").alias("_rest"), F.col("component").alias("_c"))
