@@ -22,7 +22,6 @@ import re
 import tempfile
 import unicodedata
 from array import array
-from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -36,6 +35,8 @@ from tableferry.session import stored
 
 LEXICON_WORDS = 131_072
 SHIFT = 20
+NO_PAIR = 1 << 62
+MARK = "\0"
 PIECES_KNOWN, WORDS_KNOWN = 400_000, 200_000  # that a task keeps before it starts anew
 
 
@@ -62,6 +63,9 @@ class Merges:
         for rank, (a, b) in enumerate(model["merges"]):
             self.pairs.setdefault((vocab[a] << SHIFT) | vocab[b],
                                   (rank << SHIFT) | vocab[a + b])
+        keys = sorted(self.pairs)
+        self._keys = np.array(keys, np.int64)
+        self._ranks = np.array([self.pairs[k] for k in keys], np.int64)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for table in (vocab, self.special):
@@ -77,8 +81,7 @@ class Merges:
         ids[-1] = self.final[data[-1]]
         if len(ids) > 200:
             return self._merge_long(ids)
-        none = 1 << 62
-        get, mask = self.pairs.get, (1 << SHIFT) - 1
+        none, get, mask = NO_PAIR, self.pairs.get, (1 << SHIFT) - 1
         ranks = [get((a << SHIFT) | b, none) for a, b in zip(ids, ids[1:])]
         while ranks:
             best = min(ranks)
@@ -93,6 +96,58 @@ class Merges:
                 ranks[i] = get((new << SHIFT) | ids[i + 1], none)
         return ids
 
+    def merge_all(self, words: list[bytes]) -> list[array]:
+        """The ids of many words: each round merges in every word what :meth:`merge` would merge
+        next there, by array operations over all words that still have a pair."""
+        out: list = [None] * len(words)
+        short = []
+        for i, word in enumerate(words):
+            if len(word) > 200:
+                out[i] = array("i", self.merge(word.decode()))
+            else:
+                short.append(i)
+        if not short:
+            return out
+        sizes = np.array([len(words[i]) for i in short])
+        raw = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+        ids, ends = np.array(self.inner, np.int64)[raw], np.cumsum(sizes)
+        ids[ends - 1] = np.array(self.final, np.int64)[raw[ends - 1]]
+        of = np.repeat(np.arange(len(short)), sizes)
+        ranks = self._ranked(ids, of, np.arange(len(ids)))
+        done = []
+        while len(ids):
+            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            best = np.repeat(np.minimum.reduceat(ranks, begins),
+                             np.diff(begins, append=len(ids)))
+            open_ = best < NO_PAIR
+            done.append((of[~open_], ids[~open_]))
+            ids, of, ranks, best = ids[open_], of[open_], ranks[open_], best[open_]
+            at = np.flatnonzero(ranks == best)
+            at = at[np.diff(of[at], prepend=-1) != 0]  # the leftmost of each word
+            ids[at] = best[at] & ((1 << SHIFT) - 1)
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids, of, ranks = ids[kept], of[kept], ranks[kept]
+            at -= np.arange(len(at))
+            ranks[at] = self._ranked(ids, of, at)
+            at = at[at > 0] - 1
+            ranks[at] = self._ranked(ids, of, at)
+        of = np.concatenate([d[0] for d in done])
+        flat = np.concatenate([d[1] for d in done])[np.argsort(of, kind="stable")]
+        flat = array("i", flat.astype(np.int32).tobytes())
+        ends = np.cumsum(np.bincount(of, minlength=len(short))).tolist()
+        for i, begin, end in zip(short, [0, *ends], ends):
+            out[i] = flat[begin:end]
+        return out
+
+    def _ranked(self, ids: np.ndarray, of: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank and result of the pairs that begin at ``at``, where both are of one word."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        keys = (ids[at] << SHIFT) | ids[after]
+        place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        same = (after > at) & (of[at] == of[after]) & (self._keys[place] == keys)
+        return np.where(same, self._ranks[place], NO_PAIR)
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for long words: a heap of pairs over a linked list."""
         n, get = len(ids), self.pairs.get
@@ -121,7 +176,8 @@ class Merges:
 
 
 def words_of(pattern: str, special: dict[str, int]):
-    """A function from a text to its words; special tokens come as their ids."""
+    """A function from a text to its words; special tokens come as their ids. Its ``plain`` cuts
+    texts in which no special token can be."""
     split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
     marks = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
                        + ")") if special else None
@@ -136,7 +192,7 @@ def words_of(pattern: str, special: dict[str, int]):
 
     def plain(text: str) -> list[str]:
         if not text.isascii():
-            if any(category(c) == "Cn" for c in text):
+            if any(category(c) == "Cn" for c in set(text)):
                 return by_library(text)
             if not normal("NFC", text):
                 text = unicodedata.normalize("NFC", text)
@@ -153,6 +209,7 @@ def words_of(pattern: str, special: dict[str, int]):
             out += [special[part]] if part in special else plain(part)
         return out
 
+    words.plain = plain
     return words
 
 
@@ -221,23 +278,40 @@ class Transducer:
         sizes = view[:8 * self.HEAD].cast("q").tolist()
         at, parts = 8 * self.HEAD, []
         for i, size in enumerate(sizes[:7]):
-            part = view[at:at + size]
-            parts.append(part.cast("i") if i < 5 else part.cast("B"))
+            parts.append(np.frombuffer(view[at:at + size], np.int32 if i < 5 else np.uint8))
             at += size
-        self.first, self.targets, self.skips, self.rows, self.ids, self.labels, self.finals = parts
-        self.start = len(self.first) - 2
+        first, self.targets, self.skips, self.rows, ids, labels, self.finals = parts
+        self.ids = array("i", ids.tobytes())
+        self.start = len(first) - 2
+        self.arcs = (np.repeat(np.arange(len(first) - 1), np.diff(first)) << 8) | labels
 
     def get(self, word: str) -> list[int] | None:
-        state, row = self.start, 0
-        first, labels, targets, skips = self.first, self.labels, self.targets, self.skips
-        for byte in word.encode():
-            end = first[state + 1]
-            arc = bisect_left(labels, byte, first[state], end)
-            if arc == end or labels[arc] != byte:
-                return None
-            row += skips[arc]
-            state = targets[arc]
-        return self.ids[self.rows[row]:self.rows[row + 1]].tolist() if self.finals[state] else None
+        found = self.find([word.encode()])[0]
+        return None if found is None else found.tolist()
+
+    def find(self, words: list[bytes]) -> list[array | None]:
+        """The ids of each word, None where it is not in the lexicon. All words take a step of the
+        automaton at a time; arcs are sorted by state and label."""
+        if not words or not len(self.arcs):
+            return [None] * len(words)
+        sizes = np.array([len(w) for w in words])
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        begins = np.cumsum(sizes) - sizes
+        state, row = np.full(len(words), self.start), np.zeros(len(words), np.int64)
+        walking, depth = np.arange(len(words)), 0
+        while len(walking := walking[sizes[walking] > depth]):
+            asked = (state[walking] << 8) | raw[begins[walking] + depth]
+            arc = np.minimum(np.searchsorted(self.arcs, asked), len(self.arcs) - 1)
+            there = self.arcs[arc] == asked
+            state[walking[~there]] = -1
+            walking, arc = walking[there], arc[there]
+            row[walking] += self.skips[arc]
+            state[walking] = self.targets[arc]
+            depth += 1
+        known = (state >= 0) & (self.finals[state] == 1)
+        row = np.where(known, row, 0)
+        return [self.ids[a:b] if k else None for k, a, b in zip(
+            known.tolist(), self.rows[row].tolist(), self.rows[row + 1].tolist())]
 
 
 def frequent_words(docs: DataFrame, merges: Merges, n: int = LEXICON_WORDS,
@@ -303,37 +377,48 @@ def encode(docs: DataFrame, merges: Merges, column: str = "text", out: str = "id
     def make():
         words, lexicon = words_of(merges.pattern, merges.special), Transducer(blob)
 
-        class Looked(dict):
-            """Words looked up: pieces differ by their marks more than by their words."""
-
-            def __missing__(self, word):
-                if len(self) > WORDS_KNOWN:
-                    self.clear()
-                ids = self[word] = array("i", lexicon.get(word) or merges.merge(word))
-                return ids
-
-        class Known(dict):
-            def __missing__(self, piece):
-                if len(self) > PIECES_KNOWN:
-                    self.clear()
-                found = words(piece.decode())
-                if len(found) == 1 and found[0].__class__ is str:
-                    ids = looked[found[0]]
-                else:
-                    ids = array("i")
-                    for word in found:
-                        if word.__class__ is int:
-                            ids.append(word)
-                        else:
-                            ids += looked[word]
-                self[piece] = ids
-                return ids
-
-        looked, known, hasher = Looked(), Known(), WordHasher()
+        known: dict[bytes, array] = {}
+        # pieces differ by their marks more than by their words
+        looked: dict[str, array] = {}
+        hasher = WordHasher()
+
+        def look_up(pieces: list[bytes]) -> None:
+            if len(known) > PIECES_KNOWN:
+                known.clear()
+            if len(looked) > WORDS_KNOWN:
+                looked.clear()
+            fresh = [p for p in pieces if p not in known]
+            # white space ends a word, so pieces joined by it and a mark are cut in one go, all but
+            # those that may hold a special token or the mark itself
+            odd = [p for p in fresh if b"<" in p or b"\0" in p]
+            if odd:
+                fresh = [p for p in fresh if b"<" not in p and b"\0" not in p]
+            found = words.plain(f" {MARK} ".join([p.decode() for p in fresh] + [""]))
+            if found.count(MARK) != len(fresh):
+                odd, fresh, found = odd + fresh, [], []
+            apart = [words(p.decode()) for p in odd]
+            ask = {*found, *(w for ws in apart for w in ws if w.__class__ is str)}
+            ask = list(ask.difference(looked))
+            data = [w.encode() for w in ask]
+            ids = lexicon.find(data)
+            rest = [i for i, x in enumerate(ids) if x is None]
+            for i, x in zip(rest, merges.merge_all([data[i] for i in rest])):
+                ids[i] = x
+            looked.update(zip(ask, ids))
+            none = array("i")
+            parts = [none if w == MARK else looked[w] for w in found]
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            ends = ends[[i for i, w in enumerate(found) if w == MARK]].tolist()
+            flat = array("i", b"".join(parts))
+            known.update(zip(fresh, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+            for piece, ws in zip(odd, apart):
+                known[piece] = array("i", [i for w in ws for i in (
+                    (w,) if w.__class__ is int else looked[w])])
 
         def work(values):
             pieces = hasher.words([v.encode() for v in values])
             found, of, _ = pieces.distinct()
+            look_up(found)
             ids = [known[p] for p in found]
             sizes = np.array([len(x) for x in ids], np.int64)
             begins = np.cumsum(sizes) - sizes

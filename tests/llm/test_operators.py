@@ -76,6 +76,18 @@ def test_long_and_short_merges_agree(merges):
         assert merges._merge_long(ids) == merges.merge(word)
 
 
+def test_merging_and_finding_many_words_is_as_one_by_one(merges):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abeinorsté日") for _ in range(rng.randint(1, 40)))
+             for _ in range(800)] + ["a", "é", "aaaa" * 60, "on" * 300]
+    assert [x.tolist() for x in merges.merge_all([w.encode() for w in words])] == [
+        merges.merge(w) for w in words]
+    assert merges.merge_all([]) == []
+    kept = {w: merges.merge(w) for w in words[::3]}
+    found = bpe.Transducer(bpe.Transducer.compiled(kept)).find([w.encode() for w in words])
+    assert [x and x.tolist() for x in found] == [kept.get(w) for w in words]
+
+
 def test_mixture_keeps_its_limits(spark):
     rows = [(i, "w " * (1 + i % 5), f"s{int(math.sqrt(i)) % 7}", "", 0, "") for i in range(3000)]
     docs = spark.createDataFrame(rows + [rows[5], (9001, None, "s1", "", 0, ""),
