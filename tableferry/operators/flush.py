@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tableferry.operators.blocks import SPAN, with_previous
+from tableferry.operators.blocks import SPAN, Ranked, with_previous
 from tableferry.operators.fold import sequential_groups
 from tableferry.session import stored
 
@@ -18,7 +18,7 @@ IDLE_SECONDS = 15
 
 def flush_by_rows(messages: DataFrame, n_rows: str, limit: int = APPEND_ROWS,
                   lane: str = "lane", order: str = "msg_id", when: str = "after",
-                  span: int = SPAN) -> DataFrame:
+                  span: int | Ranked = SPAN) -> DataFrame:
     """The flush each message falls into, as (lane, order, rows, grp). ``after``: a message
     that brings the buffer to the limit is flushed with it; ``before``: it starts the next."""
     slim = messages.select(lane, order, n_rows)
@@ -27,7 +27,7 @@ def flush_by_rows(messages: DataFrame, n_rows: str, limit: int = APPEND_ROWS,
 
 def flush_by_time(messages: DataFrame, n_rows: str, time: str, limit: int = APPEND_ROWS,
                   interval: float = INTERVAL_SECONDS, idle: float = IDLE_SECONDS,
-                  lane: str = "lane", order: str = "msg_id", span: int = SPAN) -> DataFrame:
+                  lane: str = "lane", order: str = "msg_id", span: int | Ranked = SPAN) -> DataFrame:
     """Flush by rows, by elapsed time and on idle, replayed on publish times.
 
     Per lane in order: a gap of ``idle`` in front of a message closes the buffer; the message

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tableferry.operators.blocks import SPAN, block_of
+from tableferry.operators.blocks import SPAN, Ranked, blocked
 from tableferry.session import stored
 
 ALWAYS = -(2**62)
@@ -187,7 +187,7 @@ def _cuts(keyed: DataFrame, rule: Rule) -> DataFrame:
 
 
 def homed(df: DataFrame, lane: str, order: str, weight: str, rule: Rule, hard: str | None = None,
-          span: int = SPAN) -> DataFrame:
+          span: int | Ranked = SPAN) -> DataFrame:
     """``df`` with ``_lane, _ord, _weight, _hard, _home, _base``, clustered and sorted by
     (lane, home, order): each home is a run of whole groups."""
     def present(name):
@@ -195,14 +195,13 @@ def homed(df: DataFrame, lane: str, order: str, weight: str, rule: Rule, hard: s
         missing = F.raise_error(F.lit(f"{name} must not be null")).cast("long")
         return F.coalesce(F.col(name).cast("long"), missing)
 
-    prepared = df.select(
+    prepared = blocked(df.select(
         "*",
         present(lane).alias("_lane"),
         present(order).alias("_ord"),
         F.col(weight).cast("long").alias("_weight"),
         (F.coalesce(F.col(hard), F.lit(False)) if hard else F.lit(False)).alias("_hard"),
-        block_of(order, span).alias("_block"),
-    )
+    ), ["_lane"], "_ord", span)
     keyed = prepared.select(
         F.col("_lane").alias("lane"), F.col("_block").alias("block"),
         F.col("_ord").alias("ord"), F.col("_weight").alias("weight"),
@@ -239,7 +238,7 @@ def _with_least_clock(keyed: DataFrame) -> DataFrame:
 def sequential_groups(df: DataFrame, lane: str, order: str, weight: str, limit: int,
                       when: str = "before", seed: int = 0, hard: str | None = None,
                       out: str = "grp", start: str | None = None,
-                      span: int = SPAN) -> DataFrame:
+                      span: int | Ranked = SPAN) -> DataFrame:
     """Number the groups of the fold, per lane from 0, in a new column ``out``.
 
     ``order`` must be an integer, unique within its lane; ``weight`` must not be negative,
@@ -280,7 +279,7 @@ def _inputs(batch: pa.RecordBatch):
 
 
 def assembled(df: DataFrame, lane: str, order: str, value: str, limit: int, seed: int = 0,
-              weight_extra: int = 0, span: int = SPAN) -> DataFrame:
+              weight_extra: int = 0, span: int | Ranked = SPAN) -> DataFrame:
     """Pack a string column into lists by the ``before`` rule: one row per group.
 
     The weight of a row is the UTF-8 length of ``value`` plus ``weight_extra``. Lists are cut

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tableferry.functions.codec import json_array
 from tableferry.functions.headers import with_entries
-from tableferry.operators.blocks import SPAN
+from tableferry.operators.blocks import SPAN, Ranked
 from tableferry.operators.fold import assembled
 
 # Message limits in bytes of the current and the earlier producer.
@@ -38,7 +38,7 @@ def sendable(encoded: DataFrame, limit: int = MESSAGE_BYTES, enc: str = "enc",
 
 def pack_messages(encoded: DataFrame, lane: str = "lane", order: str = "ord",
                   enc: str = "enc", limit: int = MESSAGE_BYTES, strict: bool = False,
-                  span: int = SPAN) -> DataFrame:
+                  span: int | Ranked = SPAN) -> DataFrame:
     """Greedy packing per lane; a message is closed before a row would bring it to ``limit``."""
     rows = sendable(encoded, limit, enc, strict)
     return assembled(rows, lane, order, enc, limit, span=span)
@@ -46,7 +46,7 @@ def pack_messages(encoded: DataFrame, lane: str = "lane", order: str = "ord",
 
 def pack_json_array(encoded: DataFrame, lane: str = "lane", order: str = "ord",
                     enc: str = "enc", limit: int = EARLIER_MESSAGE_BYTES,
-                    span: int = SPAN, strict: bool = False) -> DataFrame:
+                    span: int | Ranked = SPAN, strict: bool = False) -> DataFrame:
     """Packing whose limit counts the brackets and commas of the JSON text as well."""
     packed = assembled(sendable(encoded, limit, enc, strict), lane, order, enc, limit, seed=1,
                        weight_extra=1, span=span)

@@ -470,4 +470,6 @@ WHERE msg_id >= cleared_at""",
 
 # the same results over many blocks
 ORACLE["pack_messages_blocks"] = ORACLE["pack_messages"]
+ORACLE["pack_messages_sparse"] = ORACLE["pack_messages"].replace(
+    f"({fx.ROW}) q", f"(SELECT * REPLACE (ord * 2654435761 % 4294967291 AS ord) FROM ({fx.ROW}) r) q")
 ORACLE["clear_events_blocks"] = ORACLE["clear_events"]

@@ -935,6 +935,14 @@ def pack_messages_blocks(spark, sf_dir):
         "lane", "msg", "first_order", "n_rows", "n_bytes", _joined("rows").alias("rows_md5"))
 
 
+@query
+def pack_messages_sparse(spark, sf_dir):
+    """Packing by an order whose values lie far apart and not in the order of the table."""
+    rows = fx.rows(spark, sf_dir).withColumn("ord", F.expr("ord * 2654435761L % 4294967291L"))
+    return pack.pack_messages(rows, limit=LIMIT, span=blocks.Ranked(700)).select(
+        "lane", "msg", "first_order", "n_rows", "n_bytes", _joined("rows").alias("rows_md5"))
+
+
 @query
 def clear_events_blocks(spark, sf_dir):
     """Clears over many blocks of message ids."""

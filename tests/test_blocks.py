@@ -67,3 +67,29 @@ def test_dense_order_follows_any_sort_key_and_fills_blocks(spark):
     got = blocks.dense_order(df, ["key", "i"]).orderBy("ord").collect()
     assert [(r.key, r.i) for r in got] == sorted((k, i) for _, k, i in data)
     assert len({r.ord // 1_000_000 for r in got}) <= spark.sparkContext.defaultParallelism * 2
+
+
+def test_blocks_by_rank_are_full_whatever_the_order(spark, monkeypatch):
+    rng = random.Random(7)
+    ids = [*range(3000), *(rng.randrange(-2**62, 2**62) for _ in range(3000)),
+           *(2**40 + i * 10**9 for i in range(3000))]
+    lanes = ["hot" if rng.random() < 0.9 else rng.choice(["a", "b", None]) for _ in ids]
+    df = spark.createDataFrame(list(zip(lanes, ids)), "g string, o long").repartition(4)
+    for fan in (256, 4):  # one level of cuts, and several
+        monkeypatch.setattr(blocks, "FAN", fan)
+        cut = blocks.blocked(df, ["g"], "o", blocks.Ranked(100)).toPandas()
+        sizes = cut.groupby(["g", "_block"], dropna=False).size()
+        assert len(cut) == len(ids) and sizes.max() <= 130
+        assert len(sizes) <= 4 + 2.1 * len(ids) / 100
+        for _, part in cut.groupby("g", dropna=False):
+            assert part.sort_values("o")["_block"].is_monotonic_increasing
+    assert blocks.blocked(df.limit(0), ["g"], "o", blocks.Ranked(100)).count() == 0
+    with pytest.raises(ValueError):
+        blocks.blocked(df, [], "o", blocks.Ranked(100))
+
+
+def test_numbers_and_previous_rows_in_blocks_by_rank(rows):
+    for f in (lambda s: blocks.numbered(rows, "o", ["g"], s),
+              lambda s: blocks.with_previous(rows, ["g"], "o", ["v"], s)):
+        assert sorted(f(blocks.Ranked(20)).collect(), key=str) == sorted(
+            f(10**6).collect(), key=str)
