@@ -37,7 +37,8 @@ LEXICON_WORDS = 131_072
 SHIFT = 20
 NO_PAIR = 1 << 62
 MARK = "\0"
-PIECES_KNOWN, WORDS_KNOWN = 400_000, 200_000  # that a task keeps before it starts anew
+MERGED_BYTES = 1 << 17  # words that are merged at once
+PIECES_KNOWN, WORDS_KNOWN = 200_000, 150_000  # that a task keeps before it starts anew
 
 
 def byte_chars() -> list[str]:
@@ -106,13 +107,22 @@ class Merges:
                 out[i] = array("i", self.merge(word.decode()))
             else:
                 short.append(i)
-        if not short:
-            return out
-        sizes = np.array([len(words[i]) for i in short])
-        raw = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+        part = np.cumsum([len(words[i]) for i in short], dtype=np.int64) // MERGED_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(short)]
+        for begin, end in zip(cuts, cuts[1:]):
+            at = short[begin:end]
+            for i, ids in zip(at, self._merged([words[i] for i in at])):
+                out[i] = ids
+        return out
+
+    def _merged(self, words: list[bytes]) -> list[array]:
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words])
+        raw = np.frombuffer(b"".join(words), np.uint8)
         ids, ends = np.array(self.inner, np.int64)[raw], np.cumsum(sizes)
         ids[ends - 1] = np.array(self.final, np.int64)[raw[ends - 1]]
-        of = np.repeat(np.arange(len(short)), sizes)
+        of = np.repeat(np.arange(len(words)), sizes)
         ranks = self._ranked(ids, of, np.arange(len(ids)))
         done = []
         while len(ids):
@@ -135,10 +145,8 @@ class Merges:
         of = np.concatenate([d[0] for d in done])
         flat = np.concatenate([d[1] for d in done])[np.argsort(of, kind="stable")]
         flat = array("i", flat.astype(np.int32).tobytes())
-        ends = np.cumsum(np.bincount(of, minlength=len(short))).tolist()
-        for i, begin, end in zip(short, [0, *ends], ends):
-            out[i] = flat[begin:end]
-        return out
+        ends = np.cumsum(np.bincount(of, minlength=len(words))).tolist()
+        return [flat[begin:end] for begin, end in zip([0, *ends], ends)]
 
     def _ranked(self, ids: np.ndarray, of: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rank and result of the pairs that begin at ``at``, where both are of one word."""
