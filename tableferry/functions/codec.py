@@ -192,6 +192,10 @@ def with_fields(rows: Column, data: Column) -> Column:
     is told apart from one in which it is null."""
     listed = F.when(F.trim(data).startswith("{"), F.concat(F.lit("["), data, F.lit("]"))).otherwise(
         data)
-    texts = F.from_json(listed, "array<string>")
-    return F.transform(rows, lambda r, i: r.withField(
-        FIELDS, F.json_object_keys(F.get(texts, i))))
+    names = F.transform(F.from_json(listed, "array<string>"), F.json_object_keys)
+
+    def named(known: Column) -> Column:
+        return F.transform(rows, lambda r, i: r.withField(FIELDS, F.get(known, i)))
+
+    # bound to a name, so that a payload is read once and not for each of its records
+    return F.get(F.transform(F.array(names), named), F.lit(0))
