@@ -203,6 +203,18 @@ def load_partition(df: DataFrame, target: str, partition: dict,
     spark.catalog.dropTempView(view)
 
 
+def put_partitions(df: DataFrame, target: str, is_overwrite: bool = True) -> None:
+    """Put rows, in the order of the target's columns, into the partitions that they name, in one
+    load: with ``is_overwrite`` these are replaced, and others stay as they are."""
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    try:
+        spark.conf.set(mode, "dynamic")  # an option of the writer is not passed on to a table
+        df.write.insertInto(target, overwrite=is_overwrite)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def reload_partition(df: DataFrame, target: str, partition: dict) -> None:
     """Clear one partition and put in ``df`` (partition columns included).
 

@@ -5,7 +5,12 @@ import time
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from tableferry.functions.codec import FIELDS, parsed, with_fields
+from tableferry.session import scratch
+from tableferry.sources import landed, tables
+from tableferry.streaming import receiver
 
 
 def test_names_of_records_are_read_once_for_a_message(spark):
@@ -21,3 +26,49 @@ def test_names_of_records_are_read_once_for_a_message(spark):
     assert [r[FIELDS] for r in long] == [["a", "b"] if i % 2 else ["a"] for i in range(12_000)]
     assert [(r.a, r.b, r[FIELDS]) for r in single] == [(None, "1", ["b"])]
     assert broken is None
+
+
+def test_decoded_messages_are_dealt_over_tasks(spark, monkeypatch):
+    messages = spark.createDataFrame([("x" * 1000,)] * 100, "data string").coalesce(1)
+    monkeypatch.setattr(receiver, "TASK_BYTES", 4000)
+    many = receiver.spread(messages)
+    sizes = many.rdd.glom().map(len).collect()
+    assert len(sizes) == 25 and max(sizes) <= 8 and sum(sizes) == 100
+    monkeypatch.setattr(receiver, "TASK_BYTES", 200_000)
+    assert receiver.spread(messages) is messages
+    nothing = messages.where("data = ''")
+    assert receiver.spread(nothing) is nothing
+
+
+@pytest.mark.parametrize("format", ["text", "parquet"])
+def test_partitions_are_loaded_together(spark, monkeypatch, format):
+    """Many partitions, one load; only those whose files hold no row are loaded alone. Files of
+    different columns and types go to one table."""
+    def written(rows):
+        path = scratch(spark, "one")
+        rows.coalesce(1).write.format(format).save(path)
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+        return bytes(found[0].content) if found else b""
+
+    def segment(day, rows, adds=False):
+        name = f"f{day}{adds}"
+        return (name, 0, written(rows), name, "t", {"day": str(day)}, not adds)
+
+    line = "CAST(id + 10 * {0} AS STRING) AS line"
+    other = "id + 10 * {0} AS line" if format == "parquet" else line
+    whole = spark.createDataFrame(
+        [segment(d, spark.range(2).selectExpr((other if d % 2 else line).format(d))) for d in range(6)]
+        + [segment(6, spark.range(1).where("id < 0").selectExpr(line.format(0)))]
+        + [segment(5, spark.range(1).selectExpr("'more' AS line"), adds=True)],
+        "sync_id string, segment int, data binary, file string, table string,"
+        " partition map<string,string>, is_overwrite boolean")
+    name = tables.fresh_name("together")
+    tables.create_target(spark, name, "line STRING, day INT", scratch(spark, name), ["day"])
+    spark.sql(f"INSERT INTO {name} VALUES ('old', 3), ('old', 6), ('old', 7)")
+    alone, load = [], tables.load_partition
+    monkeypatch.setattr(tables, "load_partition", lambda df, target, partition, over=True: (
+        alone.append(partition), load(df, target, partition, over)))
+    landed.load_rows(spark, whole, {"t": name}, format=format)
+    want = [(str(i + 10 * d), d) for d in range(6) for i in range(2)] + [("more", 5), ("old", 7)]
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == sorted(want)
+    assert alone == [{"day": "6"}]
