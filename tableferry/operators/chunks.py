@@ -36,13 +36,14 @@ def cut(files: DataFrame, content: str, path: str, part_bytes: int = PART_BYTES,
     """
     keep = [c for c in files.columns if c not in (content, path)]
     planned = plan_parts(files.withColumn("_len", F.octet_length(content)), "_len", part_bytes)
-    parts = planned.select(
-        *keep, F.col(path).alias("file"), "total_parts", F.col(content).alias("_content"),
-        F.explode(F.sequence(F.lit(0), F.col("total_parts") - 1)).alias("_i"))
-    data = F.substring("_content", F.col("_i") * part_bytes + 1, F.lit(part_bytes))
+    # sliced before they are exploded: rows that each carry the whole content would take the square
+    # of a file's size
+    slices = F.transform(F.sequence(F.lit(0), F.col("total_parts") - 1), lambda i: F.substring(
+        F.col(content), i * part_bytes + 1, F.lit(part_bytes)))
+    parts = planned.select(*keep, F.col(path).alias("file"), "total_parts",
+                           F.posexplode(slices).alias("_i", "data"))
     chunks = parts.select(*keep, "file", "total_parts",
-                          (F.col("_i") + base).cast("int").alias("cur_part"),
-                          data.alias("data"))
+                          (F.col("_i") + base).cast("int").alias("cur_part"), "data")
     if header_style == "named":
         return chunks.select(*keep, F.element_at(F.split("file", "/"), -1).alias("file"),
                              F.col("cur_part").alias("_seq"), "data")

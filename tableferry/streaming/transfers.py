@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -44,21 +43,22 @@ class Transfer(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("transfer", _STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.state.get() if self.state.exists() else (b"", "", 0, -1, False)
-        bits, file, total, last, done = known
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # every call on state or timers is a trip to the JVM, so a new transfer asks for neither
+        known = self.state.get()
+        bits, file, total, last, done = known or (b"", "", 0, -1, False)
         if done:
             return
         bits = int.from_bytes(bits, "little")
         for part in rows:
-            for number, name, parts, order in zip(part["cur_part"], part["file"],
-                                                  part["total_parts"], part["msg_id"]):
-                file, total, last = name, max(total, int(parts)), max(last, int(order))
-                bits |= 1 << int(number) - self.base
+            file, total = part.file, max(total, part.total_parts)
+            last = max(last, part.msg_id)
+            bits |= 1 << part.cur_part - self.base
         have = (bits & (1 << total) - 1).bit_count()
         done = have >= total
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        if known:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         if not done:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.stall)
         size = -(-bits.bit_length() // 8)
@@ -66,7 +66,7 @@ class Transfer(StatefulProcessor):
         if done:
             yield self._event(key, file, COMPLETE, have, total, last)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Reported once for each pause; a transfer that goes on is complete in the end."""
         bits, file, total, last, done = self.state.get()
         if not done:
@@ -74,8 +74,8 @@ class Transfer(StatefulProcessor):
             yield self._event(key, file, STALLED, have, total, last)
 
     @staticmethod
-    def _event(key, file, event, have, total, last) -> pd.DataFrame:
-        return pd.DataFrame([(*key, file, event, have, total, last)], columns=EVENTS.names)
+    def _event(key, file, event, have, total, last) -> Row:
+        return Row(*EVENTS.names)(*key, file, event, have, total, last)
 
 
 def events(heads: DataFrame, stall_seconds: int = STALL_SECONDS, base: int = 1) -> DataFrame:
@@ -83,7 +83,7 @@ def events(heads: DataFrame, stall_seconds: int = STALL_SECONDS, base: int = 1)
     return (heads.select("sync_id", F.coalesce("transfer", F.lit("")).alias("transfer"), "file",
                          "cur_part", "total_parts", "msg_id")
             .where("sync_id is not null and cur_part is not null and total_parts is not null")
-            .groupBy("sync_id", "transfer").transformWithStateInPandas(
+            .groupBy("sync_id", "transfer").transformWithState(
                 Transfer(stall_seconds, base), EVENTS, "append", "ProcessingTime"))
 
 

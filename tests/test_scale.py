@@ -3,14 +3,14 @@
 import json
 import time
 
-from pyspark.sql import functions as F
-
 import pytest
+from pyspark.sql import Row, functions as F
 
 from tableferry.functions.codec import FIELDS, parsed, with_fields
+from tableferry.operators import chunks as ch
 from tableferry.session import scratch
 from tableferry.sources import landed, tables
-from tableferry.streaming import receiver
+from tableferry.streaming import receiver, transfers
 
 
 def test_names_of_records_are_read_once_for_a_message(spark):
@@ -72,3 +72,50 @@ def test_partitions_are_loaded_together(spark, monkeypatch, format):
     want = [(str(i + 10 * d), d) for d in range(6) for i in range(2)] + [("more", 5), ("old", 7)]
     assert sorted(tuple(r) for r in spark.table(name).collect()) == sorted(want)
     assert alone == [{"day": "6"}]
+
+
+def test_a_new_transfer_takes_two_trips_to_the_state():
+    calls = []
+
+    class Known:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    class Handle:
+        def __getattr__(self, name):
+            return lambda *args: calls.append(name) or []
+
+    def part(number, total):
+        return Row(cur_part=number, file="f", total_parts=total, msg_id=number)
+
+    clock = type("Clock", (), {"getCurrentProcessingTimeInMs": lambda self: 0})()
+    one = transfers.Transfer()
+    one.handle, one.state = Handle(), Known()
+    (event,) = one.handleInputRows(("s", ""), iter([part(1, 1)]), clock)
+    assert event.event == transfers.COMPLETE and calls == ["get", "update"]
+    assert not list(one.handleInputRows(("s", ""), iter([part(1, 1)]), clock))
+    two = transfers.Transfer()
+    two.handle, two.state = Handle(), Known()
+    calls.clear()
+    assert not list(two.handleInputRows(("t", ""), iter([part(2, 2)]), clock))
+    assert calls == ["get", "registerTimer", "update"]
+    (event,) = two.handleInputRows(("t", ""), iter([part(1, 2)]), clock)
+    assert event.event == transfers.COMPLETE and "listTimers" in calls
+
+
+def test_parts_do_not_carry_the_content_of_their_file(spark):
+    data = bytes(range(256)) * 10
+    files = spark.createDataFrame([("a", data), ("b", b""), ("c", None)], "file string, content binary")
+    parts = ch.cut(files, "content", "file", 1000)
+    got = sorted((r.file, r.cur_part, r.total_parts, r.data and bytes(r.data)) for r in parts.collect())
+    assert got == [("a", i + 1, 3, data[1000 * i:1000 * i + 1000]) for i in range(3)] + [
+        ("b", 1, 1, b""), ("c", 1, 1, None)]
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" in plan[plan.index("Generate"):] and "substring" not in plan[:plan.index("Generate")]
