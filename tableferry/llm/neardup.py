@@ -37,6 +37,8 @@ EMPTY = 0xFFFF
 MARGIN = 0.22      # four to six standard deviations of an estimate
 SMALL_SET = 64    # estimates of smaller sets are not used
 HUB_ROUNDS = 2
+# bytes of text that a task works on at once; arrays of these steps take some 50 times that
+SLICE = 512 << 10
 
 
 def shingle_hashes(data: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -86,8 +88,8 @@ def sketched(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, set_hash, sketch)`` of every row."""
 
     def task(batches):
-        hasher = WordHasher()
-        for batch in sliced(batches, "text"):
+        hasher = WordHasher(2 * SLICE)
+        for batch in sliced(batches, "text", SLICE):
             sets = shingle_hashes([t.encode() for t in texts(batch, "text")], hasher)
             sums = [mixed(s + U64(1)).sum(dtype=U64).tobytes()
                     + np.bitwise_xor.reduce(mixed(s + U64(2)), initial=0).astype(U64).tobytes()
@@ -155,8 +157,8 @@ def confirmed(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     tb = chosen.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
 
     def task(batches):
-        hasher = WordHasher()
-        for batch in sliced(batches, "tb"):
+        hasher = WordHasher(2 * SLICE)
+        for batch in sliced(batches, "tb", SLICE):
             keep, last, own = [], None, None
             for a, x, y in zip(batch.column("a").to_pylist(), texts(batch, "ta"),
                                texts(batch, "tb")):
@@ -178,8 +180,8 @@ def shingled(chosen: DataFrame) -> DataFrame:
     how many the row has."""
 
     def task(batches):
-        hasher = WordHasher()
-        for batch in sliced(batches, "text"):
+        hasher = WordHasher(2 * SLICE)
+        for batch in sliced(batches, "text", SLICE):
             sets = shingle_hashes([t.encode() for t in texts(batch, "text")], hasher)
             size = np.array([len(s) for s in sets], np.int64)
             flat = np.concatenate(sets) if sets else np.zeros(0, U64)
