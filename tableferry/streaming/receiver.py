@@ -18,6 +18,8 @@ ENDS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("lane
                      T.StructField("end", T.LongType())])
 # Fixed value: seconds between flushes.
 FLUSH_SECONDS = 60
+# Fixed value: bytes of payload that a task decodes.
+TASK_BYTES = 32 * 1024 * 1024
 
 
 class EndMarks:
@@ -62,6 +64,17 @@ def await_end(query: StreamingQuery, checkpoint: str, lanes: int, poll: float =
     query.stop()
 
 
+def spread(batch: DataFrame, task_bytes: int | None = None) -> DataFrame:
+    """Messages dealt evenly over tasks of about ``task_bytes`` of payload each. Decoded records,
+    which are kept for all sinks, take a multiple of their text, and the text a multiple of the
+    bytes of the file split it comes from. A batch that fits in one task stays as it is."""
+    size = batch.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    tasks = -(-size // (task_bytes or TASK_BYTES))
+    if tasks <= 1:
+        return batch
+    return batch.repartition(max(tasks, batch.sparkSession.sparkContext.defaultParallelism))
+
+
 def cursor_of(batch: DataFrame) -> str:
     """The id that a checkpoint gives to its query for good. A new or lost checkpoint has
     another, so it never overwrites what an earlier one has written."""
@@ -110,7 +123,7 @@ def _run(messages: DataFrame, received: Callable[[DataFrame], DataFrame], sinks:
         cursor = cursor_of(batch)
         if marks is not None:
             batch = marks.cut(batch, epoch_id, cursor)
-        checked = received(batch).persist()
+        checked = received(spread(batch)).persist()
         try:
             for sink in sinks:
                 sink.write(checked, epoch_id, cursor)
